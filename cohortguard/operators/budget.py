@@ -77,8 +77,8 @@ def budget_status(charged: DataFrame, budget_col: str = "budget_id",
                  F.sum(F.col("allowed").cast("int")).cast("long").alias("n_allowed"),
                  F.sum((~F.col("allowed")).cast("int")).cast("long").alias("n_blocked"))
             .withColumn("remaining_micro", F.greatest(F.col("total_micro") - F.col("consumed_micro"), F.lit(0)))
-            .withColumn("pct_consumed", F.round(F.try_divide(F.col("consumed_micro") * F.lit(100.0),
-                                                             F.col("total_micro")), 4))
+            .withColumn("pct_consumed", F.try_divide(F.col("consumed_micro") * F.lit(100.0),
+                                                     F.col("total_micro")))
             .withColumn("exhausted", F.col("consumed_micro") >= F.col("total_micro"))
             .withColumn("status", F.when(F.col("exhausted"), "EXHAUSTED").otherwise("ACTIVE")))
 

@@ -6,6 +6,8 @@ import importlib
 
 PLAN_MODULES = (
     "consent",
+    "budget",
+    "metrics",
 )
 
 

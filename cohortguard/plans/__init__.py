@@ -8,6 +8,7 @@ PLAN_MODULES = (
     "consent",
     "budget",
     "metrics",
+    "governance",
 )
 
 

@@ -202,3 +202,89 @@ def audit_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.upper("event_type").alias("event_type"),
                      F.col("props").alias("details"),
                      "event_id")
+
+
+# T10 — checklist answers: one project per supplier ----------------------------
+
+def checklist_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier × checklist: answer = ((suppkey·7 + question_pos) % 3) / 2;
+    even suppliers cite "P1-Q2" ids, odd ones "1.2"; a question is left
+    unanswered when (suppkey + question_pos) % 11 = 0."""
+    from .fixtures import checklist
+    s = read(spark, sf_dir, "supplier", "s_suppkey")
+    g = s.crossJoin(F.broadcast(checklist(spark)))  # 22-row literal dimension
+    dotted = F.concat(F.col("principle_id").cast("string"), F.lit("."),
+                      F.regexp_extract("question_id", r"Q(\d+)$", 1))
+    ref = F.when(F.col("s_suppkey") % 2 == 0, F.col("question_id")).otherwise(dotted)
+    return (g.where((F.col("s_suppkey") + F.col("question_pos")) % 11 != 0)
+            .select(F.col("s_suppkey").alias("project"), ref.alias("question_ref"),
+                    (((F.col("s_suppkey") * 7 + F.col("question_pos")) % 3).cast("double") / 2.0)
+                    .alias("answer")))
+
+
+def checklist_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("project"))
+
+
+# T13 — impact assessments: one per supplier ------------------------------------
+
+def _levels_expr(idx):
+    from .fixtures import RISK_LEVELS
+    arr = F.array(*[F.lit(x) for x in RISK_LEVELS])
+    return F.element_at(arr, (idx + F.lit(1)).cast("int"))
+
+
+def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read(spark, sf_dir, "supplier", "s_suppkey")
+    lvl = _levels_expr(F.col("s_suppkey") % 4)
+    return s.select(F.col("s_suppkey").alias("project"), lvl.alias("overall_residual_risk"),
+                    lvl.isin("Medium", "Low").alias("approved_for_deployment"))
+
+
+def assessment_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read(spark, sf_dir, "supplier", "s_suppkey")
+    a = F.explode(F.array(F.lit("EHR_Cohort"), F.lit("Genomic_Panel"))).alias("asset_name")
+    return (s.select(F.col("s_suppkey").alias("project"), a)
+            .withColumn("cross_border_transfer",
+                        (F.col("asset_name") == "EHR_Cohort") & (F.col("project") % 2 == 0)))
+
+
+def assessment_purposes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read(spark, sf_dir, "supplier", "s_suppkey")
+    return s.select(F.col("s_suppkey").alias("project"),
+                    F.explode(F.array(F.lit("P-01"), F.lit("P-02"))).alias("purpose_id"))
+
+
+def assessment_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(EHR, P-01) and (Genomic, P-01) always; (EHR, P-02) for every third."""
+    s = read(spark, sf_dir, "supplier", "s_suppkey")
+    base = s.select(F.col("s_suppkey").alias("project"),
+                    F.explode(F.array(F.lit("EHR_Cohort"), F.lit("Genomic_Panel"))).alias("asset_name"),
+                    F.lit("P-01").alias("purpose_id"))
+    extra = (s.where(F.col("s_suppkey") % 3 == 0)
+             .select(F.col("s_suppkey").alias("project"), F.lit("EHR_Cohort").alias("asset_name"),
+                     F.lit("P-02").alias("purpose_id")))
+    return base.unionByName(extra)
+
+
+def assessment_threats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three STRIDE threats per project with a residual risk level."""
+    from .fixtures import STRIDE_THREATS
+    s = read(spark, sf_dir, "supplier", "s_suppkey")
+    threats = F.array(*[F.lit(t) for t in STRIDE_THREATS])
+    x = s.select(F.col("s_suppkey").alias("project"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("j"))
+    return x.select("project", "j",
+                    F.element_at(threats, ((F.col("project") + F.col("j")) % 6 + 1).cast("int")).alias("threat"),
+                    _levels_expr((F.col("project") + 2 * F.col("j")) % 5).alias("residual_risk"))
+
+
+def assessment_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read(spark, sf_dir, "supplier", "s_suppkey")
+    return s.select(F.col("s_suppkey").alias("project"),
+                    F.explode(F.sequence(F.lit(1), (F.lit(1) + F.col("s_suppkey") % 3).cast("int")))
+                    .alias("gap_no"))
+
+
+def assessment_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = assessments(spark, sf_dir).where(~F.col("approved_for_deployment"))
+    return a.select("project", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("condition_no"))

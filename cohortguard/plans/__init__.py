@@ -9,6 +9,7 @@ PLAN_MODULES = (
     "budget",
     "metrics",
     "governance",
+    "federated",
 )
 
 

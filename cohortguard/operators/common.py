@@ -25,3 +25,19 @@ def with_defaults(df: DataFrame, **defaults) -> DataFrame:
     for name, value in defaults.items():
         df = df.withColumn(name, F.coalesce(F.col(name), F.lit(value)))
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` once to the cluster's checkpoint folder.
+
+    Used where a plan reads one expensive intermediate from several
+    branches (each branch would otherwise recompute it) or feeds it to a
+    driver-side statistic (``approxQuantile``) and then to the main job.
+    The folder is ``spark.checkpoint.dir`` from the session (a shared,
+    fault-tolerant location on a cluster); a scratch folder is set only when
+    none is configured (tests).  Survives executor loss, unlike a local
+    checkpoint.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

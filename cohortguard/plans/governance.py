@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import governance as G
 from ..operators import metrics as M
+from ..operators.common import materialize
 from ..sources import bindings as B
 from ..sources import fixtures as FX
 from .registry import register
@@ -205,7 +206,7 @@ def feature_minimization(spark, sf_dir):
     each feature from the linear score; tier join; decision; rank."""
     feats = list(B.COHORT_FEATURES)
     coh = B.customer_cohort(spark, sf_dir).select("id", "label", *feats)
-    z = M.standardize(coh, feats).select("id", "label", *[F.round(c, _D).alias(c) for c in feats])
+    z = materialize(M.standardize(coh, feats).select("id", "label", *[F.round(c, _D).alias(c) for c in feats]))
     variants = [F.struct(F.lit("__full__").alias("variant"),
                          M.linear_score(feats, MIN_WEIGHTS).alias("score"))]
     for f in feats:

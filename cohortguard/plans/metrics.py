@@ -9,6 +9,7 @@ from ..functions.prf import keyed_uniform_sql
 from ..operators import dp as DP
 from ..operators import fairness as FA
 from ..operators import metrics as M
+from ..operators.common import materialize
 from ..sources import bindings as B
 from ..sources.tables import read
 from .registry import register
@@ -208,7 +209,7 @@ SELECT id, label, rn <= round(CAST(n_class AS DOUBLE) * {TRAIN_FRAC}::DOUBLE) AS
          count(*) OVER (PARTITION BY label) AS n_class
   FROM {B.COHORT_SQL} c)""")
 def a10_split_train_test(spark, sf_dir):
-    s = M.split_train_test(B.customer_cohort(spark, sf_dir).select("id", "label"), "id",
+    s = M.split_train_test(materialize(B.customer_cohort(spark, sf_dir).select("id", "label")), "id",
                            TRAIN_FRAC, SPLIT_SEED, stratify="label")
     return s.select("id", "label", "is_train")
 

@@ -191,6 +191,8 @@ def consent_status(ledger: DataFrame, enforce_expiry: bool = False, as_of=None,
     (default: today) no longer counts.
     """
     order_col = F.col(order) if isinstance(order, str) else order
+    if "expiry_date" not in ledger.columns:
+        ledger = ledger.withColumn("expiry_date", F.lit(None).cast("date"))
     latest = (ledger.groupBy("patient_pseudonym", "use_case_id")
               .agg(F.max_by(F.struct("action", "expiry_date"), order_col).alias("_last"),
                    F.count(F.lit(1)).alias("n_actions")))

@@ -10,6 +10,7 @@ PLAN_MODULES = (
     "metrics",
     "governance",
     "federated",
+    "streams",
 )
 
 

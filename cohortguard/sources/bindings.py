@@ -35,7 +35,11 @@ N_SECRET_PARTIES = 3
 def consent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One consent request per event: subject = user, use case = event_id % 3,
     WITHDRAW for error events, GRANT otherwise; shard = user % 8."""
-    ev = read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    return consent_requests_from(read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type"))
+
+
+def consent_requests_from(ev: DataFrame) -> DataFrame:
+    """T1 on any events DataFrame (batch or streaming)."""
     return ev.select(
         F.concat(F.lit("L"), (F.col("user_id") % N_LEDGER_SHARDS).cast("string")).alias("ledger_id"),
         F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("record_id"),
@@ -65,7 +69,11 @@ def registry_sql() -> str:
 
 def budget_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event charges round(value·1000) micro-ε to its user's budget."""
-    ev = read(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
+    return budget_ops_from(read(spark, sf_dir, "events", "event_id", "ts", "user_id", "value"))
+
+
+def budget_ops_from(ev: DataFrame) -> DataFrame:
+    """T2 on any events DataFrame (batch or streaming)."""
     return ev.select(
         F.col("user_id").alias("budget_id"),
         F.col("event_id").alias("op_id"),
@@ -195,7 +203,11 @@ def nation_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
 # T12 — audit events -------------------------------------------------------
 
 def audit_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
+    return audit_source_from(read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props"))
+
+
+def audit_source_from(ev: DataFrame) -> DataFrame:
+    """T12 on any events DataFrame (batch or streaming)."""
     return ev.select(F.col("ts").cast("timestamp").alias("timestamp"),
                      F.concat(F.lit("s"), (F.col("user_id") % 10).cast("string")).alias("session_id"),
                      F.lit("events").alias("context"),

@@ -11,6 +11,7 @@ PLAN_MODULES = (
     "governance",
     "federated",
     "streams",
+    "audit",
 )
 
 

@@ -12,6 +12,7 @@ PLAN_MODULES = (
     "federated",
     "streams",
     "audit",
+    "synthetic",
 )
 
 

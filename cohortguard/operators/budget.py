@@ -87,17 +87,6 @@ def budget_status(charged: DataFrame, budget_col: str = "budget_id",
 # E5 — greedy allocation
 # --------------------------------------------------------------------------
 
-def allocation_order(tier_col="priority_tier", utility_col="utility_value",
-                     cost_col="epsilon_micro", seq_col="seq"):
-    """Tier-1 operations first in input order, then the rest by utility per
-    unit of epsilon, highest first (ties keep input order)."""
-    later = F.col(tier_col) > 1
-    density = F.try_divide(F.col(utility_col).cast("double"), F.col(cost_col).cast("double"))
-    return [later.cast("int").asc(),
-            F.when(later, density).otherwise(F.lit(0.0)).desc(),
-            F.col(seq_col).asc()]
-
-
 def allocate_budget(ops: DataFrame, budgets: DataFrame | int, budget_col: str = "budget_id",
                     num_partitions: int | None = None) -> DataFrame:
     """E5: greedy allocation per budget.

@@ -13,6 +13,7 @@ PLAN_MODULES = (
     "streams",
     "audit",
     "synthetic",
+    "models",
 )
 
 

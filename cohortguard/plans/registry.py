@@ -23,16 +23,19 @@ class Registered:
     plan: Plan
     sql: str | None
     operator_ids: tuple[str, ...]
+    bench: bool = True
 
 
 _PLANS: dict[str, Registered] = {}
 
 
-def register(name: str, *operator_ids: str, sql: str | None = None):
+def register(name: str, *operator_ids: str, sql: str | None = None, bench: bool = True):
+    """Register a plan; ``bench=False`` keeps driver-loop model jobs and
+    streams out of the default benchmark set (they still run in tests)."""
     def deco(fn: Plan) -> Plan:
         if name in _PLANS:
             raise ValueError(f"duplicate plan {name}")
-        _PLANS[name] = Registered(name, fn, sql, tuple(operator_ids))
+        _PLANS[name] = Registered(name, fn, sql, tuple(operator_ids), bench)
         return fn
     return deco
 

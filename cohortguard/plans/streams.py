@@ -27,7 +27,7 @@ def g1_stream_consent_status(spark, sf_dir):
     return res.select("patient_pseudonym", "use_case_id", "last_action", "consented", "n_actions")
 
 
-register("g1_stream_consent_status", "G1", "E1", sql=_PLANS["e1_consent_status"].sql)(g1_stream_consent_status)
+register("g1_stream_consent_status", "G1", "E1", sql=_PLANS["e1_consent_status"].sql, bench=False)(g1_stream_consent_status)
 
 
 def g2_stream_budget_gate(spark, sf_dir):
@@ -36,7 +36,7 @@ def g2_stream_budget_gate(spark, sf_dir):
     return res.select("budget_id", "op_id", "epsilon_micro", "allowed", "cumulative_micro")
 
 
-register("g2_stream_budget_gate", "G2", "E4", sql=_PLANS["e4_consume_budget"].sql)(g2_stream_budget_gate)
+register("g2_stream_budget_gate", "G2", "E4", sql=_PLANS["e4_consume_budget"].sql, bench=False)(g2_stream_budget_gate)
 
 
 @register("g3_stream_audit_counts", "G3", sql=f"""
@@ -45,7 +45,7 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
        upper(event_type) AS event_type, count(*) AS n_events
 FROM events
 WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL {DELAY_HOURS} HOUR
-GROUP BY 1, 2, 3""")
+GROUP BY 1, 2, 3""", bench=False)
 def g3_stream_audit_counts(spark, sf_dir):
     ev = B.audit_source_from(R.events_stream(spark, sf_dir))
     res = R.run_append(S.stream_audit_counts(ev, WINDOW, f"{DELAY_HOURS} hour"), "g3")

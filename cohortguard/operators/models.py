@@ -231,10 +231,13 @@ def federated_train(df: DataFrame, holdout: DataFrame, features, label: str, rou
     for rnd in range(1, rounds + 1):
         local = train_sites(parts, features, label, None if one_shot else w, site_col).cache()
         avg = fedavg(local.withColumnRenamed(site_col, "site_id"), "w", "n").first()
-        w = list(avg.w)
-        score = M.linear_score(features, w[:-1], w[-1])
-        auc = M.roc_auc(zh.select(F.col(label).alias("y"), score.alias("s")), "y", "s").first().auc
         sites = sorted(r[0] for r in local.select(site_col).collect())
+        if avg is None or not avg.w:  # no site passed the gate: nothing to average
+            w, auc = None, None
+        else:
+            w = list(avg.w)
+            score = M.linear_score(features, w[:-1], w[-1])
+            auc = M.roc_auc(zh.select(F.col(label).alias("y"), score.alias("s")), "y", "s").first().auc
         logs.append((rnd, sites, declined, 0.0 if auc is None else round(auc, 4), "FedAvg",
                      "Gaussian-DP on gradients (simulated)", w))
         local.unpersist()
@@ -273,3 +276,48 @@ def regulator_report(logs: DataFrame, regulator: str) -> DataFrame:
         metrics.alias("metrics_visible_to_regulator"),
         F.lit("DP-SGD with epsilon ≤ 4.0 applied at each site").alias("privacy_guarantee"),
         F.sha2(F.concat(metrics, F.col("round_number").cast("string")), 256).alias("audit_log_hash"))
+
+
+# --------------------------------------------------------------------------
+# F4 — membership-inference AUC
+# --------------------------------------------------------------------------
+
+def mia_auc(real: DataFrame, synth: DataFrame, features, id_col: str = "id", n_shadow: int | None = 200,
+            seed: int = 42, folds: int = 5, n_trees: int = 50) -> DataFrame:
+    """balanced real-vs-synthetic sample (≤ ``n_shadow`` rows each, the
+    lowest keyed-uniform ranks — a bounded top-k, not a full sort), a
+    random forest per cross-validation fold, mean held-out AUC.  0.5 means
+    the synthetic rows cannot be told apart.  ``n_shadow=None`` uses every
+    row of the smaller side."""
+    from pyspark.ml.classification import RandomForestClassifier
+    n = min(real.count(), synth.count())
+    if n_shadow is not None:
+        n = min(n, n_shadow)
+
+    def sample(df, tag):
+        u = keyed_uniform_col(seed, f"mia:{tag}", id_col)
+        return (df.select(id_col, *features).withColumn("_u", u).orderBy("_u", id_col).limit(n)
+                .withColumn("_member", F.lit(float(tag == "real"))))
+    both = sample(real, "real").unionByName(sample(synth, "synth"))
+    both = both.withColumn("_fold", F.floor(keyed_uniform_col(seed, "mia:fold", id_col, "_member") * folds)
+                           .cast("int")).cache()
+    vec = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="keep")
+    aucs = []
+    for k in range(folds):
+        train = vec.transform(both.where(F.col("_fold") != k))
+        test = vec.transform(both.where(F.col("_fold") == k))
+        rf = RandomForestClassifier(featuresCol="_x", labelCol="_member", numTrees=n_trees, seed=seed)
+        pred = rf.fit(train).transform(test).select(F.col("_member").cast("int").alias("y"),
+                                                    vector_to_array("probability")[1].alias("p"))
+        a = M.roc_auc(pred, "y", "p").first().auc
+        if a is not None:
+            aucs.append(a)
+    both.unpersist()
+    spark = real.sparkSession
+    return spark.createDataFrame([(float(np.mean(aucs)) if aucs else None, int(n), len(aucs))],
+                                 "mia_auc double, n_per_side long, n_folds int")
+
+
+def keyed_uniform_col(seed, stream, *ids):
+    from ..functions.prf import keyed_uniform
+    return keyed_uniform(seed, stream, *ids)

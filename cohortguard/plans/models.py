@@ -84,3 +84,9 @@ def e8_round_progress(spark, sf_dir):
 @register("d23_regulator_report", "D23", "F8", bench=False)
 def d23_regulator_report(spark, sf_dir):
     return ML.regulator_report(_fl_log(spark, sf_dir), "regulator")
+
+
+@register("f4_mia_auc", "F4", bench=False)
+def f4_mia_auc(spark, sf_dir):
+    real, synth = _real_synth(spark, sf_dir)
+    return ML.mia_auc(real, synth, FEATS, "id", n_shadow=200, seed=SEED)

@@ -2,33 +2,169 @@
 
 Budgets and charges are ``BIGINT`` micro-epsilon (1 ε = 1,000,000), so
 admission decisions are exact and identical in every engine.
+
+Two physical paths give the same answer:
+
+* **fold** — hash-partition by budget, sort, stream through a constant-size
+  state (:mod:`.fold`).  One task per budget: right for the many ordinary
+  budgets.
+* **split** — for budgets holding more than ``hot_rows`` operations.  The
+  gate is decided in rounds of distributed prefix sums (:mod:`.prefix`),
+  so a budget holding a third of all rows is spread over every task:
+
+  1. with ``used`` consumed so far, an operation whose cost exceeds
+     ``total − used`` can never be admitted (``used`` only grows) — it is
+     *dead*; every other remaining operation is *live*;
+  2. the exclusive prefix sum of live costs tells, for every live row,
+     whether it still fits if all live rows before it were admitted; the
+     rows that fit form a prefix, so everything before the first row that
+     does not fit is final (live → admitted, dead → refused), that row is
+     refused, and ``used`` grows by the live costs before it;
+  3. the refused row's cost now exceeds ``total − used``, so that cost value
+     is dead in every later round: the number of rounds is at most the
+     number of distinct costs in a budget plus one.
+
+  After ``SPLIT_ROUNDS`` rounds, rows still undecided (budgets with many
+  distinct costs) are finished exactly by the fold, starting from their
+  budget's ``used``.
 """
 
 from __future__ import annotations
 
+import datetime
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import materialize, sized_broadcast
 from .fold import greedy_admit, ordered_fold
+from .prefix import exclusive_prefix
 
 MICRO = 1_000_000
 
+# A budget with more operations than this is decided by the split path.
+HOT_ROWS = 2_000_000
+# Prefix-sum rounds before the split path hands the rest to the fold.
+SPLIT_ROUNDS = 6
+
 
 def to_micro(col) -> F.Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.round(c * F.lit(MICRO)).cast("long")
 
 
+# --------------------------------------------------------------------------
+# Hot-budget split
+# --------------------------------------------------------------------------
+
+def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """Keys holding more than ``max_rows`` rows (a partially aggregated count;
+    at most ``rows / max_rows`` keys, so the result is size-bounded)."""
+    return df.groupBy(key).count().where(F.col("count") > F.lit(max_rows)).select(key)
+
+
+def order_number(df: DataFrame, col: str) -> Column:
+    """A numeric column with the same order as ``col`` (exact for integers,
+    dates and microsecond timestamps), for range bucketing."""
+    dt = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz"), c)
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c)
+    if isinstance(dt, T.NumericType):
+        return c
+    raise TypeError(f"order column {col} must be numeric, date or timestamp, not {dt}")
+
+
+def _fold_admit(rows: DataFrame, budget_col: str, order, cost_col: str,
+                refuse_when_exhausted: bool, num_partitions: int | None) -> DataFrame:
+    """Exact fold over rows carrying ``total_micro`` and ``_used`` (consumed
+    before them); adds ``_admitted``."""
+    schema = T.StructType(rows.schema.fields + [T.StructField("_admitted", T.BooleanType(), False)])
+
+    def init(first):
+        return int(first["_used"])
+
+    def step(used, seg: pd.DataFrame):
+        total = int(seg["total_micro"].iat[0])
+        admitted, _, used = greedy_admit(seg[cost_col].to_numpy(dtype=np.int64), used, total,
+                                         refuse_when_exhausted)
+        out = seg.copy()
+        out["_admitted"] = admitted
+        return used, out
+
+    return ordered_fold(rows, [budget_col], list(order), init, step, schema, num_partitions=num_partitions)
+
+
+def split_admit(rows: DataFrame, budget_col: str, order_col: str, tie_cols, cost_col: str,
+                refuse_when_exhausted: bool, rounds: int = SPLIT_ROUNDS,
+                num_partitions: int | None = None) -> DataFrame:
+    """Skip-fold decisions for hot budgets by rounds of prefix sums.
+
+    ``rows``: ``budget_col``, numeric ``order_col`` (+ ``tie_cols``, unique per
+    budget), ``cost_col``, ``total_micro`` and ``_used0`` (consumed before
+    these rows).  Adds ``_admitted``.  Each round's state is checkpointed, so
+    lineage stays one round long and a lost executor recomputes one round.
+    """
+    tie_cols = list(tie_cols)
+    total, cost = F.col("total_micro"), F.col(cost_col)
+    pending = rows.withColumn("_k", F.struct(order_col, *tie_cols)).withColumn("_used", F.col("_used0"))
+    work = [c for c in pending.columns]
+    parts = []
+    for _ in range(rounds):
+        live = (cost >= 0) & (cost <= total - F.col("_used"))
+        if refuse_when_exhausted:
+            live = live & (F.col("_used") < total)
+        p = (pending.withColumn("_live", live)
+             .withColumn("_lc", F.when(F.col("_live"), cost).otherwise(F.lit(0)).cast("long")))
+        p = materialize(exclusive_prefix(p, order_col, ["_lc"], [budget_col], tie_cols))
+        before = F.col("_used") + F.col("_lc_before")
+        fits = before + cost <= total
+        if refuse_when_exhausted:
+            fits = fits & (before < total)
+        first_bad = (p.where(F.col("_live") & ~fits).groupBy(budget_col)
+                     .agg(F.min(F.struct("_k", "_lc_before")).alias("_fb")))
+        j = p.join(first_bad, budget_col, "left")
+        still_open = F.col("_fb").isNotNull() & (F.col("_k") > F.col("_fb._k"))
+        parts.append(j.where(~still_open).select(
+            *work, (F.col("_live") & (F.col("_fb").isNull() | (F.col("_k") < F.col("_fb._k")))).alias("_admitted")))
+        pending = materialize(j.where(still_open).withColumn("_used", F.col("_used") + F.col("_fb._lc_before"))
+                              .select(*work))
+        if pending.isEmpty():
+            break
+    else:
+        parts.append(_fold_admit(pending, budget_col, [order_col, *tie_cols], cost_col,
+                                 refuse_when_exhausted, num_partitions).select(*work, "_admitted"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.drop("_k", "_used")
+
+
+def _split_hot(ops: DataFrame, budget_col: str, hot_rows: int | None):
+    """(cold ops, hot ops) or (ops, None) when no budget is hot."""
+    if hot_rows is None:
+        return ops, None
+    hot = hot_keys(ops, budget_col, hot_rows)
+    if hot.isEmpty():
+        return ops, None
+    hot = sized_broadcast(hot)
+    return ops.join(hot, budget_col, "left_anti"), ops.join(hot, budget_col, "left_semi")
+
+
 # --------------------------------------------------------------------------
 # E4 — ordered gate
 # --------------------------------------------------------------------------
 
 def consume_budget(ops: DataFrame, budgets: DataFrame | int, order=("seq",),
                    budget_col: str = "budget_id", cost_col: str = "epsilon_micro",
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Admit each operation in ``order`` if it still fits its budget.
 
     An admitted operation adds its cost; a refused one consumes nothing, and
@@ -38,7 +174,9 @@ def consume_budget(ops: DataFrame, budgets: DataFrame | int, order=("seq",),
 
     Adds ``allowed BOOLEAN`` and ``cumulative_micro BIGINT`` (consumption
     after the row was decided).  Not a running sum — a refused row is
-    skipped — so it runs as a streaming fold per budget.
+    skipped — so it runs as a streaming fold per budget, or, for budgets
+    with more than ``hot_rows`` operations, by the split path (module doc).
+    ``order`` must be unique within a budget.
     """
     if isinstance(budgets, DataFrame):
         ops = ops.join(budgets.select(F.col("budget_id").alias(budget_col), "total_micro"),
@@ -63,8 +201,19 @@ def consume_budget(ops: DataFrame, budgets: DataFrame | int, order=("seq",),
         out["cumulative_micro"] = after
         return used, out
 
-    return ordered_fold(ops, [budget_col], list(order), init, step, schema,
-                        num_partitions=num_partitions)
+    cold, hot = _split_hot(ops, budget_col, hot_rows)
+    folded = ordered_fold(cold, [budget_col], list(order), init, step, schema,
+                          num_partitions=num_partitions)
+    if hot is None:
+        return folded
+    order = list(order)
+    h = hot.withColumn("_o", order_number(hot, order[0])).withColumn("_used0", F.lit(0).cast("long"))
+    dec = split_admit(h, budget_col, "_o", order[1:], cost_col, True, num_partitions=num_partitions)
+    dec = dec.withColumn("_ac", F.when(F.col("_admitted"), F.col(cost_col)).otherwise(F.lit(0)).cast("long"))
+    dec = exclusive_prefix(dec, "_o", ["_ac"], [budget_col], order[1:])
+    split = dec.select(*ops.columns, F.col("_admitted").alias("allowed"),
+                       (F.col("_used0") + F.col("_ac_before") + F.col("_ac")).alias("cumulative_micro"))
+    return folded.unionByName(split)
 
 
 def budget_status(charged: DataFrame, budget_col: str = "budget_id",
@@ -88,7 +237,7 @@ def budget_status(charged: DataFrame, budget_col: str = "budget_id",
 # --------------------------------------------------------------------------
 
 def allocate_budget(ops: DataFrame, budgets: DataFrame | int, budget_col: str = "budget_id",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """E5: greedy allocation per budget.
 
     ``ops``: ``budget_id, op_id, seq, epsilon_micro, utility_value,
@@ -96,7 +245,9 @@ def allocate_budget(ops: DataFrame, budgets: DataFrame | int, budget_col: str =
     tiers 2–3 by utility density; an op that fits is ALLOCATED, otherwise
     DEFERRED when it can wait and BLOCKED when it cannot.  Epsilon must be
     > 0 (else the op is BLOCKED).  Adds ``status``, ``alloc_rank`` and
-    ``remaining_micro`` (budget left after the op).
+    ``remaining_micro`` (budget left after the op).  ``seq`` must be unique
+    within a budget.  Budgets with more than ``hot_rows`` ops take the split
+    path in two phases (tier 1 by ``seq``, then the rest by density).
     """
     if isinstance(budgets, DataFrame):
         ops = ops.join(budgets.select(F.col("budget_id").alias(budget_col), "total_micro"),
@@ -131,11 +282,45 @@ def allocate_budget(ops: DataFrame, budgets: DataFrame | int, budget_col: str =
         out["remaining_micro"] = total - after
         return (used, rank + n), out
 
-    res = ordered_fold(ops, [budget_col], ["_later", "_neg_density", "seq"], init, step, schema,
+    cold, hot = _split_hot(ops, budget_col, hot_rows)
+    res = ordered_fold(cold, [budget_col], ["_later", "_neg_density", "seq"], init, step, schema,
                        num_partitions=num_partitions)
+    if hot is not None:
+        res = res.unionByName(_allocate_split(hot, budget_col, num_partitions))
     return res.drop("_later", "_neg_density")
 
 
+def _allocate_split(hot: DataFrame, budget_col: str, num_partitions: int | None) -> DataFrame:
+    """E5 for hot budgets: phase A (tier 1, by seq), then phase B (later
+    tiers, by density, then seq) starting from what phase A consumed."""
+    cols = hot.columns
+    total = F.col("total_micro")
+    h = hot.withColumn("_cost", F.when(F.col("epsilon_micro") > 0, F.col("epsilon_micro"))
+                       .otherwise(total + 1).cast("long"))
+    a = split_admit(h.where(F.col("_later") == 0).withColumn("_used0", F.lit(0).cast("long")),
+                    budget_col, "seq", [], "_cost", False, num_partitions=num_partitions)
+    a = materialize(a.withColumn("_ac", F.when(F.col("_admitted"), F.col("_cost")).otherwise(F.lit(0)).cast("long"))
+                    .withColumn("_one", F.lit(1).cast("long")))
+    phase_a = (a.groupBy(budget_col)
+               .agg(F.sum("_ac").cast("long").alias("_used0"), F.count(F.lit(1)).alias("_n_a")))
+    b = (h.where(F.col("_later") == 1).join(phase_a, budget_col, "left")
+         .fillna(0, ["_used0", "_n_a"]))
+    b = split_admit(b, budget_col, "_neg_density", ["seq"], "_cost", False, num_partitions=num_partitions)
+    b = (b.withColumn("_ac", F.when(F.col("_admitted"), F.col("_cost")).otherwise(F.lit(0)).cast("long"))
+         .withColumn("_one", F.lit(1).cast("long")))
+    a = exclusive_prefix(a.withColumn("_n_a", F.lit(0).cast("long")), "seq", ["_ac", "_one"], [budget_col])
+    b = exclusive_prefix(b, "_neg_density", ["_ac", "_one"], [budget_col], ["seq"])
+
+    def finish(df):
+        used_after = F.col("_used0") + F.col("_ac_before") + F.col("_ac")
+        status = (F.when(F.col("_admitted"), F.lit("ALLOCATED"))
+                  .when(F.col("can_be_deferred"), F.lit("DEFERRED")).otherwise(F.lit("BLOCKED")))
+        return df.select(*cols, status.alias("status"),
+                         (F.col("_n_a") + F.col("_one_before") + 1).cast("long").alias("alloc_rank"),
+                         (total - used_after).alias("remaining_micro"))
+    return finish(a).unionByName(finish(b))
+
+
 def allocation_summary(allocated: DataFrame, budget_col: str = "budget_id") -> DataFrame:
     """E5 totals: ε used, utility achieved, utilisation %, counts by status."""
     is_alloc = F.col("status") == "ALLOCATED"

@@ -27,11 +27,14 @@ DEFAULT_BUCKETS = 64
 
 
 def bucket_of(col: str, bounds: Sequence[float]) -> Column:
-    """Index of the range ``col`` falls in: number of bounds ≤ value."""
+    """Index of the range ``col`` falls in: number of bounds ≤ value (0 for
+    null).  A sum of comparisons — plain codegen, no lambda over an outer
+    column."""
     if not bounds:
         return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b <= F.col(col)))
+    v = F.col(col)
+    n = sum(((v >= F.lit(float(b))).cast("int") for b in bounds), F.lit(0))
+    return F.coalesce(n, F.lit(0))
 
 
 def range_bounds(df: DataFrame, col: str, n_buckets: int) -> list[float]:

@@ -22,15 +22,27 @@ def charged_ops(spark, sf_dir):
                              order=("ts", "op_id"))
 
 
-@register("e4_consume_budget", "E4", sql=f"""WITH RECURSIVE {S.skip_fold_sql(_T2_SRC)}
+_E4_SQL = f"""WITH RECURSIVE {S.skip_fold_sql(_T2_SRC)}
 SELECT s.budget_id, s.op_id, s.cost AS epsilon_micro, f.admitted AS allowed,
        f.used_after AS cumulative_micro
-FROM src s JOIN fold f ON s.budget_id = f.budget_id AND s.rn = f.rn""")
+FROM src s JOIN fold f ON s.budget_id = f.budget_id AND s.rn = f.rn"""
+
+
+@register("e4_consume_budget", "E4", sql=_E4_SQL)
 def e4_consume_budget(spark, sf_dir):
     return charged_ops(spark, sf_dir).select(
         "budget_id", "op_id", "epsilon_micro", "allowed", "cumulative_micro")
 
 
+@register("e4_consume_budget_split", "E4", sql=_E4_SQL, bench=False)
+def e4_consume_budget_split(spark, sf_dir):
+    """E4 with every budget treated as hot: the prefix-sum rounds (and the
+    fold for what they leave) must give the fold's answer."""
+    return BG.consume_budget(B.budget_ops(spark, sf_dir), B.BUDGET_TOTAL_MICRO, order=("ts", "op_id"),
+                             hot_rows=0).select(
+        "budget_id", "op_id", "epsilon_micro", "allowed", "cumulative_micro")
+
+
 @register("d21_budget_status", "D21", "E4", sql=f"""WITH RECURSIVE {S.skip_fold_sql(_T2_SRC)},
 agg AS (
   SELECT s.budget_id, max(s.total) AS total_micro,
@@ -81,6 +93,14 @@ def e5_allocate_budget(spark, sf_dir):
         "budget_id", "op_id", "epsilon_micro", "status", "alloc_rank", "remaining_micro")
 
 
+@register("e5_allocate_budget_split", "E5", sql=_ALLOC_ROWS + """
+SELECT budget_id, op_id, epsilon_micro, status, alloc_rank, remaining_micro FROM rows""", bench=False)
+def e5_allocate_budget_split(spark, sf_dir):
+    """E5 with every budget treated as hot (two-phase split path)."""
+    return BG.allocate_budget(B.allocation_ops(spark, sf_dir), B.ALLOCATION_TOTAL_MICRO, hot_rows=0).select(
+        "budget_id", "op_id", "epsilon_micro", "status", "alloc_rank", "remaining_micro")
+
+
 @register("e5_allocation_summary", "E5", sql=_ALLOC_ROWS + """
 SELECT budget_id, max(total) AS total_micro,
        CAST(sum(CASE WHEN status = 'ALLOCATED' THEN epsilon_micro ELSE 0 END) AS BIGINT) AS used_micro,

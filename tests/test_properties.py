@@ -39,6 +39,27 @@ def test_greedy_admit_matches_sequential(seed):
         assert used == int(costs[adm].sum()) <= max(total, 0)
 
 
+@pytest.mark.parametrize("seed,rounds", [(0, 1), (1, 2), (2, 6), (3, 6)])
+def test_split_admit_matches_sequential(spark, seed, rounds):
+    """Prefix-sum rounds (+ fold for the rest) equal the sequential gate."""
+    rng = np.random.default_rng(seed)
+    rows, expect = [], {}
+    for b in range(4):
+        n = int(rng.integers(1, 120))
+        costs = rng.choice([-1, 0, 3, 7, 20, 45], size=n) if b % 2 else rng.integers(-2, 60, size=n)
+        total = int(rng.integers(0, 400))
+        for strict in (True, False):
+            for i, ok in enumerate(_fold_reference(costs.tolist(), total, strict)):
+                expect[(strict, b, i)] = ok
+        rows += [(b, i * 10 + int(rng.integers(0, 9)), int(c), total, 0) for i, c in enumerate(costs)]
+    df = spark.createDataFrame(rows, "budget_id int, seq long, cost long, total_micro long, _used0 long")
+    for strict in (True, False):
+        got = BG.split_admit(df, "budget_id", "seq", [], "cost", strict, rounds=rounds).collect()
+        assert len(got) == len(rows)
+        assert {(strict, r.budget_id, r.seq // 10): r._admitted for r in got} == \
+            {k: v for k, v in expect.items() if k[0] == strict}
+
+
 def test_budget_partition_independent(spark):
     ops = B.budget_ops(spark, SF_SMALL)
     a = {(r.op_id, r.allowed) for r in BG.consume_budget(ops, B.BUDGET_TOTAL_MICRO, order=("ts", "op_id"),

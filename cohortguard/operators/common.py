@@ -20,6 +20,23 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
+def with_dimension(df: DataFrame, dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Pair every row of ``df`` with every row of a small fixed dimension
+    (a questionnaire, a parameter grid).
+
+    The dimension is size-checked (a bounded ``limit(max_rows + 1).count()``),
+    gathered once into an array by a scalar subquery and exploded next to
+    each row: a narrow projection, no join.
+    """
+    n = dim.limit(max_rows + 1).count()
+    if n > max_rows:
+        raise ValueError(f"dimension has more than {max_rows} rows; it is meant to be a small fixed table")
+    cols = dim.columns
+    arr = dim.agg(F.collect_list(F.struct(*cols)).alias("_d")).scalar()
+    return (df.select("*", F.explode(arr).alias("_dim"))
+            .select(*[F.col(c) for c in df.columns], *[F.col(f"_dim.{c}").alias(c) for c in cols]))
+
+
 def with_defaults(df: DataFrame, **defaults) -> DataFrame:
     """Fill nulls in the named columns with Python literals."""
     for name, value in defaults.items():

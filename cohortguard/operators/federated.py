@@ -113,10 +113,13 @@ def aggregate_updates(updates: DataFrame, vec_col: str = "gradient_update", by=(
     long = updates.select(*by, F.posexplode(vec_col).alias("pos", "value"))
     mean = long.groupBy(*by, "pos").agg(F.avg("value").alias("value"))
     vec = assemble_vector(mean, by, out_col="aggregated_gradient")
-    g = updates.groupBy(*by) if by else updates.groupBy()
-    stats = g.agg(F.count(F.lit(1)).alias("n_devices_contributed"),
-                  F.sum("epsilon_consumed").alias("total_epsilon_consumed"))
-    return vec.join(stats, by) if by else vec.crossJoin(stats)
+    aggs = [F.count(F.lit(1)).alias("n_devices_contributed"),
+            F.sum("epsilon_consumed").alias("total_epsilon_consumed")]
+    if by:
+        return vec.join(updates.groupBy(*by).agg(*aggs), by)
+    stats = updates.agg(*aggs)
+    return vec.select("*", *[stats.select(c).scalar().alias(c)
+                             for c in ("n_devices_contributed", "total_epsilon_consumed")])
 
 
 # --------------------------------------------------------------------------

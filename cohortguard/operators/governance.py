@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import fixtures as FX
-from .common import sized_broadcast
+from .common import sized_broadcast, with_dimension
 
 
 def _c(x) -> Column:
@@ -74,13 +74,14 @@ def privacy_roi(df: DataFrame) -> DataFrame:
 def roi_grid(scenarios: DataFrame, probabilities: Sequence[float],
              effectiveness: Sequence[float], key: str = "scenario") -> DataFrame:
     """Sensitivity sweep — every scenario × probability × effectiveness,
-    then best and worst ROI per scenario.  The grid is a fixed-size literal
-    table (|probabilities| × |effectiveness| rows), broadcast by construction."""
-    spark = scenarios.sparkSession
-    grid = spark.createDataFrame([(float(p), float(e)) for p in probabilities for e in effectiveness],
-                                 "breach_probability_pct double, control_effectiveness double")
+    then best and worst ROI per scenario.  The grid values are literal arrays
+    exploded next to each scenario (a narrow projection)."""
     base = scenarios.drop("breach_probability_pct", "control_effectiveness")
-    swept = privacy_roi(base.crossJoin(F.broadcast(grid)))
+    swept = privacy_roi(
+        base.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
+                    .alias("breach_probability_pct"))
+        .select("*", F.explode(F.array(*[F.lit(float(e)) for e in effectiveness]))
+                .alias("control_effectiveness")))
     return (swept.groupBy(key)
             .agg(F.max("p_roi").alias("best_p_roi"), F.min("p_roi").alias("worst_p_roi"),
                  F.max_by("breach_probability_pct", F.struct("p_roi", "breach_probability_pct"))
@@ -102,8 +103,7 @@ def apply_answers(projects: DataFrame, checklist: DataFrame, answers: DataFrame,
     either "P1-Q2" or "1.2".  Unknown references are ignored.  The caller's
     reference is kept in ``criterion_ref`` (canonical id when unanswered).
     """
-    cl = sized_broadcast(checklist)
-    grid = projects.select(project_col).distinct().crossJoin(cl)
+    grid = with_dimension(projects.select(project_col).distinct(), checklist)
     ans = answers.select(project_col, normalize_criterion_id("question_ref").alias("question_id"),
                          "question_ref", "answer")
     return (grid.join(ans, [project_col, "question_id"], "left")

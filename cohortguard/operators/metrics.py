@@ -116,21 +116,21 @@ def standardize(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = No
     """(x − mean) / population std; a constant column divides by 1.
 
     ``stats`` (from :func:`moments`) may come from a different table, e.g.
-    scale a test split with training moments.  The one-row stats table is
-    broadcast by construction.
+    scale a test split with training moments.  The one-row statistics enter
+    as scalar subqueries (Spark merges them into one aggregation), so the
+    scaling itself is a narrow projection.
     """
     st = stats if stats is not None else moments(df, cols)
-    st = st.select(*[F.col(f"{c}__mean") for c in cols], *[F.col(f"{c}__sdp") for c in cols])
-    j = df.crossJoin(F.broadcast(st))
     out = []
     for c in df.columns:
         if c in cols:
-            sd = F.col(f"{c}__sdp")
+            mean = st.select(f"{c}__mean").scalar()
+            sd = st.select(f"{c}__sdp").scalar()
             sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-            out.append(((F.col(c).cast("double") - F.col(f"{c}__mean")) / sd).alias(c))
+            out.append(((F.col(c).cast("double") - mean) / sd).alias(c))
         else:
             out.append(F.col(c))
-    return j.select(*out)
+    return df.select(*out)
 
 
 def linear_score(cols: Sequence[str], weights: Sequence[float], bias: float = 0.0) -> Column:

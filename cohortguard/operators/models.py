@@ -259,10 +259,10 @@ def governance_log(logs: DataFrame) -> DataFrame:
 def round_progress(logs: DataFrame) -> DataFrame:
     """AUC change per round and the best round (rounds are few)."""
     w = Window.orderBy("round_number")
-    best = logs.agg(F.max_by("round_number", F.struct("global_auc", -F.col("round_number"))).alias("best_round"))
-    return (logs.select("round_number", "global_auc",
-                        (F.col("global_auc") - F.lag("global_auc").over(w)).alias("auc_change"))
-            .crossJoin(best))
+    best = logs.agg(F.max_by("round_number", F.struct("global_auc", -F.col("round_number")))).scalar()
+    return logs.select("round_number", "global_auc",
+                       (F.col("global_auc") - F.lag("global_auc").over(w)).alias("auc_change"),
+                       best.alias("best_round"))
 
 
 def regulator_report(logs: DataFrame, regulator: str) -> DataFrame:

@@ -215,18 +215,15 @@ def feature_minimization(spark, sf_dir):
                                  M.linear_score([c for c, _ in keep], [w for _, w in keep]).alias("score")))
     long = z.select("label", F.explode(F.array(*variants)).alias("v")).select("label", "v.variant", "v.score")
     aucs = M.roc_auc(long, "label", "score", by=["variant"])
-    full = aucs.where(F.col("variant") == "__full__").select(F.col("auc").alias("_auc_full"))
+    full = aucs.where(F.col("variant") == "__full__").select("auc").scalar()
     drop = aucs.where(F.col("variant") != "__full__").select(F.col("variant").alias("feature"),
                                                               F.col("auc").alias("auc_without_feature"))
-    means = z.agg(*[F.avg(c).alias(f"m_{c}") for c in feats])
-    dev = z.crossJoin(F.broadcast(means)).agg(*[
-        F.avg(F.abs(F.col(c) - F.col(f"m_{c}"))).alias(c) for c in feats])
+    dev = z.agg(*[F.avg(F.abs(F.col(c) - z.agg(F.avg(c)).scalar())).alias(c) for c in feats])
     pairs = ", ".join(f"'{c}', {i}, {abs(w)!r}D * `{c}`" for i, (c, w) in enumerate(zip(feats, MIN_WEIGHTS)))
     imp = dev.selectExpr(f"stack({len(feats)}, {pairs}) AS (feature, feature_pos, importance)")
     tiers = spark.createDataFrame(list(FEATURE_TIERS), "feature string, tier string")
     res = (G.with_privacy_tier(imp.join(drop, "feature"), tiers)
-           .crossJoin(F.broadcast(full))
-           .withColumn("auc_delta", F.round(F.col("_auc_full") - F.col("auc_without_feature"), _D))
+           .withColumn("auc_delta", F.round(full - F.col("auc_without_feature"), _D))
            .withColumn("recommendation", G.minimization_decision("auc_delta", "privacy_risk_tier", MIN_TOL)))
     from pyspark.sql import Window
     w = Window.orderBy("importance", "feature_pos")  # one row per feature: bounded

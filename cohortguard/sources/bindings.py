@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import pseudonymize
+from ..operators.common import with_dimension
 from .tables import read
 
 # ---------------------------------------------------------------------------
@@ -112,9 +113,9 @@ def customer_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.avg("o_totalprice").alias("mean_price"),
                 F.datediff(F.max("o_orderdate").cast("date"), F.min("o_orderdate").cast("date"))
                 .alias("span_days")))
-    avg_spend = per.agg(F.avg("spend").alias("_avg_spend"))
+    avg_spend = per.agg(F.avg("spend")).scalar()
     return (c.join(per, c.c_custkey == per.o_custkey, "inner")
-            .crossJoin(F.broadcast(avg_spend))  # one row
+            .withColumn("_avg_spend", avg_spend)
             .select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment",
                     F.col("c_acctbal").alias("acctbal"),
                     F.col("n_orders").cast("double").alias("n_orders"),
@@ -224,7 +225,7 @@ def checklist_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     unanswered when (suppkey + question_pos) % 11 = 0."""
     from .fixtures import checklist
     s = read(spark, sf_dir, "supplier", "s_suppkey")
-    g = s.crossJoin(F.broadcast(checklist(spark)))  # 22-row literal dimension
+    g = with_dimension(s, checklist(spark))  # 22-row literal questionnaire
     dotted = F.concat(F.col("principle_id").cast("string"), F.lit("."),
                       F.regexp_extract("question_id", r"Q(\d+)$", 1))
     ref = F.when(F.col("s_suppkey") % 2 == 0, F.col("question_id")).otherwise(dotted)

@@ -32,32 +32,35 @@ def _key(seed, stream: str, ids) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def keyed_uniform(seed, stream: str, *ids) -> Column:
+def keyed_uniform(seed, stream: str, *ids, part: int = 0) -> Column:
     """Uniform double in the open interval (0, 1), keyed by ``ids``.
 
     ``ids`` are column names or Columns of integer or string type (doubles
-    format differently across engines; do not key on them).
+    format differently across engines; do not key on them).  ``part`` 0 or 1
+    picks hex digits 1–13 or 14–26 of the digest: two independent uniforms
+    from one MD5 (Spark evaluates the shared digest once per row).
     """
-    bits = F.conv(F.substring(F.md5(_key(seed, stream, ids)), 1, 13), 16, 10).cast("bigint")
+    hexd = F.substring(F.md5(_key(seed, stream, ids)), 1 + 13 * part, 13)
+    bits = F.conv(hexd, 16, 10).cast("bigint")
     return (bits.cast("double") + F.lit(0.5)) / F.lit(TWO_POW_52)
 
 
-def keyed_uniform_sql(seed, stream: str, *id_exprs: str) -> str:
+def keyed_uniform_sql(seed, stream: str, *id_exprs: str, part: int = 0) -> str:
     """DuckDB expression equal to :func:`keyed_uniform` for the same key."""
     parts = [f"'{seed}'", f"'{stream}'"] + [f"CAST({e} AS VARCHAR)" for e in id_exprs]
     digest = f"md5(concat_ws('|', {', '.join(parts)}))"
-    return (f"((CAST(('0x' || substr({digest}, 1, 13)) AS BIGINT))::DOUBLE + 0.5::DOUBLE)"
+    return (f"((CAST(('0x' || substr({digest}, {1 + 13 * part}, 13)) AS BIGINT))::DOUBLE + 0.5::DOUBLE)"
             f" / {TWO_POW_52!r}::DOUBLE")
 
 
 def keyed_normal(seed, stream: str, *ids) -> Column:
-    """Standard normal draw by Box–Muller on two keyed uniforms."""
-    u1 = keyed_uniform(seed, stream + ":n1", *ids)
-    u2 = keyed_uniform(seed, stream + ":n2", *ids)
+    """Standard normal draw by Box–Muller on the two uniforms of one digest."""
+    u1 = keyed_uniform(seed, stream + ":n", *ids, part=0)
+    u2 = keyed_uniform(seed, stream + ":n", *ids, part=1)
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(TWO_PI) * u2)
 
 
 def keyed_normal_sql(seed, stream: str, *id_exprs: str) -> str:
-    u1 = keyed_uniform_sql(seed, stream + ":n1", *id_exprs)
-    u2 = keyed_uniform_sql(seed, stream + ":n2", *id_exprs)
+    u1 = keyed_uniform_sql(seed, stream + ":n", *id_exprs, part=0)
+    u2 = keyed_uniform_sql(seed, stream + ":n", *id_exprs, part=1)
     return f"(sqrt(-2.0::DOUBLE * ln({u1})) * cos({TWO_PI!r}::DOUBLE * {u2}))"

@@ -35,7 +35,14 @@ RELEASE_DECIMALS = 6
 
 def cap_rows_per_subject(df: DataFrame, subject_col: str, max_rows: int, seed,
                          id_col: str) -> DataFrame:
-    """Keep at most ``max_rows`` rows per subject (a keyed-random choice)."""
+    """Keep at most ``max_rows`` rows per subject (a keyed-random choice).
+
+    ``row_number() <= k`` lets Spark plan a partial ``WindowGroupLimit``
+    before the shuffle, so each map task forwards at most ``max_rows`` rows
+    per subject: a subject holding a third of all rows costs no more than
+    any other (for ``max_rows`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``).
+    """
     w = Window.partitionBy(subject_col).orderBy(keyed_uniform(seed, "cap", id_col), F.col(id_col))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_rows).drop("_rn")
 

@@ -27,14 +27,16 @@ from ..functions.prf import TWO_POW_52, keyed_uniform_sql
 TWO_PI = 2.0 * math.pi
 
 
-def _u_spark(seed, stream, id_col):
+def _u_spark(seed, stream, id_col, part=0):
     key = f"concat_ws('|', '{seed}', '{stream}', CAST({id_col} AS STRING))"
-    return (f"((CAST(conv(substring(md5({key}), 1, 13), 16, 10) AS BIGINT) + 0.5D)"
+    return (f"((CAST(conv(substring(md5({key}), {1 + 13 * part}, 13), 16, 10) AS BIGINT) + 0.5D)"
             f" / {TWO_POW_52!r}D)")
 
 
-def _u(dialect, seed, stream, id_col):
-    return _u_spark(seed, stream, id_col) if dialect == "spark" else keyed_uniform_sql(seed, stream, id_col)
+def _u(dialect, seed, stream, id_col, part=0):
+    if dialect == "spark":
+        return _u_spark(seed, stream, id_col, part)
+    return keyed_uniform_sql(seed, stream, id_col, part=part)
 
 
 def _lit(x, dialect):
@@ -48,8 +50,8 @@ def _lit(x, dialect):
 
 
 def _normal(dialect, seed, stream, id_col):
-    u1 = _u(dialect, seed, stream + ":n1", id_col)
-    u2 = _u(dialect, seed, stream + ":n2", id_col)
+    u1 = _u(dialect, seed, stream + ":n", id_col, 0)
+    u2 = _u(dialect, seed, stream + ":n", id_col, 1)
     return f"(sqrt(-2.0 * ln({u1})) * cos({_lit(TWO_PI, dialect)} * {u2}))"
 
 

@@ -215,7 +215,8 @@ def split_train_test(df: DataFrame, id_col: str, train_frac: float, seed,
                               "_u", ["_one"], groups=[stratify], tie_cols=[id_col])
     sizes = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("_n_class"))
     n_train = F.round(F.col("_n_class").cast("double") * F.lit(float(train_frac))).cast("long")
-    return (ranked.join(F.broadcast(sizes), stratify)
+    # one row per class; AQE broadcasts it from its measured size
+    return (ranked.join(sizes, stratify)
             .withColumn("is_train", F.col("_one_before") < n_train)
             .drop("_u", "_one", "_one_before", "_n_class"))
 

@@ -186,17 +186,86 @@ def _auc_np(y, s) -> float | None:
     return float((order[y == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0))
 
 
+# Sites with more rows than this are fitted by distributed Newton steps
+# instead of inside one pandas group.
+LOCAL_FIT_ROWS = 1_000_000
+
+
+def large_sites(df: DataFrame, site_col: str = "site_id", max_rows: int = LOCAL_FIT_ROWS) -> list:
+    """Sites holding more than ``max_rows`` rows (at most rows / max_rows of them)."""
+    counts = df.groupBy(site_col).count().where(F.col("count") > F.lit(max_rows))
+    return [r[0] for r in counts.select(site_col).collect()]
+
+
+def _newton_sites(df: DataFrame, features, label: str, w0: np.ndarray, site_col: str,
+                  sites: list, iters: int = 25) -> DataFrame:
+    """F7 for large sites: the same L2 Newton solver as :func:`_newton_lr`,
+    but every step is one ``groupBy(site)`` aggregation of the gradient and
+    Hessian sums (partially aggregated, so one site's rows spread over every
+    task); the driver solves the (d+1)×(d+1) system per site."""
+    spark = df.sparkSession
+    d = len(features)
+    site_type = df.schema[site_col].dataType.simpleString()
+    xs = [F.col(f).cast("double") for f in features] + [F.lit(1.0)]
+    reg = np.ones(d + 1)
+    reg[-1] = 0.0
+    W = {s: w0.astype(float).copy() for s in sites}
+    active = set(sites)
+    rows = df.select(site_col, F.col(label).cast("double").alias("_y"), *features)
+    for _ in range(iters):
+        if not active:
+            break
+        wt = spark.createDataFrame([(s, W[s].tolist()) for s in active], f"{site_col} {site_type}, _w array<double>")
+        j = rows.join(F.broadcast(wt), site_col)  # one row per active site: at most rows / LOCAL_FIT_ROWS
+        eta = sum((xs[i] * F.col("_w")[i] for i in range(d + 1)), F.lit(0.0))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+        r, q = p - F.col("_y"), p * (F.lit(1.0) - p)
+        aggs = [F.sum(r * xs[i]).alias(f"g{i}") for i in range(d + 1)]
+        aggs += [F.sum(q * xs[i] * xs[k]).alias(f"h{i}_{k}") for i in range(d + 1) for k in range(i, d + 1)]
+        for row in j.groupBy(site_col).agg(*aggs).collect():
+            s, w = row[0], W[row[0]]
+            g = np.array([row[f"g{i}"] for i in range(d + 1)]) + reg * w
+            H = np.zeros((d + 1, d + 1))
+            for i in range(d + 1):
+                for k in range(i, d + 1):
+                    H[i, k] = H[k, i] = row[f"h{i}_{k}"]
+            step = np.linalg.solve(H + np.diag(reg) + 1e-9 * np.eye(d + 1), g)
+            W[s] = w - step
+            if np.max(np.abs(step)) < 1e-8:
+                active.discard(s)
+    wt = spark.createDataFrame([(s, W[s].tolist()) for s in sites], f"{site_col} {site_type}, w array<double>")
+    scored = rows.join(F.broadcast(wt), site_col).select(
+        site_col, F.col("_y").cast("int").alias("_y"),
+        sum((xs[i] * F.col("w")[i] for i in range(d + 1)), F.lit(0.0)).alias("_s"))
+    auc = M.roc_auc(scored, "_y", "_s", by=[site_col])
+    n = rows.groupBy(site_col).agg(F.count(F.lit(1)).alias("n"))
+    return (wt.join(n, site_col).join(auc.select(site_col, "auc"), site_col, "left")
+            .select(site_col, "n", "w", F.round("auc", 4).alias("local_auc")))
+
+
 def train_sites(df: DataFrame, features, label: str, global_w: Sequence[float] | None,
-                site_col: str = "site_id") -> DataFrame:
+                site_col: str = "site_id", big: list | None = None) -> DataFrame:
     """one local model per site from the global weights (warm start).
 
-    Each site's rows go to one pandas group (a site is one data holder, so
-    its table must fit one worker); the result per site is its size, packed
-    weights [coef…, intercept] and local AUC.
+    A site up to ``LOCAL_FIT_ROWS`` rows is fitted inside one pandas group
+    (NumPy Newton); larger sites (``big``, found by :func:`large_sites` when
+    not given) take distributed Newton steps, so no task ever holds a large
+    site.  The result per site is its size, packed weights
+    [coef…, intercept] and local AUC.
     """
     d = len(features)
     w0 = np.zeros(d + 1) if global_w is None else np.asarray(global_w, dtype=float)
-    schema = T.StructType([T.StructField(site_col, T.StringType()), T.StructField("n", T.LongType()),
+    if big is None:
+        big = large_sites(df, site_col)
+    if big:
+        spark = df.sparkSession
+        site_type = df.schema[site_col].dataType.simpleString()
+        big_df = spark.createDataFrame([(s,) for s in big], f"{site_col} {site_type}")
+        small = train_sites(df.join(F.broadcast(big_df), site_col, "left_anti"), features, label,
+                            global_w, site_col, big=[])
+        return small.unionByName(_newton_sites(df.join(F.broadcast(big_df), site_col, "left_semi"),
+                                               features, label, w0, site_col, big))
+    schema = T.StructType([T.StructField(site_col, df.schema[site_col].dataType), T.StructField("n", T.LongType()),
                            T.StructField("w", T.ArrayType(T.DoubleType())),
                            T.StructField("local_auc", T.DoubleType())])
 
@@ -226,10 +295,11 @@ def federated_train(df: DataFrame, holdout: DataFrame, features, label: str, rou
     ok = gate.where("status = 'PARTICIPATING'").select(site_col)
     declined = sorted(r[0] for r in gate.where("status = 'DECLINED'").select(site_col).collect())
     parts = z.join(ok, site_col, "left_semi")
+    big = large_sites(parts, site_col)
     spark = df.sparkSession
     w, logs = None, []
     for rnd in range(1, rounds + 1):
-        local = train_sites(parts, features, label, None if one_shot else w, site_col).cache()
+        local = train_sites(parts, features, label, None if one_shot else w, site_col, big=big).cache()
         avg = fedavg(local.withColumnRenamed(site_col, "site_id"), "w", "n").first()
         sites = sorted(r[0] for r in local.select(site_col).collect())
         if avg is None or not avg.w:  # no site passed the gate: nothing to average

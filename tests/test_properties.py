@@ -198,3 +198,23 @@ def test_fedavg_of_site_means_is_global_mean(spark):
     glob = (v.select(F.posexplode("w").alias("pos", "value")).groupBy("pos").agg(F.avg("value").alias("m"))
             .orderBy("pos").collect())
     assert [round(a.value, 9) for a in fed] == [round(b.m, 9) for b in glob]
+
+
+def test_distributed_site_fit_matches_local(spark):
+    """Newton steps by groupBy aggregation equal the in-group NumPy fit."""
+    from cohortguard.operators import models as ML
+    from cohortguard.sources import synth as SY
+    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    ids = c.select(F.col("c_custkey").alias("id"),
+                   F.concat(F.lit("site_"), (F.col("c_nationkey") % 3).cast("string")).alias("site_id"))
+    data = SY.multi_site(ids, 42).cache()
+    feats = [f"f{i}" for i in range(8)]
+    sites = sorted(r[0] for r in data.select("site_id").distinct().collect())
+    local = {r.site_id: r for r in ML.train_sites(data, feats, "label", None, big=[]).collect()}
+    dist = {r.site_id: r for r in ML.train_sites(data, feats, "label", None, big=sites).collect()}
+    assert set(local) == set(dist) == set(sites)
+    for s in sites:
+        assert local[s].n == dist[s].n
+        assert np.allclose(local[s].w, dist[s].w, atol=1e-6)
+        assert local[s].local_auc == pytest.approx(dist[s].local_auc, abs=1e-4)
+    data.unpersist()

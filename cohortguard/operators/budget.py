@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, sized_broadcast
+from .common import BROADCAST_MAX_ROWS, materialize
 from .fold import greedy_admit, ordered_fold
 from .prefix import exclusive_prefix
 
@@ -152,9 +152,11 @@ def _split_hot(ops: DataFrame, budget_col: str, hot_rows: int | None):
     if hot_rows is None:
         return ops, None
     hot = hot_keys(ops, budget_col, hot_rows)
-    if hot.isEmpty():
+    keys = hot.limit(BROADCAST_MAX_ROWS + 1).collect()  # one bounded job
+    if not keys:
         return ops, None
-    hot = sized_broadcast(hot)
+    if len(keys) <= BROADCAST_MAX_ROWS:
+        hot = F.broadcast(ops.sparkSession.createDataFrame(keys, hot.schema))
     return ops.join(hot, budget_col, "left_anti"), ops.join(hot, budget_col, "left_semi")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest dimension we are willing to ship to every executor.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -20,21 +21,26 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
-def with_dimension(df: DataFrame, dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+# Largest fixed dimension (questionnaire, grid) embedded in a plan as literals.
+DIMENSION_MAX_ROWS = 10_000
+
+
+def with_dimension(df: DataFrame, dim: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """Pair every row of ``df`` with every row of a small fixed dimension
     (a questionnaire, a parameter grid).
 
-    The dimension is size-checked (a bounded ``limit(max_rows + 1).count()``),
-    gathered once into an array by a scalar subquery and exploded next to
-    each row: a narrow projection, no join.
+    The dimension is read once with a bounded ``limit(max_rows + 1)`` (more
+    rows is an error: it is not a fixed dimension), embedded as a literal
+    array and exploded next to each row — a narrow projection, no join.
     """
-    n = dim.limit(max_rows + 1).count()
-    if n > max_rows:
+    rows = dim.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
         raise ValueError(f"dimension has more than {max_rows} rows; it is meant to be a small fixed table")
-    cols = dim.columns
-    arr = dim.agg(F.collect_list(F.struct(*cols)).alias("_d")).scalar()
+    fields = dim.schema.fields
+    arr = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for r in rows])
+    arr = arr.cast(T.ArrayType(T.StructType(fields)))
     return (df.select("*", F.explode(arr).alias("_dim"))
-            .select(*[F.col(c) for c in df.columns], *[F.col(f"_dim.{c}").alias(c) for c in cols]))
+            .select(*[F.col(c) for c in df.columns], *[F.col(f"_dim.{f.name}").alias(f.name) for f in fields]))
 
 
 def with_defaults(df: DataFrame, **defaults) -> DataFrame:

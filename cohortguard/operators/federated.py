@@ -146,9 +146,10 @@ def secret_share(df: DataFrame, id_col: str, value_col: str, n_parties: int, see
     def draw(p):
         u = keyed_uniform(seed, "share", F.col(id_col), p)
         return (F.floor(u * F.lit(span)).cast("long") - F.lit(SHARE_RANGE))
-    rnd = F.transform(F.sequence(F.lit(1), F.lit(n_parties - 1)), draw)
-    last = F.col(value_col).cast("long") - F.aggregate(rnd, F.lit(0).cast("long"), lambda a, x: a + x)
-    shares = F.concat(rnd, F.array(last))
+    # n is a plan constant: unrolled columns stay in whole-stage codegen
+    rnd = [draw(F.lit(p)) for p in range(1, n_parties)]
+    last = F.col(value_col).cast("long") - sum(rnd[1:], rnd[0])
+    shares = F.array(*rnd, last)
     return (df.select(*keep, id_col, F.posexplode(shares).alias("_p", "share"))
             .select(*keep, id_col, F.concat(F.lit("Party_"), (F.col("_p") + 1).cast("string")).alias("party_id"),
                     "share"))

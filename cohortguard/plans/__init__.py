@@ -14,6 +14,7 @@ PLAN_MODULES = (
     "audit",
     "synthetic",
     "models",
+    "sqlfuncs",
 )
 
 

@@ -173,3 +173,23 @@ def test_legal_basis_gap_sample(spark):
                                   "project string, asset_name string, purpose_id string")
     gaps = {(r.asset_name, r.purpose_id) for r in G.legal_basis_gaps(assets, purposes, bases).collect()}
     assert gaps == {("EHR", "P-02"), ("Genomic", "P-02")}
+
+
+def test_sql_functions_match_dataframe_functions(spark):
+    from pyspark.sql import functions as F
+
+    from cohortguard.functions.hashing import pseudonymize, pseudonymize_py
+    from cohortguard.functions.sqlfunctions import register_sql_functions
+    from cohortguard.operators import metrics as M
+    register_sql_functions(spark)
+    r = spark.sql("SELECT cg_pseudonymize('123') AS p, cg_reidentification_risk(0.7D, 3) AS r, "
+                  "cg_reidentification_risk(0.4D, 80, 100) AS r2, "
+                  "cg_privacy_roi(1.0E8D, 8.0D, 0.75D, 1.0E5D, 8.0E4D, 5.0E4D, 1.5E5D) AS roi, "
+                  "cg_privacy_roi(1.0E8D, 8.0D, 0.75D, 1.0E5D, 8.0E4D, 5.0E4D, 0.0D) AS roi0").first()
+    df = spark.range(1).select(pseudonymize(F.lit("123")).alias("p"),
+                               M.reidentification_risk(F.lit(0.7), F.lit(3)).alias("r"),
+                               M.reidentification_risk(F.lit(0.4), F.lit(80), 100).alias("r2")).first()
+    assert r.p == df.p == pseudonymize_py("123")
+    assert r.r == df.r and r.r2 == df.r2
+    assert r.roi == pytest.approx((1e8 * 0.04 * 0.08 * 0.75 + 1e5 + 8e4 + 5e4) / 1.5e5, rel=1e-12)
+    assert r.roi0 == 0.0

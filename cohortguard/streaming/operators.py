@@ -8,7 +8,9 @@
   the state is the consumed amount; each micro-batch's rows for a budget
   are ordered by seq and admitted with the same kernel as the batch gate.
   A charge already granted is never revoked; late operations are judged on
-  arrival.
+  arrival.  One budget's rows of one micro-batch are sorted together, so
+  bound micro-batches at the source (``maxFilesPerTrigger`` /
+  ``maxBytesPerTrigger``); the state itself is one number per budget.
 * G3 ``stream_audit_counts`` — event-time tumbling windows with a
   watermark, append mode: a window is emitted once the watermark passes its
   end, later rows for it are dropped.

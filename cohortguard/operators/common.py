@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Largest dimension we are willing to ship to every executor.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -29,18 +28,19 @@ def with_dimension(df: DataFrame, dim: DataFrame, max_rows: int = DIMENSION_MAX_
     """Pair every row of ``df`` with every row of a small fixed dimension
     (a questionnaire, a parameter grid).
 
-    The dimension is read once with a bounded ``limit(max_rows + 1)`` (more
-    rows is an error: it is not a fixed dimension), embedded as a literal
-    array and exploded next to each row — a narrow projection, no join.
+    The dimension is gathered into one array by a scalar subquery over
+    ``limit(max_rows + 1)`` (so the gathered list is bounded, and more rows
+    fail the query: it is not a fixed dimension), then exploded next to each
+    row — a narrow projection, no join.
     """
-    rows = dim.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"dimension has more than {max_rows} rows; it is meant to be a small fixed table")
-    fields = dim.schema.fields
-    arr = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for r in rows])
-    arr = arr.cast(T.ArrayType(T.StructType(fields)))
+    cols = dim.columns
+    bounded = dim.limit(max_rows + 1)
+    arr = bounded.agg(
+        F.when(F.count(F.lit(1)) <= F.lit(max_rows), F.collect_list(F.struct(*cols)))
+        .otherwise(F.raise_error(F.lit(f"dimension has more than {max_rows} rows; "
+                                       "it is meant to be a small fixed table")))).scalar()
     return (df.select("*", F.explode(arr).alias("_dim"))
-            .select(*[F.col(c) for c in df.columns], *[F.col(f"_dim.{f.name}").alias(f.name) for f in fields]))
+            .select(*[F.col(c) for c in df.columns], *[F.col(f"_dim.{c}").alias(c) for c in cols]))
 
 
 def with_defaults(df: DataFrame, **defaults) -> DataFrame:

@@ -212,13 +212,10 @@ def split_train_test(df: DataFrame, id_col: str, train_frac: float, seed,
     if stratify is None:
         return df.withColumn("is_train", u < F.lit(float(train_frac)))
     ranked = exclusive_prefix(df.withColumn("_u", u).withColumn("_one", F.lit(1)),
-                              "_u", ["_one"], groups=[stratify], tie_cols=[id_col])
-    sizes = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("_n_class"))
-    n_train = F.round(F.col("_n_class").cast("double") * F.lit(float(train_frac))).cast("long")
-    # one row per class; AQE broadcasts it from its measured size
-    return (ranked.join(sizes, stratify)
-            .withColumn("is_train", F.col("_one_before") < n_train)
-            .drop("_u", "_one", "_one_before", "_n_class"))
+                              "_u", ["_one"], groups=[stratify], tie_cols=[id_col], with_totals=True)
+    n_train = F.round(F.col("_one_total").cast("double") * F.lit(float(train_frac))).cast("long")
+    return (ranked.withColumn("is_train", F.col("_one_before") < n_train)
+            .drop("_u", "_one", "_one_before", "_one_total"))
 
 
 # --------------------------------------------------------------------------

@@ -47,9 +47,12 @@ def range_bounds(df: DataFrame, col: str, n_buckets: int) -> list[float]:
 
 def exclusive_prefix(df: DataFrame, order_col: str, values: Sequence[str],
                      groups: Sequence[str] = (), tie_cols: Sequence[str] = (),
-                     n_buckets: int = DEFAULT_BUCKETS, suffix: str = "_before") -> DataFrame:
+                     n_buckets: int = DEFAULT_BUCKETS, suffix: str = "_before",
+                     with_totals: bool = False) -> DataFrame:
     """Add ``<v><suffix>``: sum of ``v`` over rows of the same group that come
-    strictly before this row in (order_col, *tie_cols) order.
+    strictly before this row in (order_col, *tie_cols) order.  With
+    ``with_totals`` also add ``<v>_total``, the group's sum (from the small
+    per-bucket table, so it costs no extra pass).
 
     ``order_col`` must be numeric.  Rows equal in the full order key must not
     occur (add ``tie_cols`` to make the order total).
@@ -60,8 +63,12 @@ def exclusive_prefix(df: DataFrame, order_col: str, values: Sequence[str],
     totals = b.groupBy(*groups, "_bkt").agg(*[F.sum(v).alias(f"_bt_{v}") for v in values])
     w_off = (Window.partitionBy(*groups).orderBy("_bkt")
              .rowsBetween(Window.unboundedPreceding, -1))
+    extra = []
+    if with_totals:
+        w_all = Window.partitionBy(*groups)
+        extra = [F.sum(f"_bt_{v}").over(w_all).alias(f"{v}_total") for v in values]
     offsets = totals.select(*groups, "_bkt", *[
-        F.coalesce(F.sum(f"_bt_{v}").over(w_off), F.lit(0)).alias(f"_off_{v}") for v in values])
+        F.coalesce(F.sum(f"_bt_{v}").over(w_off), F.lit(0)).alias(f"_off_{v}") for v in values], *extra)
     w_in = (Window.partitionBy(*groups, "_bkt").orderBy(order_col, *tie_cols)
             .rowsBetween(Window.unboundedPreceding, -1))
     inner = b.select("*", *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"_in_{v}") for v in values])

@@ -3,7 +3,8 @@
 A window ``sum(x) OVER (ORDER BY s)`` without ``PARTITION BY`` moves every
 row into one task, and ``PARTITION BY g`` does the same for a group that
 holds most rows.  Instead we cut the order column into ``n_buckets`` ranges
-(from ``approxQuantile``, a bounded driver result) and compute:
+(bounds from ``percentile_approx`` as a scalar subquery of the same query,
+so nothing runs at plan-build time) and compute:
 
 1. per (group, bucket) totals — a small table (groups × buckets rows),
 2. the exclusive running total of those bucket totals (a window over the
@@ -11,9 +12,10 @@ holds most rows.  Instead we cut the order column into ``n_buckets`` ranges
 3. the running sum inside each (group, bucket) — a window partitioned by
    (group, bucket), so each task sees one slice of one group.
 
-prefix = (1) offset of the bucket + (3) running sum inside it.  Bucket
-boundaries are fixed literals, so the plan is deterministic and a retried
-task recomputes the same answer.
+prefix = (1) offset of the bucket + (3) running sum inside it.  Any
+bucketing that is monotone in the order gives the exact prefix, so the
+approximate bounds only affect balance, never values; a query evaluates
+its bounds once, and every task (including retries) uses that value.
 """
 
 from __future__ import annotations
@@ -26,6 +28,21 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 64
 
 
+BOUND_ACCURACY = 1000  # percentile_approx accuracy (relative error 1/1000)
+
+
+def with_bucket(df: DataFrame, col: str, n_buckets: int, out: str = "_bkt") -> DataFrame:
+    """Add ``out``: how many of the ``n_buckets − 1`` approximate quantile
+    bounds of ``col`` (one scalar subquery over ``df``) are ≤ the value."""
+    if n_buckets <= 1:
+        return df.withColumn(out, F.lit(0))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.select(F.percentile_approx(col, probs, BOUND_ACCURACY)).scalar()
+    v, bnd = F.col(col), F.col("_bnd")
+    n = sum(((v >= bnd[i]).cast("int") for i in range(len(probs))), F.lit(0))
+    return df.withColumn("_bnd", bounds).withColumn(out, F.coalesce(n, F.lit(0))).drop("_bnd")
+
+
 def bucket_of(col: str, bounds: Sequence[float]) -> Column:
     """Index of the range ``col`` falls in: number of bounds ≤ value (0 for
     null).  A sum of comparisons — plain codegen, no lambda over an outer
@@ -58,8 +75,7 @@ def exclusive_prefix(df: DataFrame, order_col: str, values: Sequence[str],
     occur (add ``tie_cols`` to make the order total).
     """
     groups, values = list(groups), list(values)
-    bounds = range_bounds(df, order_col, n_buckets)
-    b = df.withColumn("_bkt", bucket_of(order_col, bounds))
+    b = with_bucket(df, order_col, n_buckets)
     totals = b.groupBy(*groups, "_bkt").agg(*[F.sum(v).alias(f"_bt_{v}") for v in values])
     w_off = (Window.partitionBy(*groups).orderBy("_bkt")
              .rowsBetween(Window.unboundedPreceding, -1))

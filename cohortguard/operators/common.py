@@ -55,7 +55,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Used where a plan reads one expensive intermediate from several
     branches (each branch would otherwise recompute it) or feeds it to a
-    driver-side statistic (``approxQuantile``) and then to the main job.
+    driver-side loop (iterative rounds) and then to the main job.
     The folder is ``spark.checkpoint.dir`` from the session (a shared,
     fault-tolerant location on a cluster); a scratch folder is set only when
     none is configured (tests).  Survives executor loss, unlike a local

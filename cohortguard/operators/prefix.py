@@ -26,8 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
-
-
 BOUND_ACCURACY = 1000  # percentile_approx accuracy (relative error 1/1000)
 
 
@@ -43,25 +41,6 @@ def with_bucket(df: DataFrame, col: str, n_buckets: int, out: str = "_bkt") -> D
     return df.withColumn("_bnd", bounds).withColumn(out, F.coalesce(n, F.lit(0))).drop("_bnd")
 
 
-def bucket_of(col: str, bounds: Sequence[float]) -> Column:
-    """Index of the range ``col`` falls in: number of bounds ≤ value (0 for
-    null).  A sum of comparisons — plain codegen, no lambda over an outer
-    column."""
-    if not bounds:
-        return F.lit(0)
-    v = F.col(col)
-    n = sum(((v >= F.lit(float(b))).cast("int") for b in bounds), F.lit(0))
-    return F.coalesce(n, F.lit(0))
-
-
-def range_bounds(df: DataFrame, col: str, n_buckets: int) -> list[float]:
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(col, probs, 0.001)
-    return sorted(set(q for q in qs if q is not None))
-
-
 def exclusive_prefix(df: DataFrame, order_col: str, values: Sequence[str],
                      groups: Sequence[str] = (), tie_cols: Sequence[str] = (),
                      n_buckets: int = DEFAULT_BUCKETS, suffix: str = "_before",

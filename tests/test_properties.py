@@ -218,3 +218,31 @@ def test_distributed_site_fit_matches_local(spark):
         assert np.allclose(local[s].w, dist[s].w, atol=1e-6)
         assert local[s].local_auc == pytest.approx(dist[s].local_auc, abs=1e-4)
     data.unpersist()
+
+
+def test_prefix_matches_window_with_hot_group(spark):
+    """Bucketed prefix (lazy bounds) equals a plain running sum, with one
+    group holding most rows and the group totals attached."""
+    from cohortguard.operators.prefix import exclusive_prefix
+    rng = np.random.default_rng(5)
+    rows = [(0 if rng.random() < 0.7 else int(rng.integers(1, 6)), i, int(rng.integers(0, 9)))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, o long, v long")
+    got = {(r.g, r.o): (r.v_before, r.v_total)
+           for r in exclusive_prefix(df, "o", ["v"], groups=["g"], n_buckets=16, with_totals=True).collect()}
+    run, tot = {}, {}
+    for g, _o, v in rows:
+        tot[g] = tot.get(g, 0) + v
+    for g, o, v in sorted(rows, key=lambda r: r[1]):
+        assert got[(g, o)] == (run.get(g, 0), tot[g])
+        run[g] = run.get(g, 0) + v
+
+
+def test_with_dimension_pairs_and_bounds(spark):
+    from cohortguard.operators.common import with_dimension
+    left = spark.createDataFrame([(1,), (2,), (3,)], "p int")
+    dim = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "q string, w double")
+    out = sorted(tuple(r) for r in with_dimension(left, dim).collect())
+    assert out == [(p, q, w) for p in (1, 2, 3) for q, w in (("a", 1.0), ("b", 2.0))]
+    with pytest.raises(Exception, match="more than 1 rows"):
+        with_dimension(left, dim, max_rows=1).collect()

@@ -43,6 +43,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cohortguard`` importable in the executors' Python workers.
+
+    Folds, per-site fits and streaming state functions run in Python
+    workers, which import this package.  Like ``spark-submit --py-files``,
+    the package is zipped once on the driver and registered with
+    ``addPyFile``, which copies it to every executor.  Once per SparkContext.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="cg-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "cohortguard"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 

@@ -193,3 +193,11 @@ def test_sql_functions_match_dataframe_functions(spark):
     assert r.r == df.r and r.r2 == df.r2
     assert r.roi == pytest.approx((1e8 * 0.04 * 0.08 * 0.75 + 1e5 + 8e4 + 5e4) / 1.5e5, rel=1e-12)
     assert r.roi0 == 0.0
+
+
+def test_ship_package_idempotent(spark):
+    from cohortguard.session import ship_package
+    ship_package(spark)
+    ship_package(spark)  # once per SparkContext; a second call is a no-op
+    import __spark_entry__ as E
+    assert E.queries()["b1_pseudonymize_customers"](spark, "/root/testdata/sf0.001").count() > 0

@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read
 from .exact_dedup import duplicate_groups
+from .packing import pack
+from .toxicity import fit_toxicity, toxicity_scores
 
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity_scores(docs, fit_toxicity(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest_all=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_packing": op2_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

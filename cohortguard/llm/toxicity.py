@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_or_empty
+
 # Lists of group names; names in one list replace each other.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("women", "men", "girls", "boys"),
@@ -94,8 +96,8 @@ class ToxicityModel:
 def held_out(doc_id: str | Column) -> Column:
     """Rows never learnt from: ``crc32`` of the id as text is a multiple of 5
     (a null id counts as an empty text, which is)."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id,
-                              F.lit(None)).cast("string").cast("binary")) % 5 == 0
+    col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.crc32(text_or_empty(col.cast("string")).cast("binary")) % 5 == 0
 
 
 def _swaps(words: set[str], terms) -> Iterator[tuple[str, str]]:
@@ -150,8 +152,8 @@ def _descend(rows: list[tuple[int, list[int]]], swaps: list[tuple[list[int], lis
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", *, terms=IDENTITY_TERMS, max_rows: int = MAX_ROWS,
-                 max_features: int = MAX_FEATURES, l2: float = 1e-5, counterfactual: float = 10.0,
-                 min_count: int = 5, min_z: float = 4.0, steps: int = 400) -> ToxicityModel:
+                 max_features: int = MAX_FEATURES, l2: float = 3e-6, counterfactual: float = 10.0,
+                 min_count: int = 5, min_z: float = 4.0, steps: int = 800) -> ToxicityModel:
     """Fit on at most ``max_rows`` labelled rows that are not held out.
 
     The sampled label rows (``max_rows`` at most) are broadcast to the

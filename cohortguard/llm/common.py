@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +56,15 @@ def attach_group(rows: DataFrame, facts: DataFrame, key: str, size: str, how: st
     hot = F.broadcast(facts.orderBy(F.col(size).desc(), F.col(key)).limit(HOT_GROUPS))
     return (rows.join(hot, key)
             .unionByName(rows.join(hot.select(key), key, "left_anti").join(facts, key, how)))
+
+
+def in_groups(encode, texts: list[str], chars: int = 4_000_000) -> Iterator[bytes]:
+    """Apply ``encode`` to runs of texts of about ``chars`` characters."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= chars:
+            yield from encode(group)
+            group, size = [], 0
+    yield from encode(group)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read
+from .bpe import bpe_digests
 from .exact_dedup import duplicate_groups
 from .packing import pack
 from .toxicity import fit_toxicity, toxicity_scores
@@ -25,6 +26,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest_all=True)
 
@@ -32,6 +38,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
+    "op4_byte_bpe": op4_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import read
 from .bpe import bpe_digests
 from .exact_dedup import duplicate_groups
+from .ngram_join import ngram_jaccard_components
 from .packing import pack
 from .toxicity import fit_toxicity, toxicity_scores
 
@@ -31,6 +32,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest_all=True)
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

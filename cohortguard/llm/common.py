@@ -68,3 +68,27 @@ def in_groups(encode, texts: list[str], chars: int = 4_000_000) -> Iterator[byte
             yield from encode(group)
             group, size = [], 0
     yield from encode(group)
+
+
+#: Bits of a bitmap that marks keys: a fixed 1 MB, whatever the number of keys.
+BITMAP_BITS = 1 << 23
+_BUCKET_BITS = 32768  # of Spark's bitmap functions
+
+
+def bitmap_of(keys: DataFrame, *cols: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """A set of keys as a bitmap of fixed size, one row per 4 KB."""
+    spot = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    return (keys.select((spot / _BUCKET_BITS).cast("int").alias("_bucket"),
+                        F.pmod(spot, F.lit(_BUCKET_BITS)).alias("_bit"))
+            .groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap")))
+
+
+def with_mark(df: DataFrame, bitmap: DataFrame, name: str, *cols: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """Add boolean ``name``: true for every key in the bitmap (and, rarely,
+    for another).  The bitmap is broadcast; its size is fixed."""
+    spot = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.pmod(spot, F.lit(_BUCKET_BITS)) / 8).cast("int") + 1,
+                                    F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, F.pmod(spot, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return (df.withColumn("_bucket", (spot / _BUCKET_BITS).cast("int"))
+            .join(F.broadcast(bitmap), "_bucket", "left").withColumn(name, hit).drop("_bucket", "_bitmap"))

@@ -9,13 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach_group, text_or_empty, written
+from .common import BITMAP_BITS, attach_group, bitmap_of, text_or_empty, with_mark, written
 
 #: Code points of a text that the second refinement hashes.
 PREFIX_CHARS = 64
-#: Bits of the candidate bitmap: a fixed 1 MB, whatever the number of rows.
-BITMAP_BITS = 1 << 23
-_BUCKET_BITS = 32768  # of Spark's bitmap functions
 
 
 def normalised(text: Column) -> Column:
@@ -25,14 +22,6 @@ def normalised(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
 
 
-def _candidate_bitmap(keys: DataFrame, bits: int) -> DataFrame:
-    """Fold the candidate keys into a bitmap of fixed size, one row per 4 KB."""
-    spot = F.pmod(F.xxhash64("_len", "_prefix"), F.lit(bits))
-    return (keys.select((spot / _BUCKET_BITS).cast("int").alias("_bucket"),
-                        F.pmod(spot, F.lit(_BUCKET_BITS)).alias("_bit"))
-            .groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap")))
-
-
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                      digest_all: bool = False, prefix_chars: int = PREFIX_CHARS,
                      bitmap_bits: int = BITMAP_BITS) -> DataFrame:
@@ -61,15 +50,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     counts = sized.groupBy("_len", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     by_len = counts.groupBy("_len").agg(F.sum("_n").alias("_of_len")).where("_of_len > 1")
     keys = counts.join(by_len, "_len", "left_semi").where("_n > 1")
-    bitmap = F.broadcast(_candidate_bitmap(keys, bitmap_bits))
-    spot = F.pmod(F.xxhash64("_len", "_prefix"), F.lit(bitmap_bits))
-    byte = F.conv(F.hex(F.substring("_bitmap", (F.pmod(spot, F.lit(_BUCKET_BITS)) / 8).cast("int") + 1,
-                                    F.lit(1))), 16, 10).cast("int")
-    hit = F.getbit(byte, F.pmod(spot, F.lit(8)).cast("int")) == 1
     sha = F.sha2("_norm", 256)
-    marked = (sized.withColumn("_bucket", (spot / _BUCKET_BITS).cast("int"))
-              .join(bitmap, "_bucket", "left")
-              .select("_id", F.coalesce(hit, F.lit(False)).alias("_open"), "_norm")
+    marked = (with_mark(sized, bitmap_of(keys, "_len", "_prefix", bits=bitmap_bits), "_open", "_len", "_prefix",
+                        bits=bitmap_bits)
               .select("_id", "_open", (sha if digest_all else F.when(F.col("_open"), sha)).alias("_sha"),
                       F.monotonically_increasing_id().alias("_row")))
     table = written(marked, "exact-dedup")

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read
 from .bpe import bpe_digests
 from .exact_dedup import duplicate_groups
 from .ngram_join import ngram_jaccard_components
 from .packing import pack
+from .suffix_dedup import cut_repeats
 from .toxicity import fit_toxicity, toxicity_scores
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -36,6 +38,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest_all=True)
 
@@ -45,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..sources.tables import read
 from .bpe import bpe_digests
 from .exact_dedup import duplicate_groups
+from .fingerprints import compare_with_next
+from .html_extract import extract_main_text, fit_regions
 from .ngram_join import ngram_jaccard_components
 from .packing import pack
 from .suffix_dedup import cut_repeats
@@ -43,6 +45,15 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return extract_main_text(pages, fit_regions(pages))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest_all=True)
 
@@ -52,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_fingerprints": op6_fingerprints,
+    "op8_html_extraction": op8_html_extraction,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }

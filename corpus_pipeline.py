@@ -3,25 +3,58 @@
 ``STAGES`` lists (name, function); each function takes ``(spark, docs,
 sf_dir)`` and returns a DataFrame that is written and read again as the next
 one's ``docs``.  All stages but the last return the columns of ``documents``.
+Nulls, empty texts, repeated rows, empty tables and extra columns are handled
+as each operator's docstring states; extra columns travel along.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortguard.llm.common import written
 from cohortguard.llm.exact_dedup import drop_exact_copies
+from cohortguard.llm.ngram_join import drop_near_copies
+from cohortguard.llm.packing import pack
+from cohortguard.llm.suffix_dedup import drop_repeats
+from cohortguard.llm.toxicity import drop_toxic, fit_toxicity
 from cohortguard.sources.tables import read
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact copies go; the smallest doc_id of each group stays."""
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go.  It learns from labelled rows
+    of ``docs`` that are not held out."""
+    return drop_toxic(docs, fit_toxicity(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the one with the smallest doc_id stays."""
     return drop_exact_copies(docs)
 
 
-STAGES = [("exact_dedup", exact)]
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles (similarity 0.75 or more), the
+    one with the smallest doc_id stays."""
+    return drop_near_copies(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of strings of 100 bytes are cut from the texts; ``n_chars``
+    follows.  No row goes."""
+    return drop_repeats(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, packed into sequences of 4096 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("ngram_jaccard", ngram_jaccard),
+          ("suffix_dedup", suffix_dedup), ("packing", packing)]
 
-#: The toxicity stage fits a model, which SQL cannot express.
+#: None: SQL cannot express the fitted classifier and the tokenizer; the
+#: pipeline is tested against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read
 from .bpe import bpe_digests
+from .common import shared_path
 from .exact_dedup import duplicate_groups
 from .fingerprints import compare_with_next
 from .html_extract import extract_main_text, fit_regions
+from .line_dedup import dedup_lines
 from .ngram_join import ngram_jaccard_components
 from .packing import pack
 from .suffix_dedup import cut_repeats
 from .toxicity import fit_toxicity, toxicity_scores
+from .warc import archived_pages, read_warc, write_warc
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -31,6 +34,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    write_warc(read(spark, sf_dir, "pages"), path)
+    whole = read_warc(spark, path, payload=True, verify=True).where("record_type = 'response'")
+    again = read_warc(spark, path, payload=False).where("record_type = 'revisit'")
+    return archived_pages(whole).unionByName(archived_pages(again))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return bpe_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -54,6 +65,11 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages, fit_regions(pages))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest_all=True)
 
@@ -61,11 +77,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
+    "op3_warc": op3_warc,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_fingerprints": op6_fingerprints,
     "op8_html_extraction": op8_html_extraction,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

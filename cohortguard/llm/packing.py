@@ -10,7 +10,10 @@ pass in order, and deficits cross partitions exactly.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,44 +25,112 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path, text_or_empty
+from .common import in_groups, shared_path, text_or_empty, written
+from .merges import PieceIds, load_word_merges
 
-#: Distinct white-space separated chunks whose ids a task remembers.
-CACHE_CHUNKS = 300_000
-_OWN_SPACES = "\x1c\x1d\x1e\x1f"  # white space to Python, not to the tokenizer
+#: Distinct chunks, and pieces of chunks, whose ids a Python worker remembers.
+CACHE_CHUNKS = 600_000
+_OWN_SPACES = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
+# Fixed value: the split pattern of the word-end tokenizer; a line feed parts chunks here.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _has_word_ends(config: dict) -> bool:
+    """Whether a tokenizer file is of the kind whose merges are folded here:
+    lower-cased, white space dropped, split by ``_PIECES``, word-end symbols."""
+    norm = config.get("normalizer") or {}
+    pre = config.get("pre_tokenizer") or {}
+    kinds = [x.get("type") for x in norm.get("normalizers", [])]
+    splits = pre.get("pretokenizers", [{}])
+    model = config["model"]
+    return (kinds == ["NFC", "Replace", "Lowercase"] and model.get("end_of_word_suffix") == "</w>"
+            and not model.get("dropout") and not model.get("ignore_merges")
+            and splits[0].get("pattern") == {"Regex": _PIECES}
+            and [x.get("type") for x in splits] == ["Split", "ByteLevel"])
 
 
 class ChunkEncoder:
-    """Token ids of texts, for tokenizers that drop white space.
+    """Token ids of texts, as the ``tokenizers`` library gives them.
 
-    Such a tokenizer treats every white-space separated chunk by itself, so
-    each distinct chunk is encoded once and remembered.  ``whole=True``
-    encodes whole texts instead and fits any tokenizer.
+    A tokenizer that drops white space treats every white-space separated
+    chunk by itself, so each distinct chunk is encoded once and remembered:
+    for word-end vocabularies by folding the merges over all new pieces at
+    once, for others by the library.  ``whole=True`` has the library encode
+    whole texts and fits any tokenizer.
     """
 
     def __init__(self, path: str, whole: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[str, bytes] = {}
+        self.pieces = None
+        if not whole and _has_word_ends(config):
+            import regex
+            self.pieces = PieceIds(*load_word_merges(path), self.dtype.str, CACHE_CHUNKS)
+            self.split = regex.compile(_PIECES + r"|\n").findall
+            # chunks the library encodes: those with special tokens, or letters
+            # whose lower case depends on the place in a word
+            marks = [re.escape(t["content"]) for t in config.get("added_tokens", [])]
+            self.odd = re.compile("|".join([*marks, "\u03a3"])).search
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """The ids of ``text``, without special tokens, as packed integers."""
-        if self.whole or any(c in text for c in _OWN_SPACES):
-            return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        chunks, cache = text.split(), self.cache
-        new = [c for c in set(chunks) if c not in cache]
+    def _library(self, chunks: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        self.cache.update(zip(chunks, (self._pack(e.ids) for e in found)))
+
+    def _learn(self, chunks: list[str]) -> None:
+        if self.pieces is None:
+            return self._library(chunks)
+        text = "\n".join([*chunks, ""])
+        if self.odd(text):
+            self._library([c for c in chunks if self.odd(c)])
+            chunks = [c for c in chunks if not self.odd(c)]
+            text = "\n".join([*chunks, ""])
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        split = self.split(text.lower())
+        known = self.pieces.learn(set(split) - {"\n"})
+        known["\n"] = b"\xff" * self.dtype.itemsize  # no id: marks the chunks' ends
+        packed = b"".join(map(known.__getitem__, split))
+        ends = np.flatnonzero(np.frombuffer(packed, self.dtype) == np.iinfo(self.dtype).max) * self.dtype.itemsize
+        starts = np.concatenate([[0], ends[:-1] + self.dtype.itemsize]).tolist() if len(ends) else []
+        self.cache.update(zip(chunks, (packed[a:b] for a, b in zip(starts, ends.tolist()))))
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, without special tokens, as packed integers."""
+        out: list = [None] * len(texts)
+        cache, split, new = self.cache, {}, set()
+        if len(cache) > CACHE_CHUNKS:
+            cache.clear()
+        for i, text in enumerate(texts):
+            if self.whole or _OWN_SPACES.search(text):
+                out[i] = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                continue
+            if "\u03a3" not in text and "<" not in text:  # special tokens are matched before lower-casing
+                text = text.lower()
+            split[i] = text.split()
+            new.update(set(split[i]).difference(cache))
         if new:
-            if len(cache) > CACHE_CHUNKS:
-                cache.clear()
-                new = list(set(chunks))
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            cache.update(zip(new, (self._pack(e.ids) for e in found)))
-        return b"".join([cache[c] for c in chunks])
+            self._learn(list(new))
+        for i, chunks in split.items():
+            out[i] = b"".join(map(cache.__getitem__, chunks))
+        return out
+
+
+_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
+
+
+def _encoder(path: str, whole: bool) -> ChunkEncoder:
+    """The worker's encoder, kept from task to task."""
+    if (path, whole) not in _ENCODERS:
+        _ENCODERS[path, whole] = ChunkEncoder(path, whole)
+    return _ENCODERS[path, whole]
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: str, text_col: str,
@@ -71,14 +142,14 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col:
     schema = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path, whole)
+        encoder = _encoder(tokenizer_path, whole)
         end = b"" if end_id is None else encoder._pack([end_id])
         part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             queues = batch["queue"].to_pylist()
             ids, starts, counts = [], [], []
-            for text, queue in zip(batch["text"].to_pylist(), queues):
-                packed = encoder.encode(text) + end
+            for packed, queue in zip(in_groups(encoder.encode_batch, batch["text"].to_pylist()), queues):
+                packed += end
                 n = len(packed) // encoder.dtype.itemsize
                 at = seen.get(queue, 0)
                 seen[queue] = at + n
@@ -161,16 +232,18 @@ def pieces(shares: list[Share], start: int, n: int, window: int) -> Iterator[tup
             seq -= 1
         while s.taken(bound(seq + 1)) <= y:
             seq += 1
+        a = bound(seq)
+        have, low = s.taken(a), a * s.low // s.length
         while x < end and y < size:
-            a, b = bound(seq), bound(seq + 1)
-            have, upto = s.taken(a), s.taken(b)
+            b = bound(seq + 1)
+            low_b = b * s.low // s.length
+            upto = b * s.high // s.length - low_b
             if upto > y:
                 k = min(end - x, upto - y)
-                begin = s.begin + a - seq * window + b * s.low // s.length - a * s.low // s.length
-                yield x - start, k, seq, begin + y - have
+                yield x - start, k, seq, s.begin + a - seq * window + low_b - low + y - have
                 x, y = x + k, y + k
             if y >= upto:
-                seq += 1
+                seq, a, have, low = seq + 1, b, upto, low_b
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: int | None = 2,
@@ -194,7 +267,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: in
     the result is empty.
     """
     tokens = tokenized(docs, tokenizer_path, end_id, id_col, text_col, source_col, whole_texts)
-    parts = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n"))
+    parts = written(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "queue-parts")
     sums = parts.groupBy("queue").agg(F.sum("n").alias("n"))
     total = sums.agg(F.sum("n")).first()[0] or 0
     key = lambda s: "null" if s is None else f"={s}"
@@ -214,6 +287,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: in
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     offsets = (parts.withColumn("line", line)
                .select("queue", "part", "line", (F.sum("n").over(before) - F.col("n")).alias("base")))
+    # a table of known size: broadcast only while Spark finds it small enough
+    offsets = written(offsets, "queue-offsets")
     placed = tokens.join(offsets, ["queue", "part"]).select(
         "id", "line", (F.col("base") + F.col("start")).alias("start"), "n", "ids", "width")
     id_type = placed.schema["id"].dataType.simpleString()

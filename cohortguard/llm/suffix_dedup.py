@@ -31,8 +31,9 @@ from .shingles import mix, powers, span_hashes
 
 LENGTH = 100
 KGRAM = 24
-#: Anchors that occur more often are split by window instead of by anchor.
-HOT_ANCHOR = 20_000
+#: Anchors that occur more often are split by window instead of by anchor: a
+#: task keeps up to 76 prefixes of 8 bytes for each occurrence of one anchor.
+HOT_ANCHOR = 500_000
 _SEGMENT = 4_000_000  # bytes of a text looked at at once
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -132,26 +133,19 @@ def _surroundings(length: int):
     """Per row of (id, text, spots): the bytes that each spot's windows span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
-            for i, t, marks in zip(*(batch[c].to_pylist() for c in ("id", "text", "marks"))):
-                raw = t.encode()
-                for m in marks:
-                    place, lo, hi = m["spot"] >> 14, (m["spot"] >> 7) & 127, m["spot"] & 127
-                    out[0].append(m["anchor"])
-                    out[1].append(i)
-                    out[2].append(place - lo)
-                    out[3].append(raw[place - lo:place - hi + length])
-                if len(out[0]) > 20_000:
-                    yield _rows(out)
-                    out = ([], [], [], [])
-            if out[0]:
-                yield _rows(out)
-
-    def _rows(out):
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                                           pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())],
-                                          names=["anchor", "id", "start", "bytes"])
+        for whole in batches:
+            for n in range(0, len(whole), 100):
+                batch = whole.slice(n, 100)
+                marks = batch["marks"]
+                counts = marks.value_lengths().to_numpy()
+                anchor, spot = (x.to_numpy() for x in marks.flatten().flatten())
+                lo, hi = (spot >> 14) - ((spot >> 7) & 127), (spot >> 14) - (spot & 127) + length
+                raw = np.repeat(np.arange(len(batch)), counts).tolist()
+                texts = [t.encode() for t in batch["text"].to_pylist()]
+                around = [texts[i][a:b] for i, a, b in zip(raw, lo.tolist(), hi.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor), pa.array(np.repeat(batch["id"].to_numpy(), counts)), pa.array(lo),
+                     pa.array(around, pa.binary())], names=["anchor", "id", "start", "bytes"])
 
     return run
 
@@ -169,38 +163,40 @@ def _windows(t: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def _previous_factors(length: int):
     """Rows sorted by anchor, id and start: the spans of windows whose longest
-    previous factor reaches ``length``.  Buckets are worked off a few at once."""
+    previous factor reaches ``length``.  Streams: of a bucket that goes on, only
+    its distinct prefixes so far are kept."""
 
-    def spans(t: pa.Table) -> pa.RecordBatch:
+    def spans(t: pa.Table, before: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
+        """Spans of some rows, given the prefixes that the last bucket's
+        earlier rows have; and the prefixes of the last bucket so far."""
         row, j, h = _windows(t, length)
         order = np.argsort(h, kind="stable")  # suffix order; equal prefixes by position
         found = np.zeros(len(h), bool)
         found[order[1:]] = h[order[1:]] == h[order[:-1]]  # the previous smaller position has the prefix
+        if len(before):
+            i = np.minimum(np.searchsorted(before, h), len(before) - 1)
+            found |= before[i] == h
+        anchor = t["anchor"].to_numpy()
+        open_ = h[anchor[row] == anchor[-1]]
+        before = np.union1d(before, open_) if anchor[0] == anchor[-1] else np.unique(open_)
         row, j = row[found], j[found]
         cut = np.concatenate([[True], (row[1:] != row[:-1]) | (j[1:] != j[:-1] + 1)])[:len(row)]
         first = np.flatnonzero(cut)
         last = np.append(first[1:], len(row))[:len(first)] - 1
         start = t["start"].to_numpy()[row[first]]
         return pa.RecordBatch.from_arrays([pa.array(t["id"].to_numpy()[row[first]]), pa.array(start + j[first]),
-                                           pa.array(start + j[last] + length)], names=["id", "from", "to"])
+                                           pa.array(start + j[last] + length)], names=["id", "from", "to"]), before
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        before, last = np.empty(0, np.uint64), None
         for batch in batches:
-            anchor = batch["anchor"].to_numpy()
-            if held and size >= 8000 and len(anchor):  # end at a bucket's end
-                last = held[-1]["anchor"][-1].as_py()
-                upto = int(np.argmax(anchor != last)) if (anchor != last).any() else len(anchor)
-                held.append(batch.slice(0, upto))
-                if upto < len(anchor):
-                    yield spans(pa.Table.from_batches(held))
-                    held, size = [], 0
-                batch = batch.slice(upto)
-            if len(batch):
-                held.append(batch)
-                size += len(batch)
-        if held:
-            yield spans(pa.Table.from_batches(held))
+            for n in range(0, len(batch), 5000):
+                t = pa.Table.from_batches([batch.slice(n, 5000)])
+                if t["anchor"][0].as_py() != last:
+                    before = np.empty(0, np.uint64)
+                last = t["anchor"][-1].as_py()
+                made, before = spans(t, before)
+                yield made
 
     return run
 
@@ -282,7 +278,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .select("id", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(n, 500) for b in batches for n in range(0, len(b), 500)):
             rows = []
             for i, t, spans, whole in zip(*(batch[c].to_pylist() for c in ("id", "text", "spans", "whole"))):
                 raw, at, kept = t.encode(), 0, []

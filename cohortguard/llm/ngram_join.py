@@ -9,9 +9,10 @@ connected components.
    linked document must share one of.  Shingles that many documents hold count
    as heavy and come last in the order, so common passages are not posted
    while a document has enough others.  Any heavy list is correct.
-3. Every posting list links its members to its smallest one as candidates;
-   candidates are verified and components formed.  This settles most of the
-   groups of near copies in linear work.
+3. In a few rounds every document tries its likeliest partner, first the
+   smallest member of most of its posting lists, then the one that is in most
+   lists.  Verified links join components, and lists within one component are
+   done.  This settles most groups of near copies in linear work.
 4. What is left are lists that still meet in different components.  They are
    cut into size-banded tiles: a document can only link within its band of
    sizes and the next.  In a tile, hashed bitmap signatures bound the overlap
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_group, discard, text_or_empty, written
+from .common import attach_group, bitmap_of, discard, text_or_empty, with_mark, written
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -39,16 +40,17 @@ from .shingles import shingle_sets
 HEAVY_LIMIT = 100_000
 #: Documents that a shingle must occur in to count as heavy.
 HEAVY_DOCS = 64
+#: Lists of at most this many documents give their pairs as they are.
+SHORT_LIST = 32
 #: Documents compared with each other in one tile.
 TILE_DOCS = 1024
-#: Bits of a signature; documents in a tile all use the same number.
-SIGNATURE_BITS = 2048
-#: Bits of the set of documents that a pass has to look at: a fixed 1 MB.
-MARK_BITS = 1 << 23
-_MARK_BUCKET = 32768  # of Spark's bitmap functions
+#: Least bits of a signature; larger sets have at least two bits a shingle.
+SIGNATURE_BITS = 256
+#: Rounds in which each document tries its likeliest partner; tiles do the rest.
+ROUNDS = 1
 
 
-def _groups(batches: Iterator[pa.RecordBatch], size: int = 4_000_000):
+def _groups(batches: Iterator[pa.RecordBatch], size: int = 400_000):
     """(ids, texts as bytes) in runs of about ``size`` bytes."""
     ids, texts, total = [], [], 0
     for batch in batches:
@@ -67,7 +69,7 @@ def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _survey(k: int, buffer: int = 4_000_000):
+def _survey(k: int, buffer: int = 1_000_000):
     """Per document its set's size and digest; per task the shingles that
     occur in several of its documents, with how many."""
 
@@ -107,6 +109,18 @@ def _survey(k: int, buffer: int = 4_000_000):
 def _postings(k: int, percent: int, heavy: np.ndarray, weight: np.ndarray):
     """The prefix of every set, lightest shingles first; a set that the task
     has posted already is left out (it is of the same class)."""
+    low = np.uint64((1 << 20) - 1)
+    maybe = np.zeros(1 << 20, bool)
+    maybe[(heavy & low).astype(np.int64)] = True
+
+    def ranks(hashes: np.ndarray) -> np.ndarray:
+        """Weight of each shingle, 0 if it is not heavy."""
+        rank = np.zeros(len(hashes), np.int64)
+        at = np.flatnonzero(maybe[(hashes & low).astype(np.int64)])
+        if len(at):
+            i = np.minimum(np.searchsorted(heavy, hashes[at]), len(heavy) - 1)
+            rank[at] = np.where(heavy[i] == hashes[at], weight[i], 0)
+        return rank
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -120,94 +134,103 @@ def _postings(k: int, percent: int, heavy: np.ndarray, weight: np.ndarray):
                 seen.add(d)
             if len(seen) > 500_000:
                 seen.clear()
-            doc = np.repeat(np.arange(len(ids)), sizes)
-            rank = np.zeros(len(hashes), np.int64)
-            if len(heavy):
-                i = np.minimum(np.searchsorted(heavy, hashes), len(heavy) - 1)
-                rank = np.where(heavy[i] == hashes, weight[i], 0)
-            order = np.lexsort((hashes, rank, doc))
-            place = np.arange(len(hashes)) - np.repeat(at[:-1], sizes)
+            rank = ranks(hashes)
+            weighty = np.zeros(len(ids), bool)
+            weighty[np.unique(np.searchsorted(at, np.flatnonzero(rank), side="right") - 1)] = True
             # any linked set shares at least ceil(threshold * size) shingles
             prefix = sizes - -(-sizes * percent // 100) + 1
-            take = order[(place < np.repeat(prefix, sizes)) & np.repeat(new, sizes)]
+            take = [np.empty(0, np.int64)]
+            for i in np.flatnonzero(new):
+                a, b = at[i], at[i + 1]
+                take.append(a + np.argsort(rank[a:b], kind="stable")[:prefix[i]] if weighty[i]
+                            else np.arange(a, a + prefix[i]))
+            take = np.concatenate(take)
+            doc = np.repeat(np.arange(len(ids)), np.where(new, prefix, 0))
             node = np.array([0 if i is None else i for i in ids], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[take].view(np.int64)), pa.array(sizes[doc[take]].astype(np.int32)),
-                 pa.array(node[doc[take]])], names=["token", "size", "node"])
+                [pa.array(hashes[take].view(np.int64)), pa.array(sizes[doc].astype(np.int32)),
+                 pa.array(node[doc])], names=["token", "size", "node"])
 
     return run
 
 
 def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: keep lists of two or more, name their first node.
+    """Rows sorted by token: keep lists of two or more, name their first node
+    and its size.
 
     Streams: what is remembered of a list is its token and first row."""
-    token, pivot, waiting = None, None, None
+    token, first, waiting = None, (0, 0), None
     for batch in batches:
         t, s, n = (batch[c].to_numpy() for c in ("token", "size", "node"))
         if not len(t):
             continue
         start = np.concatenate([[token is None or t[0] != token], t[1:] != t[:-1]])
         at = np.flatnonzero(start)
-        run = np.cumsum(start) - 1  # -1: the list that the last batch left open
-        pivots = np.where(run < 0, pivot if pivot is not None else 0, n[at][run] if len(at) else 0)
+        run = np.cumsum(start)  # 0: the list that the last batch left open
+        pivot = np.append(first[0], n[at])[run]
+        pivot_size = np.append(first[1], s[at])[run]
         length = np.diff(np.append(at, len(t)))
-        keep = np.where(run < 0, True, (length[run] > 1) if len(at) else True)
-        out = [t[keep], s[keep], n[keep], pivots[keep]]
-        if waiting is not None and run[0] < 0:
-            out = [np.concatenate([[w], o]) for w, o in zip(waiting, out)]
-        token, pivot = t[-1], pivots[-1]
-        if run[-1] >= 0 and length[-1] == 1:
-            waiting = (t[-1], s[-1], n[-1], n[-1])
-        elif run[-1] >= 0 or run[0] < 0:
+        keep = np.append(2, length)[run] > 1
+        out = [x[keep] for x in (t, s, n, pivot, pivot_size)]
+        if waiting is not None and run[0] == 0:
+            out = [np.append(w, x) for w, x in zip(waiting, out)]
+        if run[-1] > 0 and length[-1] == 1:
+            waiting = (t[-1], s[-1], n[-1], n[-1], s[-1])
+        else:
             waiting = None
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0].astype(np.int64)), pa.array(out[1].astype(np.int32)), pa.array(out[2].astype(np.int64)),
-             pa.array(out[3].astype(np.int64))], names=["token", "size", "node", "pivot"])
+        token, first = t[-1], (pivot[-1], pivot_size[-1])
+        kinds = (np.int64, np.int32, np.int64, np.int64, np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(k)) for x, k in zip(out, kinds)],
+                                         names=["token", "size", "node", "pivot", "pivot_size"])
 
 
-def _spot(node: str | Column) -> Column:
-    return F.pmod(F.xxhash64(node), F.lit(MARK_BITS))
-
-
-def _mark(nodes: DataFrame) -> np.ndarray:
-    """A set of nodes as a bitmap of fixed size (false hits are harmless)."""
-    rows = (nodes.select(_spot("node").alias("spot"))
-            .groupBy((F.col("spot") / _MARK_BUCKET).cast("int").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.pmod("spot", F.lit(_MARK_BUCKET))).alias("bits")).collect())
-    marks = np.zeros(MARK_BITS // 8, np.uint8)
-    for r in rows:
-        marks[r.bucket * _MARK_BUCKET // 8:(r.bucket + 1) * _MARK_BUCKET // 8] = np.frombuffer(r.bits, np.uint8)
-    return marks
-
-
-def _sets_of(docs: DataFrame, nodes: DataFrame, k: int, signatures: bool) -> DataFrame:
-    """Sorted shingle arrays (packed) of the given nodes' documents."""
-    marks = _mark(nodes)
+def _sets_of(docs: DataFrame, nodes: DataFrame, k: int, signatures: bool = False) -> DataFrame:
+    """Sorted shingle arrays, or signatures, of the nodes' documents."""
+    name, kind = ("signature", "binary") if signatures else ("hashes", "array<long>")
+    rows = with_mark(docs.where("id is not null"), bitmap_of(nodes, "node"), "wanted", "id").where("wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def wanted():
-            for b in batches:
-                spot = b["spot"].to_numpy()
-                yield b.filter(pa.array((marks[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0))
-
-        for ids, texts in _groups(wanted()):
+        for ids, texts in _groups(batches):
             hashes, at = shingle_sets(texts, k)
-            sets = [hashes[a:b] for a, b in zip(at, at[1:])]
-            signs = [_signature(x) if signatures else b"" for x in sets]
-            for i in range(0, len(ids), 500):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[i:i + 500], pa.int64()), pa.array([x.tobytes() for x in sets[i:i + 500]], pa.binary()),
-                     pa.array(signs[i:i + 500], pa.binary())], names=["node", "hashes", "signature"])
+            made = (pa.array([_signature(hashes[a:b]) for a, b in zip(at, at[1:])], pa.binary()) if signatures else
+                    pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64))))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), made], names=["node", name])
 
-    rows = docs.where("id is not null").select("id", "text", _spot("id").alias("spot"))
-    return rows.mapInArrow(run, "node long, hashes binary, signature binary")
+    return rows.select("id", "text").mapInArrow(run, f"node long, {name} {kind}")
 
 
 def _signature(hashes: np.ndarray) -> bytes:
-    bits = np.zeros(SIGNATURE_BITS, np.uint8)
-    bits[(hashes % np.uint64(SIGNATURE_BITS)).astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
+    """A bitmap of the set; its width, a power of two, follows the set's size."""
+    width = max(SIGNATURE_BITS, 1 << (2 * len(hashes) - 1).bit_length()) if len(hashes) else SIGNATURE_BITS
+    bits = np.zeros(width, np.uint8)
+    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(sign: bytes, words: int) -> np.ndarray:
+    """The bitmap that the set would have with a smaller width."""
+    x = np.frombuffer(sign, np.uint64)
+    return np.bitwise_or.reduce(x.reshape(-1, words), axis=0)
+
+
+def _most_shared(signs: list[bytes], sizes: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper bound of the overlap of pairs (x, y) from their bitmaps.
+
+    Shingles that one set has alone are at least the bits it has alone, at the
+    smaller of the two widths."""
+    words = np.fromiter((len(s) // 8 for s in signs), np.int64, len(signs))
+    least, most = np.minimum(words[x], words[y]), np.zeros(len(x), np.int64)
+    for w in np.unique(least):
+        at = np.flatnonzero(least == w)
+        for lo in range(0, len(at), max(1, (1 << 20) // int(w))):
+            k = at[lo:lo + max(1, (1 << 20) // int(w))]
+            have, place = np.unique(np.concatenate([x[k], y[k]]), return_inverse=True)
+            bits = np.stack([_folded(signs[i], int(w)) for i in have])
+            ones = np.bitwise_count(bits).sum(1, dtype=np.int64)
+            i, j = place[:len(k)], place[len(k):]
+            common = np.bitwise_count(bits[i] & bits[j]).sum(1, dtype=np.int64)
+            most[k] = np.minimum(sizes[x[k]] - (ones[i] - common), sizes[y[k]] - (ones[j] - common))
+    return most
 
 
 def _needed(x, y, percent: int):
@@ -215,93 +238,153 @@ def _needed(x, y, percent: int):
     return -(-(percent * (x + y)) // (100 + percent))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sorted arrays intersect in enough shingles."""
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a")
+def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b, ...) whose sorted arrays intersect in enough shingles."""
+    some = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")), k)
+    left = some.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+    right = some.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+    both = pairs.join(right, "b").join(left, "a")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common * 100 >= (F.size("x") + F.size("y") - common) * percent).select(*pairs.columns)
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label, n): the smallest node within two links of each.
+
+    Nodes with one label are connected; a star of links gets one label."""
+    arcs = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = arcs.groupBy("b").agg(F.min("a").alias("m"), F.count(F.lit(1)).alias("n")).select(
+        "b", F.least("m", "b").alias("m"), "n")
+    return (attach_group(arcs, near, "b", "n").groupBy(F.col("a").alias("node"))
+            .agg(F.min("m").alias("label"), F.count(F.lit(1)).alias("n"))
+            .select("node", F.least("label", "node").alias("label"), "n"))
+
+
+def _open(lists: DataFrame) -> DataFrame:
+    """Lists (token, size, node, comp) that meet in several components.
+
+    Lists of the same nodes offer the same pairs: one of them is kept."""
+    kept = (lists.groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("size", "node")).alias("first"), F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.sum(F.xxhash64("node", F.lit(1)) % (1 << 31)).alias("y"))
+        .where("lo < hi").groupBy("n", "x", "y", "first").agg(F.min("token").alias("token"))
+        .select("token", F.col("first.node").alias("pivot"), F.col("n").alias("members")))
+    return lists.select("token", "size", "node", "comp").join(kept, "token")
+
+
+def _likeliest(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataFrame:
+    """Each node's likeliest partner in another component: the centre (node of
+    most lists) of most of its lists, if their sizes allow a link."""
+    degree = lists.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    rows = lists.join(degree, "node")
+    centre = rows.groupBy("token").agg(F.max(F.struct("degree", -F.col("node"), "size", "comp")).alias("c"))
+    pairs = (rows.join(centre, "token")
+             .where((F.col("comp") != F.col("c.comp"))
+                    & (F.least("size", "c.size") * 100 >= F.greatest("size", "c.size") * percent))
+             .groupBy("node", (-F.col("c.col2")).alias("centre"))
+             .agg(F.count(F.lit(1)).alias("n"), F.first("comp").alias("comp"), F.first("c.comp").alias("centre_comp")))
+    if tried is not None:
+        pairs = pairs.join(tried.select(F.col("a").alias("centre"), F.col("b").alias("node")),
+                           ["centre", "node"], "left_anti")
+    best = pairs.groupBy("node").agg(F.max(F.struct("n", -F.col("centre"), "comp", "centre_comp")).alias("p"))
+    return best.select((-F.col("p.col2")).alias("a"), F.col("node").alias("b"),
+                       F.col("p.centre_comp").alias("comp_a"), F.col("p.comp").alias("comp_b"))
+
+
+def _tiles(percent: int, signed: bool, rows_at_once: int = 5_000, pairs_at_once: int = 200_000):
+    """Pairs of nodes in one tile that sizes, components and (if ``signed``)
+    signatures leave possible.
+
+    Rows are sorted by tile and side.  A tile that meets itself (``own``) has
+    side 0 only and pairs its rows with the later ones; others pair side 0 with
+    side 1.  Many small tiles are worked off together, and a pair that several
+    of them hold is looked at once."""
+
+    def possible(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        tile, size, comp, node, side, own = (t[c].to_numpy() for c in
+                                             ("tile", "size", "comp", "node", "side", "own"))
+        nodes, first, which = np.unique(node, return_index=True, return_inverse=True)
+        size, n = size.astype(np.int64), len(nodes)
+        signs, sizes = t["signature"].take(pa.array(first)).to_pylist() if signed else [], size[first]
+        at = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+        stop = np.repeat(np.append(at[1:], len(t)), np.diff(np.append(at, len(t))))
+        ones_side = np.repeat(np.append(at, len(t))[:-1] + np.add.reduceat(side == 0, at),
+                              np.diff(np.append(at, len(t))))
+        begin = np.where(own == 1, np.arange(len(t)) + 1, ones_side)
+        count = np.where(side == 0, stop - begin, 0)
+        done, keys = np.cumsum(count), np.empty(0, np.int64)
+        for lo in range(0, int(done[-1]), pairs_at_once):
+            k = np.arange(lo, min(lo + pairs_at_once, int(done[-1])))
+            i = np.searchsorted(done, k, side="right")
+            j = begin[i] + k - (done[i] - count[i])
+            need = _needed(size[i], size[j], percent)
+            keep = (need <= np.minimum(size[i], size[j])) & (comp[i] != comp[j])
+            x, y = which[i[keep]], which[j[keep]]
+            keys = np.unique(np.append(keys, np.minimum(x, y) * n + np.maximum(x, y)))
+        for lo in range(0, len(keys), pairs_at_once // 4):
+            x, y = np.divmod(keys[lo:lo + pairs_at_once // 4], n)
+            keep = (_most_shared(signs, sizes, x, y) >= _needed(sizes[x], sizes[y], percent) if signed
+                    else np.ones(len(x), bool))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[x[keep]]), pa.array(nodes[y[keep]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"]):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                need = _needed(len(u), len(v), percent)
-                keep.append(need <= min(len(u), len(v)) and len(np.intersect1d(u, v, assume_unique=True)) >= need)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            tile = batch["tile"].to_numpy()
+            if held and rows >= rows_at_once and len(tile):  # end at a tile's end
+                last = held[-1]["tile"][-1].as_py()
+                upto = int(np.argmax(tile != last)) if (tile != last).any() else len(tile)
+                held.append(batch.slice(0, upto))
+                if upto < len(tile):
+                    yield from possible(pa.Table.from_batches(held))
+                    held, rows = [], 0
+                batch = batch.slice(upto)
+            if len(batch):
+                held.append(batch)
+                rows += len(batch)
+        if held:
+            yield from possible(pa.Table.from_batches(held))
 
-    return both.mapInArrow(run, "a long, b long")
+    return run
 
 
-def _tiles(percent: int):
-    """Pairs of one tile that the signatures leave possible.
-
-    Rows are sorted by tile; a tile's rows come with ``side`` 0 or 1, and
-    pairs are within side 0 (when the tile meets itself) or across sides."""
-
-    def pairs_of(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        size, comp, node, sign, side, own = (rows[c] for c in ("size", "comp", "node", "signature", "side", "own"))
-        out_a, out_b = [], []
-        ones = np.bitwise_count(sign).sum(1, dtype=np.int64)
-        left = np.flatnonzero(side == 0)
-        within = bool(own[0])
-        right = left if within else np.flatnonzero(side == 1)
-        for at, i in enumerate(left):
-            js = right[at + 1:] if within else right
-            need = _needed(size[i], size[js], percent)
-            js = js[(need <= np.minimum(size[i], size[js])) & (comp[js] != comp[i])]
-            if not len(js):
-                continue
-            common = np.bitwise_count(sign[js] & sign[i]).sum(1, dtype=np.int64)
-            # shingles of one set alone are at least the bits it has alone
-            most = np.minimum(size[i] - (ones[i] - common), size[js] - (ones[js] - common))
-            js = js[most >= _needed(size[i], size[js], percent)]
-            out_a.append(np.full(len(js), node[i]))
-            out_b.append(node[js])
-        if not out_a:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        return np.minimum(a, b), np.maximum(a, b)
+def _possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that their signatures leave possible."""
+    both = (pairs.join(signs.select(F.col("node").alias("b"), F.col("n").alias("ny"), F.col("signature").alias("y")), "b")
+            .join(signs.select(F.col("node").alias("a"), F.col("n").alias("nx"), F.col("signature").alias("x")), "a")
+            .select("a", "b", "nx", "ny", "x", "y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        for whole in batches:
+            for at in range(0, len(whole), 2000):
+                t = whole.slice(at, 2000)
+                n = len(t)
+                sizes = np.concatenate([t["nx"].to_numpy(), t["ny"].to_numpy()])
+                i = np.arange(n)
+                most = _most_shared(t["x"].to_pylist() + t["y"].to_pylist(), sizes, i, n + i)
+                yield t.select(["a", "b"]).filter(pa.array(most >= _needed(sizes[:n], sizes[n:], percent)))
 
-        def flush():
-            t = pa.Table.from_batches(held)
-            rows = {c: t[c].to_numpy() for c in ("size", "comp", "node", "side", "own")}
-            rows["size"] = rows["size"].astype(np.int64)
-            sign = b"".join(t["signature"].to_pylist())
-            rows["signature"] = np.frombuffer(sign, np.uint64).reshape(len(t), -1)
-            a, b = pairs_of(rows)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    return both.mapInArrow(run, "a long, b long")
 
-        for batch in batches:
-            tile = batch["tile"].to_numpy()
-            cuts = [0, *(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist(), len(tile)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if key is not None and tile[a] != key:
-                    yield flush()
-                    held = []
-                key = tile[a]
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield flush()
 
-    return run
+def _remaining_pairs(lists: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes in different components that share a list and that
+    sizes and signatures leave possible.
+
+    A pair of near copies shares many short lists, so their pairs are made
+    distinct before signatures are moved; long lists are cut into tiles."""
+    short = lists.where(F.col("members") <= SHORT_LIST).select(
+        F.col("token").alias("tile"), F.hash("pivot").alias("place"), F.lit(0).alias("side"), F.lit(1).alias("own"),
+        "size", "node", "comp")
+    plain = (short.repartition("place").sortWithinPartitions("place", "tile", "size")
+             .mapInArrow(_tiles(percent, signed=False), "a long, b long").distinct())
+    tiled = _tile_pairs(lists.where(F.col("members") > SHORT_LIST), signs, percent)
+    return _possible(written(plain, "plain-pairs"), signs, percent).unionByName(tiled).distinct()
 
 
-def _remaining_pairs(lists: DataFrame, comps: DataFrame, docs: DataFrame, k: int, percent: int) -> tuple:
-    """Candidate pairs of lists that meet in several components, and the
-    sorted arrays of their nodes."""
-    comp = F.coalesce("component", "node").alias("comp")
-    marked = lists.select("token", "size", "node").join(comps, "node", "left").select("token", "size", "node", comp)
-    marked = written(marked, "lists")
-    open_lists = (marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                  .where("lo < hi").select("token"))
-    left = written(marked.join(open_lists, "token", "left_semi"), "open-lists")
-    sets = written(_sets_of(docs, left.select("node").distinct(), k, True), "shingle-sets")
+def _tile_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs of long lists, from size-banded tiles with signatures."""
     # bands of sizes: linked sets lie in the same band or in neighbouring ones
     band = F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent)).cast("int")
     banded = left.withColumn("band", band)
@@ -314,7 +397,8 @@ def _remaining_pairs(lists: DataFrame, comps: DataFrame, docs: DataFrame, k: int
     rows = rows.join(above, ["token", "band"], "left").join(below, ["token", "band"], "left")
 
     def tile(low_band: Column, low: Column, high_band: Column, high: Column, side: Column) -> Column:
-        return F.struct(F.xxhash64("token", low_band, low, high_band, high).alias("tile"), side.alias("side"),
+        return F.struct(F.xxhash64("token", low_band, low, high_band, high).alias("tile"),
+                        F.hash("pivot", low_band, low, high_band, high).alias("place"), side.alias("side"),
                         ((low_band == high_band) & (low == high)).cast("int").alias("own"))
 
     b, zero = F.col("band"), F.lit(0)
@@ -324,13 +408,13 @@ def _remaining_pairs(lists: DataFrame, comps: DataFrame, docs: DataFrame, k: int
         F.sequence(zero, F.col("above") - 1), lambda j: tile(b, F.col("block"), b + 1, j, zero)))
     lower = F.when(F.col("below").isNotNull(), F.transform(
         F.sequence(zero, F.col("below") - 1), lambda j: tile(b - 1, j, b, F.col("block"), F.lit(1))))
-    none = F.array().cast("array<struct<tile:bigint,side:int,own:int>>")
+    none = F.array().cast("array<struct<tile:bigint,place:int,side:int,own:int>>")
     dealt = (rows.select("size", "node", "comp", F.explode(F.concat(
         every, F.coalesce(upper, none), F.coalesce(lower, none))).alias("t")).select("size", "node", "comp", "t.*")
         .join(sets.select("node", "signature"), "node"))
-    pairs = (dealt.repartition("tile").sortWithinPartitions("tile", "side", "size", "node")
-             .mapInArrow(_tiles(percent), "a long, b long").distinct())
-    return pairs, sets, [marked, left]
+    pairs = (dealt.repartition("place").sortWithinPartitions("place", "tile", "side", "node")
+             .mapInArrow(_tiles(percent, signed=True), "a long, b long").distinct())
+    return pairs
 
 
 def _heavy(facts: DataFrame, min_docs: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -364,22 +448,56 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     heavy, weight = _heavy(facts, heavy_docs, heavy_limit)
     posted = base.mapInArrow(_postings(words, percent, heavy, weight), "token long, size int, node long")
     lists = written(posted.repartition("token").sortWithinPartitions("token", "size", "node")
-                    .mapInArrow(_shared_lists, "token long, size int, node long, pivot long"), "lists")
-    stars = lists.where("node <> pivot").select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+                    .mapInArrow(_shared_lists, "token long, size int, node long, pivot long, pivot_size int"), "lists")
+    # each node's likeliest partner: the first node of most of its lists
+    stars = (lists.where((F.col("node") != F.col("pivot"))
+                         & (F.col("pivot_size") * 100 >= F.col("size") * percent))
+             .groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+             .where(F.col("n") * 20 >= F.col("size"))  # a fifth of its prefix; the rest wait
+             .groupBy("node").agg(F.max(F.struct("n", -F.col("pivot"))).alias("best"))
+             .select((-F.col("best.col2")).alias("a"), F.col("node").alias("b")))
     stars = written(stars, "stars")
-    ends = stars.select(F.explode(F.array("a", "b")).alias("node"))
-    links = written(_verify(stars, _sets_of(base, ends, words, False), percent), "links")
-    copies = attach_group(sets.where("id is not null and n > 0"), twins, "digest", "rows").where("id <> rep")
-    known = links.unionByName(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
-    known = written(known, "known-links")
-    comps = written(connected_components(known), "components")
-    pairs, arrays, spent = _remaining_pairs(lists, comps, base, words, percent)
-    more = written(_verify(pairs, arrays, percent), "links")
-    discard(lists, stars, links, arrays, *spent)
-    if not more.isEmpty():
-        stars_of = comps.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-        comps = written(connected_components(more.unionByName(stars_of)), "components")
+    copies = (attach_group(sets.where("id is not null and n > 0"), twins, "digest", "rows").where("id <> rep")
+              .select(F.col("rep").alias("a"), F.col("id").alias("b")))
+    known = written(_confirmed(stars, base, words, percent).unionByName(copies), "links")
+    labels = written(_labels(known), "labels")
+    comps = lists.select("token", "size", "node").join(labels, "node", "left").select(
+        "token", "size", "node", F.coalesce("label", "node").alias("comp"))
+    left = written(_open(comps), "open-lists")
+    links, spent = [known], [lists, stars]
+    tried = stars
+    for _ in range(ROUNDS):
+        pairs = written(_likeliest(left, tried, percent), "pairs")
+        more = written(_confirmed(pairs, base, words, percent), "links")
+        tried = tried.unionByName(pairs.select("a", "b"))
+        spent += [pairs, left]
+        links.append(more)
+        merged = _labels(more.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+        now = (left.join(merged.select(F.col("node").alias("comp"), "label"), "comp", "left")
+               .select("token", "size", "node", F.coalesce("label", "comp").alias("comp")))
+        left = written(_open(now), "open-lists")
+    signs = _sets_of(base, left.select("node").distinct(), words, signatures=True)
+    signs = written(signs.join(left.groupBy("node").agg(F.max("size").cast("long").alias("n")), "node"), "signatures")
+    pairs = _remaining_pairs(left, signs, percent).join(tried.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    pairs = written(pairs, "pairs")
+    links.append(written(_confirmed(pairs, base, words, percent), "links"))
+    every = links[0].select("a", "b")
+    for more in links[1:]:
+        every = every.unionByName(more.select("a", "b"))
+    every = written(every, "all-links")
+    discard(*spent, left, signs, pairs)
+    # links between the stars that labels name; most have none left
+    labels = written(_labels(every), "labels")
+    named = attach_group(every.withColumnRenamed("a", "node"), labels.select("node", "label", "n"), "node", "n")
+    named = attach_group(named.select(F.col("label").alias("a"), F.col("b").alias("node")), labels, "node", "n")
+    across = written(named.where("a <> label").select("a", F.col("label").alias("b")).distinct(), "label-links")
+    if across.isEmpty():
+        comps = labels.select("node", F.col("label").alias("component"))
+    else:
+        roots = written(connected_components(across), "components")
+        comps = labels.join(roots.select(F.col("node").alias("label"), "component"), "label", "left").select(
+            "node", F.coalesce("component", "label").alias("component"))
     named = comps.where("node <> component").select(F.col("node").alias("id"), "component")
     return (sets.join(named, "id", "left")
             .select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),

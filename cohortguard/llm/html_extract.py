@@ -37,7 +37,7 @@ NAMED = ("ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrum
          "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "promoted", "related",
          "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
          "complementary", "contentinfo", "search")
-#: Pages that the weights are counted on at most.
+#: Pages that the weights are counted on, about.
 MAX_PAGES = 2000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
@@ -198,12 +198,15 @@ def _blocks(items: list[Item]) -> str:
 
 def fit_regions(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES) -> RegionScorer:
     """Count weights on pages that mark their own content (``article`` or
-    ``main``), at most ``max_pages`` of them (those of smallest page hash).
+    ``main``): all of them up to about ``max_pages``, else the fraction of that
+    size whose page hash is smallest.  Counting runs in the tasks.
 
     Without such pages, words score 1 and tags -1 (linked words too)."""
     some = (pages.select(F.col(html_col).alias("html")).where(F.col("html").isNotNull())
             .where(F.lower("html").contains("<article") | F.lower("html").contains("<main"))
-            .orderBy(F.xxhash64("html")).limit(max_pages))
+            .withColumn("draw", F.pmod(F.xxhash64("html"), F.lit(1 << 30))))
+    n = some.count()
+    some = some.where(F.col("draw") < int((1 << 30) * min(1.0, max_pages / max(n, 1)))).select("html")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()

@@ -57,11 +57,12 @@ class Item:
     """A tag (``name`` set) or a text of a page, in page order.
 
     ``path`` numbers the open elements; ``skip`` tells that one of them is
-    boilerplate."""
+    boilerplate, ``linked`` that one is a link."""
     name: str
     text: str
     path: tuple[int, ...]
     skip: bool
+    linked: bool
 
 
 def _boilerplate(name: str, attrs: str) -> bool:
@@ -80,7 +81,8 @@ def parse(page: str) -> Iterator[Item]:
     open_, n, at = [], 0, 0  # (name, number, skip)
 
     def item(name: str, text: str) -> Item:
-        return Item(name, text, tuple(x[1] for x in open_), bool(open_) and open_[-1][2])
+        return Item(name, text, tuple(x[1] for x in open_), bool(open_) and open_[-1][2],
+                    any(x[0] == "a" for x in open_))
 
     def close(k: int) -> None:
         del open_[k:]
@@ -111,13 +113,19 @@ def parse(page: str) -> Iterator[Item]:
                     close(k)
                 elif open_[k][0] not in _INLINE:
                     break
+        if name == "a":  # links do not nest
+            for k in range(len(open_) - 1, -1, -1):
+                if open_[k][0] == "a":
+                    close(k)
+                elif open_[k][0] not in _INLINE:
+                    break
         skip = bool(open_) and open_[-1][2] or _boilerplate(name, m[3])
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             at = end.end() if end else len(page)
             continue
         n += 1
-        if name not in _VOID and not m[3].endswith("/"):
+        if name not in _VOID:
             open_.append((name, n, skip))
         yield item(name, "")
 
@@ -143,22 +151,20 @@ class RegionScorer:
     linked: float
     unknown: float = -1.0
 
-    def score(self, x: Item, in_link: bool) -> float:
+    def score(self, x: Item) -> float:
         if x.name:
             return self.tags.get(x.name, self.unknown)
         words = len(x.text.split())
-        return (self.linked if in_link else self.word) * words
+        return (self.linked if x.linked else self.word) * words
 
     def region(self, items: list[Item]) -> tuple[int, int]:
         """The run of items with the highest sum (the first on ties)."""
-        best, best_at, total, start, links = 0.0, (0, 0), 0.0, 0, 0
+        best, best_at, total, start = 0.0, (0, 0), 0.0, 0
         for i, x in enumerate(items):
-            links = links + 1 if x.name == "a" else max(0, links - 1) if x.name == "/a" else links
-            if x.skip:
-                if x.name:
-                    total += min(0.0, self.tags.get(x.name, self.unknown))
+            if x.skip:  # boilerplate inside the content costs one tag, whatever its size
+                total += self.unknown if i and not items[i - 1].skip else 0.0
             else:
-                total += self.score(x, links > 0)
+                total += self.score(x)
             if total <= 0:
                 total, start = 0.0, i + 1
             elif total > best:
@@ -175,11 +181,27 @@ class RegionScorer:
         for k in CONTENT:
             for i, x in enumerate(items):
                 if x.name == k and not x.skip and i < hi:
-                    own = x.path[:-1] + (x.path[-1],) if x.path else ()
+                    own = x.path
                     end = next((j for j in range(i + 1, len(items)) if items[j].path[:len(own)] != own), len(items))
                     if end > lo and i <= hi:
                         return _blocks(items[i:end])
-        return _blocks(items[lo:hi])
+        return _blocks(items[slice(*_container(items, lo, hi))])
+
+
+def _container(items: list[Item], lo: int, hi: int) -> tuple[int, int]:
+    """The region grown to the innermost element around all its texts, unless
+    that is the page's body."""
+    paths = [x.path for x in items[lo:hi] if not x.name and not x.skip and x.text.strip()]
+    names = {x.path[-1]: x.name for x in items if x.name and x.path and x.name[0] != "/" and x.name not in _VOID}
+    common = paths[0] if paths else ()
+    for path in paths:
+        common = common[:next((k for k, (a, b) in enumerate(zip(common, path)) if a != b), min(len(common), len(path)))]
+    while common and names.get(common[-1]) in _INLINE:
+        common = common[:-1]
+    if not common or names.get(common[-1]) in ("html", "body", None):
+        return lo, hi
+    inside = [i for i, x in enumerate(items) if x.path[:len(common)] == common]
+    return min(lo, inside[0]), max(hi, inside[-1] + 1)
 
 
 def _blocks(items: list[Item]) -> str:
@@ -214,13 +236,11 @@ def fit_regions(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_P
             for page in batch["html"].to_pylist():
                 items = list(parse(page))
                 label = _label(items)
-                links = 0
                 for x, y in zip(items, label or ()):
-                    links = links + 1 if x.name == "a" else max(0, links - 1) if x.name == "/a" else links
                     if x.name:
                         counts[x.name, y] += 1
                     else:
-                        counts["*a" if links else "*", y] += len(x.text.split())
+                        counts["*a" if x.linked else "*", y] += len(x.text.split())
         rows = [{"what": k, "inside": y, "n": v} for (k, y), v in counts.items()]
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("what", pa.string()), ("inside", pa.bool_()),
                                                                  ("n", pa.int64())]))
@@ -234,9 +254,10 @@ def fit_regions(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_P
     def odds(what: str) -> float:
         return math.log((n.get((what, True), 0) + 1) / (n.get((what, False), 0) + 1))
 
-    # words always score positive and tags negative; the odds set how much
-    tags = {k: min(-0.1, odds(k) - 3.0) for k, _ in n if not k.startswith("*")}
-    return RegionScorer(tags, max(0.2, odds("*")), min(-0.2, odds("*a")) if ("*a", False) in n else -0.2)
+    # a word scores one; tags and linked words score negative, by their odds
+    word = max(0.2, odds("*"))
+    tags = {k: min(-0.1, max(-2.0, (odds(k) - word) / word)) for k, _ in n if not k.startswith("*")}
+    return RegionScorer(tags, 1.0, min(-0.2, max(-1.0, odds("*a") / word)) if ("*a", False) in n else -0.2)
 
 
 def extract_main_text(pages: DataFrame, scorer: RegionScorer, id_col: str = "page_id", url_col: str = "url",

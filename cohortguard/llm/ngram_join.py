@@ -154,34 +154,40 @@ def _postings(k: int, percent: int, heavy: np.ndarray, weight: np.ndarray):
     return run
 
 
-def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: keep lists of two or more, name their first node
-    and its size.
+def _shared_lists(percent: int):
+    """Rows sorted by token and size: keep those that some other row of their
+    list may link with by size (its neighbours are the likeliest), and name
+    the list's first node and its size.
 
-    Streams: what is remembered of a list is its token and first row."""
-    token, first, waiting = None, (0, 0), None
-    for batch in batches:
-        t, s, n = (batch[c].to_numpy() for c in ("token", "size", "node"))
-        if not len(t):
-            continue
-        start = np.concatenate([[token is None or t[0] != token], t[1:] != t[:-1]])
-        at = np.flatnonzero(start)
-        run = np.cumsum(start)  # 0: the list that the last batch left open
-        pivot = np.append(first[0], n[at])[run]
-        pivot_size = np.append(first[1], s[at])[run]
-        length = np.diff(np.append(at, len(t)))
-        keep = np.append(2, length)[run] > 1
-        out = [x[keep] for x in (t, s, n, pivot, pivot_size)]
-        if waiting is not None and run[0] == 0:
-            out = [np.append(w, x) for w, x in zip(waiting, out)]
-        if run[-1] > 0 and length[-1] == 1:
-            waiting = (t[-1], s[-1], n[-1], n[-1], s[-1])
-        else:
-            waiting = None
-        token, first = t[-1], (pivot[-1], pivot_size[-1])
-        kinds = (np.int64, np.int32, np.int64, np.int64, np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(x.astype(k)) for x, k in zip(out, kinds)],
-                                         names=["token", "size", "node", "pivot", "pivot_size"])
+    Streams: what is remembered is the last row."""
+    kinds = (np.int64, np.int32, np.int64, np.int64, np.int32)
+
+    def made(rows) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, k)) for x, k in zip(rows, kinds)],
+                                          names=["token", "size", "node", "pivot", "pivot_size"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kept = None, False  # the last row with its list's first node; whether it stays
+        for batch in batches:
+            t, s, n = (batch[c].to_numpy() for c in ("token", "size", "node"))
+            if not len(t):
+                continue
+            if last is not None:
+                t, s, n = (np.append(w, x) for w, x in zip(last, (t, s, n)))
+            same = t[1:] == t[:-1]
+            start = np.concatenate([[last is None], ~same])
+            at, run_ = np.flatnonzero(start), np.cumsum(start)
+            pivot = np.append(last[3] if last else 0, n[at])[run_]
+            pivot_size = np.append(last[4] if last else 0, s[at])[run_]
+            near = same & (s[:-1].astype(np.int64) * 100 >= s[1:].astype(np.int64) * percent)
+            keep = np.append(kept, near) | np.append(near, False)
+            last, kept = tuple(x[-1] for x in (t, s, n, pivot, pivot_size)), bool(keep[-1])
+            keep[-1] = False
+            yield made([x[keep] for x in (t, s, n, pivot, pivot_size)])
+        if kept:
+            yield made([[x] for x in last])
+
+    return run
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, k: int, signatures: bool = False) -> DataFrame:
@@ -292,7 +298,7 @@ def _likeliest(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataF
                        F.col("p.centre_comp").alias("comp_a"), F.col("p.comp").alias("comp_b"))
 
 
-def _tiles(percent: int, signed: bool, rows_at_once: int = 5_000, pairs_at_once: int = 200_000):
+def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, pairs_at_once: int = 200_000):
     """Pairs of nodes in one tile that sizes, components and (if ``signed``)
     signatures leave possible.
 
@@ -448,7 +454,7 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     heavy, weight = _heavy(facts, heavy_docs, heavy_limit)
     posted = base.mapInArrow(_postings(words, percent, heavy, weight), "token long, size int, node long")
     lists = written(posted.repartition("token").sortWithinPartitions("token", "size", "node")
-                    .mapInArrow(_shared_lists, "token long, size int, node long, pivot long, pivot_size int"), "lists")
+                    .mapInArrow(_shared_lists(percent), "token long, size int, node long, pivot long, pivot_size int"), "lists")
     # each node's likeliest partner: the first node of most of its lists
     stars = (lists.where((F.col("node") != F.col("pivot"))
                          & (F.col("pivot_size") * 100 >= F.col("size") * percent))

@@ -29,7 +29,7 @@ from .common import in_groups, shared_path, text_or_empty, written
 from .merges import PieceIds, load_word_merges
 
 #: Distinct chunks, and pieces of chunks, whose ids a Python worker remembers.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 400_000
 _OWN_SPACES = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 # Fixed value: the split pattern of the word-end tokenizer; a line feed parts chunks here.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

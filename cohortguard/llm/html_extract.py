@@ -47,6 +47,7 @@ _NAME = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SKIPPED, _VOID, _INLINE, _NAMED = map(frozenset, (SKIPPED, VOID, INLINE, NAMED))
+_LEAVES = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "pre", "blockquote", "tr", "td"))
 # Elements whose start closes an open paragraph.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",)}
@@ -196,7 +197,7 @@ def _container(items: list[Item], lo: int, hi: int) -> tuple[int, int]:
     common = paths[0] if paths else ()
     for path in paths:
         common = common[:next((k for k, (a, b) in enumerate(zip(common, path)) if a != b), min(len(common), len(path)))]
-    while common and names.get(common[-1]) in _INLINE:
+    while common and names.get(common[-1]) in _INLINE | _LEAVES:
         common = common[:-1]
     if not common or names.get(common[-1]) in ("html", "body", None):
         return lo, hi

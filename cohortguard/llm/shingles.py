@@ -65,8 +65,12 @@ def shingle_sets(texts: list[bytes], k: int = 5) -> tuple[np.ndarray, np.ndarray
         hs[has] = hs[has] * _BASE + words[first[short[has]] + j] + _U(j)
     hashes = mix(np.concatenate([h, hs + _INVERSE]))
     doc = np.concatenate([doc[full], short])
-    order = np.lexsort((hashes, doc))
-    hashes, doc = hashes[order], doc[order]
+    if len(short):  # put the short texts' shingles in place
+        order = np.argsort(doc, kind="stable")
+        hashes, doc = hashes[order], doc[order]
+    stops = np.cumsum(np.bincount(doc, minlength=len(texts)))
+    for a, b in zip([0, *stops.tolist()], stops.tolist()):
+        hashes[a:b].sort()
     new = np.ones(len(doc), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
     hashes, doc = hashes[new], doc[new]

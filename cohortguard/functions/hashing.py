@@ -44,11 +44,48 @@ def pseudonymize_py(value, salt: str = PSEUDONYM_SALT) -> str:
     return hashlib.sha256(f"{salt}{value}".encode()).hexdigest()[:16]
 
 
+def iso_utc(col) -> Column:
+    """A timestamp as ISO text with microseconds in UTC, whatever the session
+    time zone (computed from the epoch, so local clock changes do not matter)."""
+    us = F.unix_micros(F.col(col) if isinstance(col, str) else col)
+    day = F.floor(us / F.lit(86_400_000_000)).cast("long")
+    day = F.when(day * 86_400_000_000 > us, day - 1).otherwise(day)
+    left = us - day * 86_400_000_000
+    two = lambda x: F.lpad(x.cast("long").cast("string"), 2, "0")
+    second = F.floor(left / 1_000_000)
+    return F.concat(F.date_add(F.lit("1970-01-01").cast("date"), day.cast("int")).cast("string"), F.lit("T"),
+                    two(F.floor(second / 3600)), F.lit(":"), two(F.floor(second / 60) % 60), F.lit(":"),
+                    two(second % 60), F.lit("."), F.lpad((left % 1_000_000).cast("string"), 6, "0"), F.lit("Z"))
+
+
+# JSON's short escapes.
+_SHORT = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
+
+
+def _escaped_char(c: Column) -> Column:
+    """One character as ASCII JSON text: short escapes, else ``\\uXXXX``, a
+    surrogate pair beyond the basic plane."""
+    def unit(x: Column) -> Column:
+        return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(x.cast("long"))), 4, "0"))
+
+    point = F.ascii(c)
+    out = F.when(c == "", F.lit(""))
+    for raw, short in _SHORT.items():
+        out = out.when(c == raw, F.lit(short))
+    high = point - 0x10000
+    return (out.when(point > 0xFFFF, F.concat(unit(F.floor(high / 1024) + 0xD800), unit(high % 1024 + 0xDC00)))
+            .when((point > 126) | (point < 32), unit(point)).otherwise(c))
+
+
 def json_string(col) -> Column:
-    """Quote a string Column as a JSON string literal (escapes \\ and ")."""
+    """Quote a string Column as an ASCII JSON string literal.
+
+    Plain printable ASCII takes the short way; a text with control or
+    non-ASCII characters is escaped character by character."""
     c = F.col(col) if isinstance(col, str) else col
     escaped = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', '\\\\"')
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+    full = F.array_join(F.transform(F.split(escaped, ""), _escaped_char), "")
+    return F.concat(F.lit('"'), F.when(c.rlike(r"[^\x20-\x7e]"), full).otherwise(escaped), F.lit('"'))
 
 
 def json_payload(fields: dict) -> Column:
@@ -56,7 +93,7 @@ def json_payload(fields: dict) -> Column:
 
     Spark's ``to_json`` writes compact JSON, which hashes differently from a
     default-spaced JSON dump; this builds the spaced text with ``concat``.
-    Values must be ASCII strings (a default JSON dump escapes non-ASCII).
+    Control and non-ASCII characters are escaped, as a default JSON dump does.
     """
     parts = []
     for i, name in enumerate(sorted(fields)):

@@ -36,8 +36,8 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
 
     ``init(first_row)`` builds the state when a new key starts; ``step(state,
     segment)`` consumes a contiguous, ordered slice of one key's rows and
-    returns the new state and the output rows for the slice.  Keys must be
-    non-null.
+    returns the new state and the output rows for the slice.  Null keys are
+    one key.
     """
     keys = list(keys)
     spark = df.sparkSession
@@ -54,13 +54,13 @@ def ordered_fold(df: DataFrame, keys: Sequence[str], order: Sequence[Column | st
             change = np.zeros(len(pdf), dtype=bool)
             change[0] = True
             for k in keys:
-                v = pdf[k].to_numpy()
-                change[1:] |= v[1:] != v[:-1]
+                v, null = pdf[k].to_numpy(), pdf[k].isna().to_numpy()
+                change[1:] |= (v[1:] != v[:-1]) & ~(null[1:] & null[:-1])  # nulls are one key
             starts = np.flatnonzero(change)
             ends = np.append(starts[1:], len(pdf))
             outs = []
             for s, e in zip(starts, ends):
-                key = tuple(pdf[k].iat[s] for k in keys)
+                key = tuple(None if pd.isna(x) else x for x in (pdf[k].iat[s] for k in keys))
                 if key != current:
                     current = key
                     state = init(pdf.iloc[s])
@@ -96,15 +96,18 @@ def greedy_admit(cost: np.ndarray, used: int, total: int,
             used = int(after[j - 1])
     # After the first refusal only rows that still fit can change the state.
     if j < n:
-        rest = np.arange(j, n)
-        cand = rest[(cost[rest] >= 0) & (cost[rest] <= total - used)]
-        for i in cand.tolist():
-            if refuse_when_exhausted and used >= total:
-                break
-            c = int(cost[i])
-            if used + c <= total:
-                admitted[i] = True
-                used += c
+        live = np.arange(j, n)
+        live = live[cost[live] >= 0]
+        while len(live) and not (refuse_when_exhausted and used >= total):
+            live = live[cost[live] <= total - used]
+            after = used + np.cumsum(cost[live])
+            bad = after > total
+            if refuse_when_exhausted:
+                bad |= (after - cost[live]) >= total
+            k = int(np.argmax(bad)) if bad.any() else len(live)
+            admitted[live[:k]] = True
+            used = int(after[k - 1]) if k else used
+            live = live[k + 1:]  # the first that does not fit is refused
     # used_after: running consumption, carried forward over refused rows.
     run = np.where(admitted, cost, 0)
     used_after = start_used + np.cumsum(run)

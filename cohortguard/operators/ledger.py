@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import (
     GENESIS_HASH,
-    ISO_MICROS_SPARK,
+    iso_utc,
     json_string,
     record_hash,
 )
@@ -57,7 +57,7 @@ def _hash_fields(df_cols=None, previous="previous_record_hash"):
         "patient_pseudonym": F.col("patient_pseudonym"),
         "previous_record_hash": F.col(previous),
         "record_id": F.col("record_id"),
-        "timestamp": F.date_format(F.col("timestamp"), ISO_MICROS_SPARK),
+        "timestamp": iso_utc("timestamp"),
         "use_case_id": F.col("use_case_id"),
         "version": F.col("version"),
     }
@@ -243,35 +243,37 @@ def verify_chain(ledger: DataFrame, hash_all_fields: bool = False) -> DataFrame:
     base = ledger.select("ledger_id", "seq", "record_id", "patient_pseudonym", "use_case_id",
                          "use_case_description", "action", "timestamp", "expiry_date",
                          "version", "previous_record_hash", "record_hash")
-    prev = ledger.select("ledger_id", (F.col("seq") + 1).alias("seq"),
-                         F.col("record_hash").alias("_pred_hash"))
-    fields = _hash_fields_all() if hash_all_fields else _hash_fields()
-    checked = (base.join(prev, ["ledger_id", "seq"], "left")
-               .withColumn("_expected_prev",
-                           F.when(F.col("seq") == 1, F.lit(GENESIS_HASH)).otherwise(F.col("_pred_hash")))
-               .withColumn("link_ok", F.coalesce(F.col("previous_record_hash") == F.col("_expected_prev"),
-                                                 F.lit(False)))
-               .withColumn("hash_ok", F.col("record_hash") == record_hash(fields)))
     bad = ~(F.col("link_ok") & F.col("hash_ok"))
-    return (checked.groupBy("ledger_id")
+    return (_checked(base, hash_all_fields).groupBy("ledger_id")
             .agg(F.count(F.lit(1)).alias("n_records"),
                  F.sum(F.when(~F.col("link_ok"), 1).otherwise(0)).cast("long").alias("n_broken_links"),
                  F.sum(F.when(~F.col("hash_ok"), 1).otherwise(0)).cast("long").alias("n_bad_hashes"),
-                 F.min(F.when(bad, F.col("seq"))).alias("first_bad_seq"))
-            .withColumn("intact", F.col("first_bad_seq").isNull()))
+                 F.min(F.when(bad, F.col("seq"))).alias("first_bad_seq"),
+                 F.sum(F.when(bad, 1).otherwise(0)).alias("_n_bad"))
+            .withColumn("intact", F.col("_n_bad") == 0).drop("_n_bad"))
+
+
+def _checked(ledger: DataFrame, hash_all_fields: bool) -> DataFrame:
+    """``link_ok`` and ``hash_ok`` per record; neither is ever null.
+
+    A place ``(ledger_id, seq)`` that several records hold breaks the link of
+    each of them, a null hash or hashed field fails the record."""
+    places = ledger.groupBy("ledger_id", "seq").agg(
+        F.min("record_hash").alias("_pred_hash"), F.count(F.lit(1)).alias("_copies"))
+    prev = places.select("ledger_id", (F.col("seq") + 1).alias("seq"), "_pred_hash")
+    own = places.select("ledger_id", "seq", "_copies")
+    fields = _hash_fields_all() if hash_all_fields else _hash_fields()
+    expected = F.when(F.col("seq") == 1, F.lit(GENESIS_HASH)).otherwise(F.col("_pred_hash"))
+    return (ledger.join(prev, ["ledger_id", "seq"], "left").join(own, ["ledger_id", "seq"], "left")
+            .withColumn("link_ok", F.coalesce((F.col("previous_record_hash") == expected)
+                                              & (F.col("_copies") == 1), F.lit(False)))
+            .withColumn("hash_ok", F.coalesce(F.col("record_hash") == record_hash(fields), F.lit(False)))
+            .drop("_pred_hash", "_copies"))
 
 
 def verify_records(ledger: DataFrame, hash_all_fields: bool = False) -> DataFrame:
     """Per-record integrity flags (``link_ok``, ``hash_ok``) for drill-down."""
-    prev = ledger.select("ledger_id", (F.col("seq") + 1).alias("seq"),
-                         F.col("record_hash").alias("_pred_hash"))
-    fields = _hash_fields_all() if hash_all_fields else _hash_fields()
-    return (ledger.join(prev, ["ledger_id", "seq"], "left")
-            .withColumn("link_ok", F.coalesce(
-                F.col("previous_record_hash") == F.when(F.col("seq") == 1, F.lit(GENESIS_HASH))
-                .otherwise(F.col("_pred_hash")), F.lit(False)))
-            .withColumn("hash_ok", F.col("record_hash") == record_hash(fields))
-            .drop("_pred_hash"))
+    return _checked(ledger, hash_all_fields)
 
 
 # --------------------------------------------------------------------------
@@ -282,6 +284,6 @@ def export_audit_trail(ledger: DataFrame) -> DataFrame:
     """The seven exported ledger columns, timestamp as ISO text."""
     return ledger.select(
         "record_id", "patient_pseudonym", "use_case_id", "action",
-        F.date_format("timestamp", ISO_MICROS_SPARK).alias("timestamp"),
+        iso_utc("timestamp").alias("timestamp"),
         "version", "record_hash")
 

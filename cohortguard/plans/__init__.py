@@ -12,7 +12,6 @@ PLAN_MODULES = (
     "federated",
     "streams",
     "audit",
-    "synthetic",
     "models",
     "sqlfuncs",
 )

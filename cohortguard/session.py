@@ -43,7 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -55,7 +55,7 @@ def ship_package(spark: SparkSession) -> None:
     ``addPyFile``, which copies it to every executor.  Once per SparkContext.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import shutil
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -63,15 +63,16 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(os.path.join(out, "cohortguard"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
     sc.addPyFile(archive)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant
-    folder and is used as is.  Only when it is unset (local tests) do we
-    point it at a fresh scratch folder.
+    folder and is used as is.  Where it is unset, a local session (tests) gets
+    a fresh scratch folder; any other raises, since executors would not share
+    a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -79,5 +80,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cg-ckpt-"))
     return sc.getCheckpointDir()

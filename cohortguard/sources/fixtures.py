@@ -64,7 +64,7 @@ REMEDIATION = (
     ("Visibility and Transparency",
      "Publish model card this quarter. Draft patient-facing plain-language AI notice."),
     ("Respect for User Privacy — Keep it User-Centric",
-     "Implement consent ledger (consent_ledger_stub.py) with granular per-use-case consent."),
+     "Implement consent ledger with granular per-use-case consent."),
 )
 DEFAULT_REMEDIATION = "Review."
 

@@ -18,7 +18,9 @@ connected components.
    sizes and the next.  In a tile, hashed bitmap signatures bound the overlap
    of every pair of different components from above; surviving pairs are
    verified.
-5. Verification intersects the sorted shingle arrays exactly.
+5. Verification intersects the sorted shingle arrays exactly.  Compressed texts
+   move for it, and tasks make the arrays from them: an array of hashes takes
+   more room than its text.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +48,9 @@ HEAVY_DOCS = 64
 SHORT_LIST = 32
 #: Documents compared with each other in one tile.
 TILE_DOCS = 1024
-#: Least bits of a signature; larger sets have at least two bits a shingle.
-SIGNATURE_BITS = 256
+#: Least bits of a signature; larger sets have at least two bits a shingle.  Bits
+#: shared by chance loosen the bound of small sets most, and theirs cost least.
+SIGNATURE_BITS = 1024
 #: Rounds in which each document tries its likeliest partner; tiles do the rest.
 ROUNDS = 1
 
@@ -190,19 +195,35 @@ def _shared_lists(percent: int):
     return run
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, k: int, signatures: bool = False) -> DataFrame:
-    """Sorted shingle arrays, or signatures, of the nodes' documents."""
-    name, kind = ("signature", "binary") if signatures else ("hashes", "array<long>")
-    rows = with_mark(docs.where("id is not null"), bitmap_of(nodes, "node"), "wanted", "id").where("wanted")
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, text) of the documents named in ``nodes``, and rarely of others."""
+    return with_mark(docs.where("id is not null"), bitmap_of(nodes, "node"), "wanted", "id").where("wanted").select(
+        "id", "text")
+
+
+def _signatures_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """Signatures of the nodes' documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _groups(batches):
             hashes, at = shingle_sets(texts, k)
-            made = (pa.array([_signature(hashes[a:b]) for a, b in zip(at, at[1:])], pa.binary()) if signatures else
-                    pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64))))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), made], names=["node", name])
+            signs = [_signature(hashes[a:b]) for a, b in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(signs, pa.binary())],
+                                             names=["node", "signature"])
+
+    return _texts_of(docs, nodes).mapInArrow(run, "node long, signature binary")
+
+
+def _packed_of(docs: DataFrame, nodes: DataFrame, node: str, name: str) -> DataFrame:
+    """The nodes' texts, compressed."""
 
-    return rows.select("id", "text").mapInArrow(run, f"node long, {name} {kind}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for ids, texts in _groups(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(map(pack, texts), pa.binary())],
+                                             names=[node, name])
+
+    return _texts_of(docs, nodes).mapInArrow(run, f"{node} long, {name} binary")
 
 
 def _signature(hashes: np.ndarray) -> bytes:
@@ -219,12 +240,13 @@ def _folded(sign: bytes, words: int) -> np.ndarray:
     return np.bitwise_or.reduce(x.reshape(-1, words), axis=0)
 
 
-def _most_shared(signs: list[bytes], sizes: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _most_shared(signs: list[bytes], sizes: np.ndarray, x: np.ndarray, y: np.ndarray, fold: int = 1) -> np.ndarray:
     """Upper bound of the overlap of pairs (x, y) from their bitmaps.
 
     Shingles that one set has alone are at least the bits it has alone, at the
-    smaller of the two widths."""
-    words = np.fromiter((len(s) // 8 for s in signs), np.int64, len(signs))
+    smaller of the two widths.  Bitmaps ``fold`` times narrower are quicker to
+    compare and bound less tightly."""
+    words = np.fromiter((len(s) // 8 // fold for s in signs), np.int64, len(signs))
     least, most = np.minimum(words[x], words[y]), np.zeros(len(x), np.int64)
     for w in np.unique(least):
         at = np.flatnonzero(least == w)
@@ -239,19 +261,56 @@ def _most_shared(signs: list[bytes], sizes: np.ndarray, x: np.ndarray, y: np.nda
     return most
 
 
+def _may_link(signs: list[bytes], sizes: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether signatures leave the pairs (x, y) possible; narrow ones first."""
+    may = np.ones(len(x), bool)
+    for fold in (4, 1):
+        at = np.flatnonzero(may)
+        may[at] = _most_shared(signs, sizes, x[at], y[at], fold) >= _needed(sizes[x[at]], sizes[y[at]], percent)
+    return may
+
+
 def _needed(x, y, percent: int):
     """Shared shingles that sets of sizes ``x`` and ``y`` need: 100·i ≥ p·(x+y−i)."""
     return -(-(percent * (x + y)) // (100 + percent))
 
 
+def _linked(k: int, percent: int, bytes_at_once: int = 200_000):
+    """Rows (a, b, ..., x, y) whose texts' sets link; rows of one ``a`` that
+    follow each other share its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            if not len(batch):
+                continue
+            size = np.cumsum(pc.binary_length(batch["y"]).to_numpy()) // bytes_at_once
+            cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(batch)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                rows = batch.slice(lo, hi - lo)
+                a = rows["a"].to_numpy()
+                x = rows["x"]
+                new = np.array([i == 0 or a[i] != a[i - 1] or x[i] != x[i - 1] for i in range(len(a))], bool)
+                firsts = x.filter(pa.array(new)).to_pylist()
+                hashes, at = shingle_sets([unpack(t) for t in firsts + rows["y"].to_pylist()], k)
+                sets = [hashes[i:j] for i, j in zip(at, at[1:])]
+                keep = []
+                for i, left in enumerate(np.cumsum(new) - 1):
+                    u, v = sets[left], sets[len(firsts) + i]
+                    common = len(np.intersect1d(u, v, assume_unique=True))
+                    keep.append(common * 100 >= (len(u) + len(v) - common) * percent)
+                names = [c for c in rows.schema.names if c not in ("x", "y")]
+                yield rows.select(names).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b, ...) whose sorted arrays intersect in enough shingles."""
-    some = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")), k)
-    left = some.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = some.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    both = pairs.join(right, "b").join(left, "a")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(common * 100 >= (F.size("x") + F.size("y") - common) * percent).select(*pairs.columns)
+    left = _packed_of(docs, pairs.select(F.col("a").alias("node")), "a", "x")
+    right = _packed_of(docs, pairs.select(F.col("b").alias("node")), "b", "y")
+    both = pairs.join(right, "b").join(left, "a").select(*pairs.columns, "x", "y")
+    return both.mapInArrow(_linked(k, percent), pairs.schema)
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -298,7 +357,8 @@ def _likeliest(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataF
                        F.col("p.centre_comp").alias("comp_a"), F.col("p.comp").alias("comp_b"))
 
 
-def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, pairs_at_once: int = 200_000):
+def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, bytes_at_once: int = 16_000_000,
+           pairs_at_once: int = 200_000):
     """Pairs of nodes in one tile that sizes, components and (if ``signed``)
     signatures leave possible.
 
@@ -330,25 +390,24 @@ def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, pairs_at_once
             keys = np.unique(np.append(keys, np.minimum(x, y) * n + np.maximum(x, y)))
         for lo in range(0, len(keys), pairs_at_once // 4):
             x, y = np.divmod(keys[lo:lo + pairs_at_once // 4], n)
-            keep = (_most_shared(signs, sizes, x, y) >= _needed(sizes[x], sizes[y], percent) if signed
-                    else np.ones(len(x), bool))
+            keep = _may_link(signs, sizes, x, y, percent) if signed else np.ones(len(x), bool)
             yield pa.RecordBatch.from_arrays([pa.array(nodes[x[keep]]), pa.array(nodes[y[keep]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
+        held, rows, size = [], 0, 0
+        for batch in (whole.slice(at, 2000) for whole in batches for at in range(0, len(whole), 2000)):
             tile = batch["tile"].to_numpy()
-            if held and rows >= rows_at_once and len(tile):  # end at a tile's end
+            if held and (rows >= rows_at_once or size >= bytes_at_once):  # end at a tile's end
                 last = held[-1]["tile"][-1].as_py()
                 upto = int(np.argmax(tile != last)) if (tile != last).any() else len(tile)
                 held.append(batch.slice(0, upto))
                 if upto < len(tile):
                     yield from possible(pa.Table.from_batches(held))
-                    held, rows = [], 0
+                    held, rows, size = [], 0, 0
                 batch = batch.slice(upto)
             if len(batch):
                 held.append(batch)
-                rows += len(batch)
+                rows, size = rows + len(batch), size + batch.nbytes
         if held:
             yield from possible(pa.Table.from_batches(held))
 
@@ -368,8 +427,8 @@ def _possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
                 n = len(t)
                 sizes = np.concatenate([t["nx"].to_numpy(), t["ny"].to_numpy()])
                 i = np.arange(n)
-                most = _most_shared(t["x"].to_pylist() + t["y"].to_pylist(), sizes, i, n + i)
-                yield t.select(["a", "b"]).filter(pa.array(most >= _needed(sizes[:n], sizes[n:], percent)))
+                may = _may_link(t["x"].to_pylist() + t["y"].to_pylist(), sizes, i, n + i, percent)
+                yield t.select(["a", "b"]).filter(pa.array(may))
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -470,19 +529,21 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     comps = lists.select("token", "size", "node").join(labels, "node", "left").select(
         "token", "size", "node", F.coalesce("label", "node").alias("comp"))
     left = written(_open(comps), "open-lists")
-    links, spent = [known], [lists, stars]
+    discard(lists)
+    links, spent = [known], [stars]
     tried = stars
     for _ in range(ROUNDS):
         pairs = written(_likeliest(left, tried, percent), "pairs")
         more = written(_confirmed(pairs, base, words, percent), "links")
         tried = tried.unionByName(pairs.select("a", "b"))
-        spent += [pairs, left]
+        spent.append(pairs)
         links.append(more)
         merged = _labels(more.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
         now = (left.join(merged.select(F.col("node").alias("comp"), "label"), "comp", "left")
                .select("token", "size", "node", F.coalesce("label", "comp").alias("comp")))
-        left = written(_open(now), "open-lists")
-    signs = _sets_of(base, left.select("node").distinct(), words, signatures=True)
+        before, left = left, written(_open(now), "open-lists")
+        discard(before)
+    signs = _signatures_of(base, left.select("node").distinct(), words)
     signs = written(signs.join(left.groupBy("node").agg(F.max("size").cast("long").alias("n")), "node"), "signatures")
     pairs = _remaining_pairs(left, signs, percent).join(tried.select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")

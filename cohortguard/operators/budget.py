@@ -20,13 +20,11 @@ Two physical paths give the same answer:
      rows that fit form a prefix, so everything before the first row that
      does not fit is final (live → admitted, dead → refused), that row is
      refused, and ``used`` grows by the live costs before it;
-  3. the refused row's cost now exceeds ``total − used``, so that cost value
-     is dead in every later round: the number of rounds is at most the
-     number of distinct costs in a budget plus one.
-
-  After ``SPLIT_ROUNDS`` rounds, rows still undecided (budgets with many
-  distinct costs) are finished exactly by the fold, starting from their
-  budget's ``used``.
+  3. the refused row's cost now exceeds ``total − used``; rows that this makes
+     dead are refused at once, and rounds go on until no live row is left.
+     Each round kills a cost value, so there are at most as many rounds as
+     distinct costs in a budget, plus one; far fewer in practice, as what is
+     left of a budget shrinks with every round.
 """
 
 from __future__ import annotations
@@ -47,8 +45,6 @@ MICRO = 1_000_000
 
 # A budget with more operations than this is decided by the split path.
 HOT_ROWS = 2_000_000
-# Prefix-sum rounds before the split path hands the rest to the fold.
-SPLIT_ROUNDS = 6
 
 
 def to_micro(col) -> F.Column:
@@ -67,8 +63,9 @@ def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame:
 
 
 def order_number(df: DataFrame, col: str) -> Column:
-    """A numeric column with the same order as ``col`` (exact for integers,
-    dates and microsecond timestamps), for range bucketing."""
+    """A number that never falls as ``col`` grows, for range bucketing (exact for
+    integers, dates and microsecond timestamps; texts by their first bytes, so
+    ``col`` itself must break ties)."""
     dt = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dt, T.TimestampNTZType):
@@ -79,37 +76,18 @@ def order_number(df: DataFrame, col: str) -> Column:
         return F.unix_date(c)
     if isinstance(dt, T.NumericType):
         return c
-    raise TypeError(f"order column {col} must be numeric, date or timestamp, not {dt}")
-
-
-def _fold_admit(rows: DataFrame, budget_col: str, order, cost_col: str,
-                refuse_when_exhausted: bool, num_partitions: int | None) -> DataFrame:
-    """Exact fold over rows carrying ``total_micro`` and ``_used`` (consumed
-    before them); adds ``_admitted``."""
-    schema = T.StructType(rows.schema.fields + [T.StructField("_admitted", T.BooleanType(), False)])
-
-    def init(first):
-        return int(first["_used"])
-
-    def step(used, seg: pd.DataFrame):
-        total = int(seg["total_micro"].iat[0])
-        admitted, _, used = greedy_admit(seg[cost_col].to_numpy(dtype=np.int64), used, total,
-                                         refuse_when_exhausted)
-        out = seg.copy()
-        out["_admitted"] = admitted
-        return used, out
-
-    return ordered_fold(rows, [budget_col], list(order), init, step, schema, num_partitions=num_partitions)
+    if isinstance(dt, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(c.cast("binary")), 1, 14), 14, "0"), 16, 10).cast("long")
+    raise TypeError(f"order column {col} must be numeric, text, date or timestamp, not {dt}")
 
 
 def split_admit(rows: DataFrame, budget_col: str, order_col: str, tie_cols, cost_col: str,
-                refuse_when_exhausted: bool, rounds: int = SPLIT_ROUNDS,
-                num_partitions: int | None = None) -> DataFrame:
+                refuse_when_exhausted: bool) -> DataFrame:
     """Skip-fold decisions for hot budgets by rounds of prefix sums.
 
     ``rows``: ``budget_col``, numeric ``order_col`` (+ ``tie_cols``, unique per
     budget), ``cost_col``, ``total_micro`` and ``_used0`` (consumed before
-    these rows).  Adds ``_admitted``.  Each round's state is checkpointed, so
+    these rows).  Adds ``_admitted``; a null cost is refused.  Each round's state is checkpointed, so
     lineage stays one round long and a lost executor recomputes one round.
     """
     tie_cols = list(tie_cols)
@@ -117,11 +95,13 @@ def split_admit(rows: DataFrame, budget_col: str, order_col: str, tie_cols, cost
     pending = rows.withColumn("_k", F.struct(order_col, *tie_cols)).withColumn("_used", F.col("_used0"))
     work = [c for c in pending.columns]
     parts = []
-    for _ in range(rounds):
-        live = (cost >= 0) & (cost <= total - F.col("_used"))
-        if refuse_when_exhausted:
-            live = live & (F.col("_used") < total)
-        p = (pending.withColumn("_live", live)
+
+    def alive(used: Column) -> Column:
+        live = (cost >= 0) & (cost <= total - used)
+        return F.coalesce(live & (used < total) if refuse_when_exhausted else live, F.lit(False))
+
+    while True:
+        p = (pending.withColumn("_live", alive(F.col("_used")))
              .withColumn("_lc", F.when(F.col("_live"), cost).otherwise(F.lit(0)).cast("long")))
         p = materialize(exclusive_prefix(p, order_col, ["_lc"], [budget_col], tie_cols))
         before = F.col("_used") + F.col("_lc_before")
@@ -131,16 +111,13 @@ def split_admit(rows: DataFrame, budget_col: str, order_col: str, tie_cols, cost
         first_bad = (p.where(F.col("_live") & ~fits).groupBy(budget_col)
                      .agg(F.min(F.struct("_k", "_lc_before")).alias("_fb")))
         j = p.join(first_bad, budget_col, "left")
-        still_open = F.col("_fb").isNotNull() & (F.col("_k") > F.col("_fb._k"))
+        used = F.col("_used") + F.col("_fb._lc_before")
+        still_open = F.coalesce((F.col("_k") > F.col("_fb._k")) & alive(used), F.lit(False))
         parts.append(j.where(~still_open).select(
             *work, (F.col("_live") & (F.col("_fb").isNull() | (F.col("_k") < F.col("_fb._k")))).alias("_admitted")))
-        pending = materialize(j.where(still_open).withColumn("_used", F.col("_used") + F.col("_fb._lc_before"))
-                              .select(*work))
+        pending = materialize(j.where(still_open).withColumn("_used", used).select(*work))
         if pending.isEmpty():
             break
-    else:
-        parts.append(_fold_admit(pending, budget_col, [order_col, *tie_cols], cost_col,
-                                 refuse_when_exhausted, num_partitions).select(*work, "_admitted"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -210,9 +187,9 @@ def consume_budget(ops: DataFrame, budgets: DataFrame | int, order=("seq",),
         return folded
     order = list(order)
     h = hot.withColumn("_o", order_number(hot, order[0])).withColumn("_used0", F.lit(0).cast("long"))
-    dec = split_admit(h, budget_col, "_o", order[1:], cost_col, True, num_partitions=num_partitions)
+    dec = split_admit(h, budget_col, "_o", order, cost_col, True)
     dec = dec.withColumn("_ac", F.when(F.col("_admitted"), F.col(cost_col)).otherwise(F.lit(0)).cast("long"))
-    dec = exclusive_prefix(dec, "_o", ["_ac"], [budget_col], order[1:])
+    dec = exclusive_prefix(dec, "_o", ["_ac"], [budget_col], order)
     split = dec.select(*ops.columns, F.col("_admitted").alias("allowed"),
                        (F.col("_used0") + F.col("_ac_before") + F.col("_ac")).alias("cumulative_micro"))
     return folded.unionByName(split)
@@ -288,11 +265,11 @@ def allocate_budget(ops: DataFrame, budgets: DataFrame | int, budget_col: str =
     res = ordered_fold(cold, [budget_col], ["_later", "_neg_density", "seq"], init, step, schema,
                        num_partitions=num_partitions)
     if hot is not None:
-        res = res.unionByName(_allocate_split(hot, budget_col, num_partitions))
+        res = res.unionByName(_allocate_split(hot, budget_col))
     return res.drop("_later", "_neg_density")
 
 
-def _allocate_split(hot: DataFrame, budget_col: str, num_partitions: int | None) -> DataFrame:
+def _allocate_split(hot: DataFrame, budget_col: str) -> DataFrame:
     """E5 for hot budgets: phase A (tier 1, by seq), then phase B (later
     tiers, by density, then seq) starting from what phase A consumed."""
     cols = hot.columns
@@ -300,14 +277,14 @@ def _allocate_split(hot: DataFrame, budget_col: str, num_partitions: int | None)
     h = hot.withColumn("_cost", F.when(F.col("epsilon_micro") > 0, F.col("epsilon_micro"))
                        .otherwise(total + 1).cast("long"))
     a = split_admit(h.where(F.col("_later") == 0).withColumn("_used0", F.lit(0).cast("long")),
-                    budget_col, "seq", [], "_cost", False, num_partitions=num_partitions)
+                    budget_col, "seq", [], "_cost", False)
     a = materialize(a.withColumn("_ac", F.when(F.col("_admitted"), F.col("_cost")).otherwise(F.lit(0)).cast("long"))
                     .withColumn("_one", F.lit(1).cast("long")))
     phase_a = (a.groupBy(budget_col)
                .agg(F.sum("_ac").cast("long").alias("_used0"), F.count(F.lit(1)).alias("_n_a")))
     b = (h.where(F.col("_later") == 1).join(phase_a, budget_col, "left")
          .fillna(0, ["_used0", "_n_a"]))
-    b = split_admit(b, budget_col, "_neg_density", ["seq"], "_cost", False, num_partitions=num_partitions)
+    b = split_admit(b, budget_col, "_neg_density", ["seq"], "_cost", False)
     b = (b.withColumn("_ac", F.when(F.col("_admitted"), F.col("_cost")).otherwise(F.lit(0)).cast("long"))
          .withColumn("_one", F.lit(1).cast("long")))
     a = exclusive_prefix(a.withColumn("_n_a", F.lit(0).cast("long")), "seq", ["_ac", "_one"], [budget_col])

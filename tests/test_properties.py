@@ -39,9 +39,20 @@ def test_greedy_admit_matches_sequential(seed):
         assert used == int(costs[adm].sum()) <= max(total, 0)
 
 
-@pytest.mark.parametrize("seed,rounds", [(0, 1), (1, 2), (2, 6), (3, 6)])
-def test_split_admit_matches_sequential(spark, seed, rounds):
-    """Prefix-sum rounds (+ fold for the rest) equal the sequential gate."""
+def test_hot_budget_with_text_order_equals_fold(spark):
+    rng = np.random.default_rng(5)
+    costs = rng.integers(1, 10**6, 5000).tolist()
+    df = spark.createDataFrame([("b", f"op-{i:06d}", c) for i, c in enumerate(costs)],
+                               "budget_id string, op string, epsilon_micro long")
+    total = sum(costs) // 3
+    hot, fold = (BG.consume_budget(df, total, order=("op",), hot_rows=h).select("op", "allowed", "cumulative_micro")
+                 for h in (0, None))
+    assert sorted(hot.collect()) == sorted(fold.collect())
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2, 3])
+def test_split_admit_matches_sequential(spark, seed):
+    """Prefix-sum rounds equal the sequential gate."""
     rng = np.random.default_rng(seed)
     rows, expect = [], {}
     for b in range(4):
@@ -54,7 +65,7 @@ def test_split_admit_matches_sequential(spark, seed, rounds):
         rows += [(b, i * 10 + int(rng.integers(0, 9)), int(c), total, 0) for i, c in enumerate(costs)]
     df = spark.createDataFrame(rows, "budget_id int, seq long, cost long, total_micro long, _used0 long")
     for strict in (True, False):
-        got = BG.split_admit(df, "budget_id", "seq", [], "cost", strict, rounds=rounds).collect()
+        got = BG.split_admit(df, "budget_id", "seq", [], "cost", strict).collect()
         assert len(got) == len(rows)
         assert {(strict, r.budget_id, r.seq // 10): r._admitted for r in got} == \
             {k: v for k, v in expect.items() if k[0] == strict}

@@ -18,13 +18,28 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 from .shingles import span_hashes
-from .suffix_dedup import anchors
+from .suffix_dedup import _SEGMENT, anchors
 
 KGRAM = 16
 WINDOW = 65
 _FIRST = -(1 << 63)  # order key of a null id: after all others in descending order
 
 
+def _pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Runs of (index, start in text, bytes) of the texts of ``length`` bytes or
+    more; long texts come in pieces that overlap by ``length - 1``."""
+    group, size = [], 0
+    for i, t in enumerate(texts):
+        for a in range(0, len(t) - length + 1, _SEGMENT):
+            group.append((i, a, t[a:a + _SEGMENT + length - 1]))
+            size += len(group[-1][2])
+            if size >= _SEGMENT:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
 def winnow(texts: list[bytes], k: int = KGRAM, window: int = WINDOW) -> list[tuple[np.ndarray, np.ndarray]]:
     """(32-bit hashes, positions) of each text, by position.
 
@@ -32,17 +47,23 @@ def winnow(texts: list[bytes], k: int = KGRAM, window: int = WINDOW) -> list[tup
     shorter than ``k`` is hashed whole; an empty one keeps nothing.
     """
     length = k + window - 1
-    big = [i for i, t in enumerate(texts) if len(t) >= length]
     out: list = [None] * len(texts)
-    if big:
-        stops = np.cumsum([len(texts[i]) for i in big])
-        h, place, lo, _ = anchors(np.frombuffer(b"".join(texts[i] for i in big), np.uint8), stops, length, k)
+    for group in _pieces(texts, length):
+        stops = np.cumsum([len(x[2]) for x in group])
+        h, place, lo, _ = anchors(np.frombuffer(b"".join(x[2] for x in group), np.uint8), stops, length, k)
         doc = np.searchsorted(stops, lo, side="right")
-        cut = np.searchsorted(doc, np.arange(len(big) + 1))
+        cut = np.searchsorted(doc, np.arange(len(group) + 1))
         begin = np.concatenate([[0], stops[:-1]])
-        for n, i in enumerate(big):
-            a, b = cut[n], cut[n + 1]
-            out[i] = ((h[a:b] >> np.uint64(32)).astype(np.uint32), place[a:b] - begin[n])
+        for n, (i, start, _) in enumerate(group):
+            own, at = (h[cut[n]:cut[n + 1]] >> np.uint64(32)).astype(np.uint32), place[cut[n]:cut[n + 1]] - begin[n] + start
+            if out[i] is None:
+                out[i] = [], []
+            elif out[i][1][-1][-1] == at[0]:  # kept in the piece before, too
+                own, at = own[1:], at[1:]
+            if len(at):
+                out[i][0].append(own)
+                out[i][1].append(at)
+    out = [x and (np.concatenate(x[0]), np.concatenate(x[1])) for x in out]
     for i, t in enumerate(texts):
         if out[i] is None:
             data = np.frombuffer(t, np.uint8)

@@ -44,6 +44,8 @@ def anchors(data: np.ndarray, stops: np.ndarray, length: int, k: int):
     Returns (hash, place, first window, last window) of each run of windows
     with one anchor, in places of ``data``."""
     n, w = len(data), length - k + 1
+    if n > 1 << 24:
+        raise ValueError(f"places have 24 bits, but {n} bytes were given")
     empty = np.empty(0, np.int64)
     if n < length:
         return empty.astype(np.uint64), empty, empty, empty

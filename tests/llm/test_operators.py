@@ -375,6 +375,22 @@ def test_winnowing_guarantee():
         assert set(x.tolist()) & set(y.tolist()) and (np.diff(at) > 0).all()
 
 
+def test_winnowing_of_long_texts():
+    rng = np.random.default_rng(1)
+    long = rng.integers(97, 123, (17 << 20) + 5, np.uint8).tobytes()
+    (a, at), (b, bt), (c, ct) = fingerprints.winnow([long, b"x" * 1000, long])[:3]
+    assert (a == c).all() and (at == ct).all() and (np.diff(at) > 0).all() and at[-1] > 1 << 24
+    cut = 2 * suffix_dedup._SEGMENT
+    for start in (0, cut - 5000, (17 << 20) - 9995):  # a short text of the same bytes keeps the same hashes
+        (h, p), = fingerprints.winnow([long[start:start + 10_000]])
+        mine = (at >= p[0] + start) & (at <= p[-1] + start)
+        inner = (p >= 64) & (p <= 10_000 - 80 - 64)
+        both = dict(zip(at[mine].tolist(), a[mine].tolist()))
+        assert all(both[x + start] == y for x, y in zip(p[inner].tolist(), h[inner].tolist()))
+    with pytest.raises(ValueError):
+        suffix_dedup.anchors(np.zeros((1 << 24) + 1, np.uint8), np.array([(1 << 24) + 1]), 80, 16)
+
+
 # --- 8 HTML extraction
 
 PAGE = ("<!doctype html><html><head><title>T</title><script>var a='</p>';</script></head><body><header><a href=/>Home</a>"

@@ -134,9 +134,10 @@ def _postings(k: int, percent: int, heavy: np.ndarray, weight: np.ndarray):
             sizes = np.diff(at)
             new = np.zeros(len(ids), bool)
             for i, (a, b) in enumerate(zip(at, at[1:])):
-                d = _digest(hashes[a:b])
-                new[i] = b > a and ids[i] is not None and d not in seen
-                seen.add(d)
+                if b > a and ids[i] is not None:  # other rows post nothing, so they stand for none
+                    d = _digest(hashes[a:b])
+                    new[i] = d not in seen
+                    seen.add(d)
             if len(seen) > 500_000:
                 seen.clear()
             rank = ranks(hashes)

@@ -117,6 +117,14 @@ def test_jaccard_odd_rows(documents):
     assert ngram_join.ngram_jaccard_components(documents([])).count() == 0
 
 
+def test_jaccard_null_id_copy_first(documents):
+    base = words(random.Random(11), 60)
+    near = base[:-1] + ["other"]
+    docs = documents([" ".join(base), " ".join(base), " ".join(near)], ids=[None, 5, 6]).coalesce(1)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_components(docs).collect()}
+    assert got == {None: None, 5: 5, 6: 5}
+
+
 def test_posting_lists_stream_over_batches():
     rng = random.Random(1)
     rows = sorted((rng.randrange(12), rng.randrange(1, 40), i) for i in range(60))

@@ -45,6 +45,9 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for t in RAW}
 _NAME = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
+# Scripts written without spaces (Thai to Khmer, kana, Han): each character counts as a word.
+_BARE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_COUNTED = re.compile(rf"[{_BARE}]|[^\s{_BARE}]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SKIPPED, _VOID, _INLINE, _NAMED = map(frozenset, (SKIPPED, VOID, INLINE, NAMED))
 _LEAVES = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "pre", "blockquote", "tr", "td"))
@@ -66,6 +69,12 @@ class Item:
     linked: bool
 
 
+def _n_words(text: str) -> int:
+    if "&#" in text:
+        text = html.unescape(text)
+    return len(text.split()) if text.isascii() else len(_COUNTED.findall(text))
+
+
 def _boilerplate(name: str, attrs: str) -> bool:
     if name in _SKIPPED:
         return True
@@ -155,8 +164,7 @@ class RegionScorer:
     def score(self, x: Item) -> float:
         if x.name:
             return self.tags.get(x.name, self.unknown)
-        words = len(x.text.split())
-        return (self.linked if x.linked else self.word) * words
+        return (self.linked if x.linked else self.word) * _n_words(x.text)
 
     def region(self, items: list[Item]) -> tuple[int, int]:
         """The run of items with the highest sum (the first on ties)."""
@@ -178,14 +186,20 @@ class RegionScorer:
         lo, hi = self.region(items)
         if lo == hi:
             return ""
-        # a region that lies in one marked content element takes all of it
+        # a region that lies in one marked content element takes all of it; one
+        # that only touches some grows by them
+        touched = []
         for k in CONTENT:
-            for i, x in enumerate(items):
-                if x.name == k and not x.skip and i < hi:
+            for i, x in enumerate(items[:hi]):
+                if x.name == k and not x.skip:
                     own = x.path
                     end = next((j for j in range(i + 1, len(items)) if items[j].path[:len(own)] != own), len(items))
-                    if end > lo and i <= hi:
+                    if i <= lo and hi <= end:
                         return _blocks(items[i:end])
+                    if end > lo:
+                        touched.append((i, end))
+        if touched:
+            return _blocks(items[min(lo, *(a for a, _ in touched)):max(hi, *(b for _, b in touched))])
         return _blocks(items[slice(*_container(items, lo, hi))])
 
 
@@ -241,7 +255,7 @@ def fit_regions(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_P
                     if x.name:
                         counts[x.name, y] += 1
                     else:
-                        counts["*a" if x.linked else "*", y] += len(x.text.split())
+                        counts["*a" if x.linked else "*", y] += _n_words(x.text)
         rows = [{"what": k, "inside": y, "n": v} for (k, y), v in counts.items()]
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("what", pa.string()), ("inside", pa.bool_()),
                                                                  ("n", pa.int64())]))

@@ -418,6 +418,29 @@ def test_main_text(spark, main):
     assert scorer.extract(PAGE.format(main=main)) == TEXT
 
 
+LONG = "<p>" + "Many plain words that belong to the story of this page. " * 8 + "</p>"
+STORY = " ".join(["Many plain words that belong to the story of this page."] * 8)
+
+
+@pytest.mark.parametrize("main, text", [
+    (f"<article><p>A short teaser.</p></article><article>{LONG}<p>End.</p></article>", "End."),
+    (f"<article>{LONG}</article><article>{LONG}<p>End.</p></article>", f"{STORY}\n{STORY}\nEnd."),
+    (f"<main><article>{LONG}</article><article>{LONG}</article></main>", f"{STORY}\n{STORY}"),
+    (f"<article>{LONG}</article><div>{LONG}{LONG}</div>", "\n".join([STORY] * 3))])
+def test_main_text_of_several_articles(main, text):
+    scorer = html_extract.RegionScorer({"article": -2.0, "/article": -2.0, "main": -2.0, "div": -2.0, "p": -0.1}, 1.0, -0.5)
+    got = scorer.extract(PAGE.format(main=main))
+    assert got.endswith(text) and STORY in got
+
+
+def test_main_text_without_spaces():
+    texts = ["正文的第一段没有空格而且相当长", "第二段也没有空格，同样属于正文", "最后一段结束了这个故事"]
+    scorer = html_extract.RegionScorer({"p": -2.0, "/p": -2.0}, 1.0, -0.5)
+    assert scorer.extract(PAGE.format(main="<div>" + "".join(f"<p>{t}</p>" for t in texts) + "</div>")) == "\n".join(texts)
+    flat = PAGE.format(main="".join(f"<p>{t}</p>" for t in texts))  # no element of its own around the texts
+    assert scorer.extract(flat) == "\n".join(texts)
+
+
 def test_main_text_odd_pages(spark):
     rows = [(1, None, None), (1, "u", ""), (2, "u", "<p>plain &lt; text"), (3, "u", "<script>x"), (4, "u", "< a"),
             (5, "u", "<p>" + "word " * 50000)]

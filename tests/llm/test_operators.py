@@ -495,6 +495,31 @@ def test_lines_against_brute_force(documents):
     assert line_dedup.dedup_lines(documents([])).count() == 0
 
 
+def test_lines_without_spaces_and_crowded_bands(documents, monkeypatch):
+    monkeypatch.setattr(line_dedup, "TILE", 4)  # so that bands are cut into tiles
+    rng = random.Random(12)
+    pairs = []
+    for n in range(150):
+        if n % 3 == 0:
+            line = "https://example.org/" + "".join(rng.choices("abcdefghij", k=rng.randrange(20, 60))) + "/"
+        elif n % 3 == 1:
+            line = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(66))
+        else:
+            line = "".join(rng.choices("abcdefghij", k=rng.randrange(9, 14)))
+        pairs.append((line + "x", line + "y"))
+    # one opening in all, so that its bands are crowded; near ones are in twos
+    opening = "".join(rng.choices("klmnopqrst", k=45))
+    for n in range(40):
+        line = opening + "".join(rng.choices("ABCDEFGHIJ", k=40))
+        pairs.append((line + "x", line + "y"))
+    lines = [x for p in pairs for x in p]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(documents(lines)).collect()}
+    sets = [{x[k:k + 5] for k in range(len(x) - 4)} for x in lines]
+    near = [len(sets[i] & sets[i + 1]) >= .75 * len(sets[i] | sets[i + 1]) for i in range(0, len(lines), 2)]
+    missed = [i for i, close in enumerate(near) if got[2 * i + 1] != close]
+    assert sum(near) > 130 and not missed and not any(got[i] for i in range(0, len(lines), 2))
+
+
 def test_line_dedup_is_native(documents):
     df = line_dedup.dedup_lines(documents(["a line of words\nb", "a line of words"]))
     assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())

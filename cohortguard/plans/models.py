@@ -35,8 +35,7 @@ def f1_train_with_budget(spark, sf_dir):
 
 @register("f2_privacy_utility_curve", "F2", "D22", "B6", "A10", bench=False)
 def f2_privacy_utility_curve(spark, sf_dir):
-    return ML.privacy_utility_curve(_cohort(spark, sf_dir), FEATS, "label", "id",
-                                    epsilons=(0.1, 1.0, 10.0), runs=2, seed=SEED)
+    return ML.privacy_utility_curve(_cohort(spark, sf_dir), FEATS, "label", "id", seed=SEED)
 
 
 def _real_synth(spark, sf_dir):
@@ -57,13 +56,13 @@ def f5_mia_advantage(spark, sf_dir):
     return ML.mia_advantage(real, synth, FEATS)
 
 
-def _fl_log(spark, sf_dir, rounds=3):
+def _fl_log(spark, sf_dir):
     c = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     ids = c.select(F.col("c_custkey").alias("id"),
                    F.concat(F.lit("site_"), F.col("c_nationkey").cast("string")).alias("site_id"))
     data = materialize(SY.multi_site(ids, SEED).withColumn("_u", keyed_uniform(SEED, "holdout", "id")))
     feats = [f"f{i}" for i in range(8)]
-    return ML.federated_train(data.where("_u >= 0.2"), data.where("_u < 0.2"), feats, "label", rounds=rounds)
+    return ML.federated_train(data.where("_u >= 0.2"), data.where("_u < 0.2"), feats, "label")
 
 
 @register("f8_federated_train", "F8", "F7", "B15", "D11", bench=False)

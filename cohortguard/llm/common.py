@@ -92,3 +92,20 @@ def with_mark(df: DataFrame, bitmap: DataFrame, name: str, *cols: str, bits: int
     hit = F.coalesce(F.getbit(byte, F.pmod(spot, F.lit(8)).cast("int")) == 1, F.lit(False))
     return (df.withColumn("_bucket", (spot / _BUCKET_BITS).cast("int"))
             .join(F.broadcast(bitmap), "_bucket", "left").withColumn(name, hit).drop("_bucket", "_bitmap"))
+
+
+#: Beyond so many bits (32 MB) a bitmap is not made larger: more keys give more
+#: false hits, which cost work but change nothing.
+MOST_BITS = 1 << 28
+
+
+def mark_bits(n_keys: int) -> int:
+    """Bits of a bitmap for about ``n_keys`` keys: 16 or more a key, up to
+    ``MOST_BITS``."""
+    return min(MOST_BITS, max(1 << 20, 1 << max(0, 16 * n_keys - 1).bit_length()))
+
+
+def marked_by(df: DataFrame, keys: DataFrame, name: str, *cols: str, bits: int) -> DataFrame:
+    """Add boolean ``name``: true for every row whose ``cols`` occur in ``keys``
+    (and, rarely, for another)."""
+    return with_mark(df, bitmap_of(keys, *cols, bits=bits), name, *cols, bits=bits)

@@ -19,8 +19,10 @@ from .merkle import digest_of, merkle_manifest, proof_digest
 from .ngram_join import ngram_jaccard_components
 from .packing import pack
 from .suffix_dedup import cut_repeats
+from .suffix_trees import cut_repeated_words
 from .toxicity import fit_toxicity, toxicity_scores
 from .warc import archived_pages, read_warc, write_warc
+from .whitening import whiten
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -75,6 +77,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(read(spark, sf_dir, "documents", "doc_id", "text"), digest_all=True)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeated_words(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -88,6 +95,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.withColumn("proof_sha256", proof_digest(F.col("path"))).drop("path", "group")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it does not fit a long."""
+    rows = whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -99,7 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 def _sql_field(value: str) -> str:

@@ -9,8 +9,10 @@ window the one with the smallest hash (rightmost on ties) names the partition,
 so equal windows meet under one prefix, and about one suffix in seven is
 sampled.  Prefixes are of variable length.  Those that occur once have no
 internal node and end there; a prefix with up to ``group`` occurrences is a
-partition that fits in memory; a more frequent one is extended to the whole
-window, where the subtree is one node, and is settled by a minimum.
+partition that fits in memory; a more frequent one is lengthened to the whole
+context of its windows, where equal ones are one leaf each and only the first
+goes on, and, where still more than ``group`` contexts differ, to single
+windows, whose subtree is one node, settled by a minimum.
 
 A task joins neighbouring partitions up to a fixed size and builds their
 subtrees at once: suffixes are put in order by prefix doubling on word ranks,
@@ -200,28 +202,54 @@ def _subtrees(length: int, group: int):
     return run
 
 
+def _two_hashes(h: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """128 bits, in two columns, for each run of words, from their hashes."""
+    raw = h.view(np.uint8)
+    ahead = span_hashes(raw, begins * 8, ends * 8)
+    back = span_hashes(raw[::-1], (len(h) - ends) * 8, (len(h) - begins) * 8)
+    return pa.array(ahead.view(np.int64)), pa.array(back.view(np.int64))
+
+
+def _whole_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows under a frequent prefix with a hash of all their words and the
+    place behind the last."""
+    for whole in batches:
+        for n in range(0, len(whole), 5000):
+            batch = whole.slice(n, 5000)
+            h, row, _, _ = _words(batch["words"].to_pylist())
+            ends = np.cumsum(np.bincount(row, minlength=len(batch)))
+            begins = np.concatenate([[0], ends[:-1]])
+            to = pa.array(batch["start"].to_numpy() + ends - begins)
+            yield pa.RecordBatch.from_arrays(
+                [*_two_hashes(h, begins, ends), to, *(batch[c] for c in ("prefix", "id", "sub", "start", "words"))],
+                names=["node", "again", "to", "prefix", "id", "sub", "start", "words"])
+
+
 def _whole_windows(length: int):
-    """Every window under a frequent prefix by its own prefix of full length:
-    (node, id, sub, start)."""
+    """Every window of each row: (node, again, id, sub, start)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for n in range(0, len(whole), 5000):
                 batch = whole.slice(n, 5000)
                 h, places, row, number = _windows(batch, length)
-                ends = places + length
-                # two hashes of the sequence, from the bytes of its words' hashes
-                raw = h.view(np.uint8)
-                node = span_hashes(raw, places * 8, ends * 8)
-                again = span_hashes(raw[::-1], (len(h) - ends) * 8, (len(h) - places) * 8)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node.view(np.int64)), pa.array(again.view(np.int64)), batch["id"].take(pa.array(row)),
+                    [*_two_hashes(h, places, places + length), batch["id"].take(pa.array(row)),
                      batch["sub"].take(pa.array(row)), pa.array(batch["start"].to_numpy()[row] + number)],
                     names=["node", "again", "id", "sub", "start"])
 
     return run
 
 
+def _with_first(rows: DataFrame) -> DataFrame:
+    """Rows of nodes (node, again) with the ``first`` place of their node."""
+    both = F.struct("node", "again")
+    first = (rows.groupBy("node", "again").agg(F.min(F.struct("id", "sub", "start")).alias("first"),
+                                               F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select(both.alias("both"), "first", "n"))
+    return attach_group(rows.withColumn("both", both), written(first, "first-leaves"), "both", "n")
+
+
 def repeated_windows(docs: DataFrame, n_docs: int, length: int = LENGTH, prefix: int = PREFIX,
                      group: int = GROUP) -> DataFrame:
     """Spans (id, sub, from, to), in words, that earlier windows cover, of
@@ -235,18 +263,28 @@ def repeated_windows(docs: DataFrame, n_docs: int, length: int = LENGTH, prefix:
     texts = marked_by(docs, marks, "_hit", "id", "sub", bits=mark_bits(n_docs)).where("_hit").drop("_hit")
     around = written(texts.join(marks, ["id", "sub"]).mapInArrow(
         _contexts(length), f"prefix long, often boolean, {_KEY}, start long, words binary"), "contexts")
-    spans = (around.where("not often").repartition("prefix").sortWithinPartitions("prefix")
-             .mapInArrow(_subtrees(length, group), f"{_KEY}, from long, to long"))
+    rest, spans = around.where("not often"), None
+    place = F.struct("id", "sub", "start")
     if not counts.where(F.col("n") > group).isEmpty():
-        nodes = written(around.where("often").mapInArrow(_whole_windows(length),
-                                                         f"node long, again long, {_KEY}, start long"), "windows")
-        place = F.struct("id", "sub", "start")
-        first = (nodes.groupBy("node", "again").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").withColumn("both", F.struct("node", "again")).select("both", "first", "n"))
-        later = (attach_group(nodes.withColumn("both", F.struct("node", "again")), written(first, "nodes"), "both", "n")
-                 .where(place > F.col("first")))
-        spans = spans.unionByName(later.select("id", "sub", F.col("start").alias("from"),
-                                               (F.col("start") + length).alias("to")))
+        # a frequent prefix is lengthened to its whole context: of equal ones the
+        # first goes on, and the others are covered from end to end
+        whole = written(around.where("often").mapInArrow(
+            _whole_contexts, f"node long, again long, to long, prefix long, {_KEY}, start long, words binary"), "whole-contexts")
+        again = written(_with_first(whole).where(place > F.col("first"))
+                        .select("id", "sub", F.col("start").alias("from"), "to"), "equal-contexts")
+        own = whole.groupBy("node", "again").agg(F.min(F.struct("id", "sub", "start", "prefix", "words")).alias("r"))
+        own = written(own.select("r.prefix", "r.id", "r.sub", "r.start", "r.words"), "first-contexts")
+        crowded = written(own.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group), "crowded")
+        rest = rest.drop("often").unionByName(own.join(crowded, "prefix", "left_anti"))
+        # prefixes with many different contexts end as windows
+        windows = written(own.join(crowded, "prefix", "left_semi").mapInArrow(
+            _whole_windows(length), f"node long, again long, {_KEY}, start long"), "windows")
+        later = _with_first(windows).where(place > F.col("first")).select(
+            "id", "sub", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
+        spans = again.unionByName(later)
+    found = (rest.select("prefix", "id", "sub", "start", "words").repartition("prefix").sortWithinPartitions("prefix")
+             .mapInArrow(_subtrees(length, group), f"{_KEY}, from long, to long"))
+    spans = found if spans is None else found.unionByName(spans)
     spans = written(spans, "spans")
     discard(around, marks, counts)
     return spans

@@ -119,11 +119,14 @@ def noise_features(df: DataFrame, cols: Sequence[str], epsilon: float, seed, id_
 def flip_labels(df: DataFrame, label_col: str, epsilon: float, seed, id_col: str,
                 out_col: str | None = None, stream: str = "flip") -> DataFrame:
     """Randomised response on a 0/1 label with p = clamp(1/(5ε), 0, 0.3)."""
-    p = flip_probability(epsilon)
+    return df.withColumn(out_col or label_col, flipped_label(label_col, epsilon, seed, id_col, stream))
+
+
+def flipped_label(label_col: str, epsilon: float, seed, id_col: str, stream: str = "flip") -> Column:
+    """B6 as a Column."""
     u = keyed_uniform(seed, stream, id_col)
     y = F.col(label_col)
-    return df.withColumn(out_col or label_col,
-                         F.when(u < F.lit(p), F.lit(1) - y).otherwise(y).cast("int"))
+    return F.when(u < F.lit(flip_probability(epsilon)), F.lit(1) - y).otherwise(y).cast("int")
 
 
 def dp_signal(counts: DataFrame, epsilon: float, seed, *, keys=("drug", "event"),

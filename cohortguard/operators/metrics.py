@@ -218,6 +218,16 @@ def split_train_test(df: DataFrame, id_col: str, train_frac: float, seed,
             .drop("_u", "_one", "_one_before", "_one_total"))
 
 
+def stratified_folds(df: DataFrame, id_col: str, label: str, folds: int, seed) -> DataFrame:
+    """Add ``fold`` 0 .. folds − 1: the rows of each class are dealt round
+    robin in the order of a keyed uniform of the id (ties by id), so every
+    fold's class counts differ by at most one."""
+    ranked = exclusive_prefix(df.withColumn("_u", keyed_uniform(seed, "fold", id_col)).withColumn("_one", F.lit(1)),
+                              "_u", ["_one"], groups=[label], tie_cols=[id_col])
+    return (ranked.withColumn("fold", F.pmod("_one_before", F.lit(folds)).cast("int"))
+            .drop("_u", "_one", "_one_before"))
+
+
 # --------------------------------------------------------------------------
 # D24 — dataset profile
 # --------------------------------------------------------------------------

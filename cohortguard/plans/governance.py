@@ -280,7 +280,7 @@ SELECT feature, round(importance, {_D}) AS importance, round(auc_without_feature
 FROM res"""
 
 
-register("b12_feature_minimization", "B12", "C4", "E7", "F6", sql=_minimization_sql())(feature_minimization)
+register("b12_feature_minimization", "B12", "C4", sql=_minimization_sql())(feature_minimization)
 
 
 # B16 / C6 / D20 — impact assessments -------------------------------------------

@@ -28,8 +28,11 @@ from pyspark.sql import functions as F
 from .common import in_groups, shared_path, text_or_empty, written
 from .merges import PieceIds, load_word_merges
 
-#: Distinct chunks, and pieces of chunks, whose ids a Python worker remembers.
-CACHE_CHUNKS = 600_000
+#: Distinct chunks whose ids a Python worker remembers: those that came up in
+#: several batches, and those of the last batches that did not yet.  An entry
+#: takes some 200 bytes, so that is at most 120 MB a worker.
+HOT_CHUNKS = 300_000
+NEW_CHUNKS = 300_000
 _OWN_SPACES = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 # Fixed value: the split pattern of the word-end tokenizer; a line feed parts chunks here.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -66,11 +69,12 @@ class ChunkEncoder:
             config = json.load(f)
         self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.hot: dict[str, bytes] = {}
         self.cache: dict[str, bytes] = {}
         self.pieces = None
         if not whole and _has_word_ends(config):
             import regex
-            self.pieces = PieceIds(*load_word_merges(path), self.dtype.str, CACHE_CHUNKS)
+            self.pieces = PieceIds(*load_word_merges(path), self.dtype.str, 0)
             self.split = regex.compile(_PIECES + r"|\n").findall
             # chunks the library encodes: those with special tokens, or letters
             # whose lower case depends on the place in a word
@@ -85,41 +89,78 @@ class ChunkEncoder:
         self.cache.update(zip(chunks, (self._pack(e.ids) for e in found)))
 
     def _learn(self, chunks: list[str]) -> None:
+        """Put the ids of ``chunks`` into the cache; all are normalised and,
+        but for the odd ones, in lower case."""
         if self.pieces is None:
             return self._library(chunks)
-        text = "\n".join([*chunks, ""])
-        if self.odd(text):
+        if self.odd("\n".join(chunks)):
             self._library([c for c in chunks if self.odd(c)])
             chunks = [c for c in chunks if not self.odd(c)]
-            text = "\n".join([*chunks, ""])
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        split = self.split(text.lower())
-        known = self.pieces.learn(set(split) - {"\n"})
+        # a chunk of letters is one piece; others are split, and pieces that are
+        # chunks of their own elsewhere need no second fold
+        plain, mixed = [], []
+        for c in chunks:
+            (plain if c.isalpha() else mixed).append(c)
+        split = self.split("\n".join([*mixed, ""]))
+        parts = set(split) - {"\n"}
+        known = {p: ids for p in parts if (ids := self.hot.get(p) or self.cache.get(p)) is not None}
+        folded = self.pieces.learn(parts.difference(known).union(plain))
+        self.cache.update((c, folded[c]) for c in plain)
+        known.update((p, folded[p]) for p in parts.difference(known))
+        folded.clear()
         known["\n"] = b"\xff" * self.dtype.itemsize  # no id: marks the chunks' ends
         packed = b"".join(map(known.__getitem__, split))
         ends = np.flatnonzero(np.frombuffer(packed, self.dtype) == np.iinfo(self.dtype).max) * self.dtype.itemsize
         starts = np.concatenate([[0], ends[:-1] + self.dtype.itemsize]).tolist() if len(ends) else []
-        self.cache.update(zip(chunks, (packed[a:b] for a, b in zip(starts, ends.tolist()))))
+        self.cache.update(zip(mixed, (packed[a:b] for a, b in zip(starts, ends.tolist()))))
+
+    def _chunks(self, text: str) -> list[str] | None:
+        """The text's chunks, normalised and then in lower case, as the library
+        does; None for texts it must encode as a whole: those with white space
+        of Python's own, or special tokens next to marks that would join them."""
+        if self.whole or _OWN_SPACES.search(text):
+            return None
+        if self.pieces is None:  # the library normalises
+            return text.split()
+        special = "<" in text  # special tokens are matched before normalising
+        if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+            if special:
+                return None
+            text = unicodedata.normalize("NFC", text)
+        if special or "\u03a3" in text:
+            return [c if self.odd(c) else c.lower() for c in text.split()]
+        return text.lower().split()
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens, as packed integers."""
         out: list = [None] * len(texts)
-        cache, split, new = self.cache, {}, set()
-        if len(cache) > CACHE_CHUNKS:
-            cache.clear()
+        if len(self.hot) > HOT_CHUNKS:
+            self.hot.clear()
+        if len(self.cache) > NEW_CHUNKS:
+            self.cache.clear()
+        hot, cache, open_, once = self.hot, self.cache, [], set()
         for i, text in enumerate(texts):
-            if self.whole or _OWN_SPACES.search(text):
+            chunks = self._chunks(text)
+            if chunks is None:
                 out[i] = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
                 continue
-            if "\u03a3" not in text and "<" not in text:  # special tokens are matched before lower-casing
-                text = text.lower()
-            split[i] = text.split()
-            new.update(set(split[i]).difference(cache))
+            found = list(map(hot.get, chunks))
+            if None in found:  # filled in when all new chunks are known
+                missing = [j for j, ids in enumerate(found) if ids is None]
+                rare = [chunks[j] for j in missing]
+                once.update(rare)
+                open_.append((i, found, missing, rare))
+            else:
+                out[i] = b"".join(found)
+        again = once.intersection(cache)  # of an earlier batch
+        new = list(once - again)
         if new:
-            self._learn(list(new))
-        for i, chunks in split.items():
-            out[i] = b"".join(map(cache.__getitem__, chunks))
+            self._learn(new)
+        for i, found, missing, rare in open_:
+            for j, chunk in zip(missing, rare):
+                found[j] = cache[chunk]
+            out[i] = b"".join(found)
+        hot.update((chunk, cache.pop(chunk)) for chunk in again)
         return out
 
 

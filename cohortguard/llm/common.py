@@ -45,6 +45,11 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def fresh(name: str) -> str:
+    """A column name that no table of a user has."""
+    return f"_{uuid.uuid4().hex}_{name}"
+
+
 def attach_group(rows: DataFrame, facts: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
     """Join one fact row per ``key`` onto ``rows`` without a hot key's rows
     meeting in one task.
@@ -87,11 +92,13 @@ def with_mark(df: DataFrame, bitmap: DataFrame, name: str, *cols: str, bits: int
     """Add boolean ``name``: true for every key in the bitmap (and, rarely,
     for another).  The bitmap is broadcast; its size is fixed."""
     spot = F.pmod(F.xxhash64(*cols), F.lit(bits))
-    byte = F.conv(F.hex(F.substring("_bitmap", (F.pmod(spot, F.lit(_BUCKET_BITS)) / 8).cast("int") + 1,
+    bucket, marks = fresh("bucket"), fresh("bitmap")
+    byte = F.conv(F.hex(F.substring(marks, (F.pmod(spot, F.lit(_BUCKET_BITS)) / 8).cast("int") + 1,
                                     F.lit(1))), 16, 10).cast("int")
     hit = F.coalesce(F.getbit(byte, F.pmod(spot, F.lit(8)).cast("int")) == 1, F.lit(False))
-    return (df.withColumn("_bucket", (spot / _BUCKET_BITS).cast("int"))
-            .join(F.broadcast(bitmap), "_bucket", "left").withColumn(name, hit).drop("_bucket", "_bitmap"))
+    parts = bitmap.select(F.col("_bucket").alias(bucket), F.col("_bitmap").alias(marks))
+    return (df.withColumn(bucket, (spot / _BUCKET_BITS).cast("int"))
+            .join(F.broadcast(parts), bucket, "left").withColumn(name, hit).drop(bucket, marks))
 
 
 #: Beyond so many bits (32 MB) a bitmap is not made larger: more keys give more

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_group, bitmap_of, discard, text_or_empty, with_mark, written
+from .common import attach_group, bitmap_of, discard, fresh, text_or_empty, with_mark, written
 from .shingles import mix, powers, span_hashes
 
 LENGTH = 100
@@ -115,19 +115,30 @@ def _members(length: int, k: int):
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor: drop anchors that occur once.  Streams."""
-    last, waiting = None, None
+    """Rows sorted by anchor, id and spot: each once, without the anchors that
+    occur once.  Streams."""
+    last, waiting = None, None  # the last row; the same as a batch while its anchor may be alone
     for batch in batches:
-        t = batch["anchor"].to_numpy()
-        if not len(t):
+        keys = [batch[c].to_numpy() for c in ("anchor", "id", "spot")]
+        if not len(batch):
             continue
+        new = np.zeros(len(batch), bool)
+        for k, v in enumerate(keys):
+            new[1:] |= v[1:] != v[:-1]
+            new[0] |= last is None or v[0] != last[k]
+        if not new.all():  # a repeated row
+            batch = batch.filter(pa.array(new))
+            if not len(batch):
+                continue
+            keys = [batch[c].to_numpy() for c in ("anchor", "id", "spot")]
+        t = keys[0]
         same = t[1:] == t[:-1]
-        keep = np.concatenate([[last is not None and t[0] == last], same])
+        keep = np.concatenate([[last is not None and t[0] == last[0]], same])
         keep[:-1] |= same
-        if waiting is not None and t[0] == last:
+        if waiting is not None and t[0] == last[0]:
             yield waiting
         waiting = None if keep[-1] else batch.slice(len(t) - 1, 1)
-        last = t[-1]
+        last = tuple(v[-1] for v in keys)
         yield batch.filter(pa.array(keep))
 
 
@@ -218,14 +229,18 @@ def _each_window(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = KGRAM, hot: int = HOT_ANCHOR) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = KGRAM, hot: int = HOT_ANCHOR,
+                   once: bool = True) -> DataFrame:
     """Spans (id, from, to) whose bytes go, of ``docs`` (id, text); spans may
-    overlap.  Later exact copies in one task are left to the caller."""
+    overlap.  An id has one text; rows may repeat if ``once`` is false.  Later
+    exact copies in one task are left to the caller."""
     members = docs.mapInArrow(_members(length, k), "anchor long, id long, spot long")
-    dups = written(members.repartition("anchor").sortWithinPartitions("anchor")
+    dups = written(members.repartition("anchor").sortWithinPartitions("anchor", "id", "spot")
                    .mapInArrow(_repeated, "anchor long, id long, spot long"), "anchors")
     marks = dups.groupBy("id").agg(F.collect_list(F.struct("anchor", "spot")).alias("marks"))
     texts = with_mark(docs, bitmap_of(dups, "id"), "_hit", "id").where("_hit").select("id", "text")
+    if not once:
+        texts = texts.dropDuplicates(["id"])
     around = written(texts.join(marks, "id").mapInArrow(
         _surroundings(length), "anchor long, id long, start long, bytes binary"), "surroundings")
     often = dups.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("anchor")
@@ -257,47 +272,65 @@ def _merge(spans: list) -> list[tuple[int, int]]:
     return out
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """``id_col, n_bytes, n_removed, n_spans, kept`` (bytes) for every row.
-
-    Null texts are empty.  Texts of fewer than ``length`` bytes stay whole.
-    Rows with equal id and text are one document and get equal results; rows
-    with equal id and other texts count as one document's parts, where the
-    earlier start comes first.  Rows with a null id are kept whole and offer
-    no matches.  ``id_col`` must be an integer column; others are ignored.
-    """
+def _cut_rows(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+    """(id, sha, n_bytes, n_removed, n_spans, kept) for every row; ``sha`` is
+    the digest of its text."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     full = base.withColumn("n_bytes", F.octet_length("text").cast("long")).withColumn("sha", F.sha2("text", 256))
     long = full.where((F.col("n_bytes") >= length) & F.col("id").isNotNull()).select("id", "sha")
+    long = written(long, "text-digests")
     facts = long.groupBy("sha").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = attach_group(written(long, "text-digests"), facts, "sha", "n").where("id > first").select("id", "sha")
+    copies = attach_group(long, facts, "sha", "n").where("id > first").select("id", "sha")
     copies = written(copies.distinct(), "copies")
-    spans = repeated_spans(base, length)
+    ids = written(long.groupBy("id").agg(F.min("sha").alias("own"), F.max("sha").alias("other"),
+                                         F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-ids")
+    repeated = not ids.isEmpty()
+    several = ids.where("own <> other").select("id", "own")
+    searched = base
+    if repeated:
+        searched = full.join(several, "id", "left").where("own is null or sha = own").select("id", "text")
+    spans = repeated_spans(searched, length, once=not repeated)
     by_doc = spans.groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     marked = with_mark(with_mark(full, bitmap_of(spans, "id"), "_cut", "id"), bitmap_of(copies, "id"), "_copy", "id")
     touched = (marked.where("_cut or _copy").join(by_doc, "id", "left")
-               .join(copies.withColumn("whole", F.lit(True)), ["id", "sha"], "left")
-               .select("id", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole")))
+               .join(copies.withColumn("whole", F.lit(True)), ["id", "sha"], "left"))
+    if repeated:
+        touched = touched.join(several, "id", "left").withColumn("spans", F.when(F.expr("own is null or sha = own"), F.col("spans")))
+    touched = touched.select("id", "sha", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(n, 500) for b in batches for n in range(0, len(b), 500)):
             rows = []
-            for i, t, spans, whole in zip(*(batch[c].to_pylist() for c in ("id", "text", "spans", "whole"))):
+            for i, sha, t, spans, whole in zip(*(batch[c].to_pylist() for c in ("id", "sha", "text", "spans", "whole"))):
                 raw, at, kept = t.encode(), 0, []
                 gone = [(0, len(raw))] if whole else [s for s in _merge(spans or []) if s[1] <= len(raw)]
                 for a, b in gone:
                     kept.append(raw[at:a])
                     at = b
-                rows.append((i, len(raw), sum(b - a for a, b in gone), len(gone), b"".join([*kept, raw[at:]])))
+                rows.append((i, sha, len(raw), sum(b - a for a, b in gone), len(gone), b"".join([*kept, raw[at:]])))
             yield pa.RecordBatch.from_pylist(
-                [dict(zip(("id", "n_bytes", "n_removed", "n_spans", "kept"), r)) for r in rows],
-                schema=pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
+                [dict(zip(("id", "sha", "n_bytes", "n_removed", "n_spans", "kept"), r)) for r in rows],
+                schema=pa.schema([("id", pa.int64()), ("sha", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                                   ("n_spans", pa.int64()), ("kept", pa.binary())]))
 
     zero = F.lit(0).cast("long")
     whole = marked.where("not (_cut or _copy)").select(
-        "id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
-    out = touched.mapInArrow(cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary").unionByName(whole)
+        "id", "sha", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
+    return touched.mapInArrow(cut, "id long, sha string, n_bytes long, n_removed long, n_spans long, kept binary").unionByName(whole)
+
+
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """``id_col, n_bytes, n_removed, n_spans, kept`` (bytes) for every row.
+
+    Null texts are empty.  Texts of fewer than ``length`` bytes stay whole.
+    Rows with equal id and text are one document and get equal results.  Of
+    rows with equal id and other texts, the text of the smallest SHA-256 is the
+    document; the others offer no matches and stay whole, unless they are
+    copies of a text under a smaller id.  Rows with a null id are kept whole
+    and offer no matches.  ``id_col`` must be an integer column; others are
+    ignored.
+    """
+    out = _cut_rows(docs, id_col, text_col, length)
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),
                       "n_bytes", "n_removed", "n_spans", "kept")
 
@@ -305,20 +338,20 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated strings cut from the text; no row goes.
 
-    A character of which a byte goes is dropped as a whole.  Rows with equal
-    ids must have equal texts.
+    A character of which a byte goes is dropped as a whole.  Odd rows are
+    treated as :func:`cut_repeats` states; extra columns stay as they are.
     """
-    cut = cut_repeats(docs, id_col, text_col, length).where("n_removed > 0").select(id_col, "kept").distinct()
-
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b[0], pa.array([x.decode("utf-8", "ignore") for x in b["kept"].to_pylist()], pa.string())],
-                names=[id_col, "_kept"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    cut = written(cut.mapInArrow(decode, f"`{id_col}` {kind}, _kept string"), "cut-texts")
-    joined = with_mark(docs, bitmap_of(cut, id_col), "_cut", id_col)
-    changed = (joined.where("_cut").join(cut, id_col, "left")
-               .withColumn(text_col, F.coalesce("_kept", text_col)).select(*docs.columns))
-    return joined.where("not _cut").select(*docs.columns).unionByName(changed)
+            kept = pa.array([x.decode("utf-8", "ignore") for x in b["kept"].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b["id"], b["sha"], kept], names=["id", "sha", "kept"])
+
+    cut = _cut_rows(docs, id_col, text_col, length).where("n_removed > 0").select("id", "sha", "kept")
+    cut = written(cut.mapInArrow(decode, "id long, sha string, kept string").dropDuplicates(["id", "sha"]), "cut-texts")
+    doc_id, sha, kept, hit = map(fresh, ("id", "sha", "kept", "hit"))
+    cut = cut.select(F.col("id").alias(doc_id), F.col("sha").alias(sha), F.col("kept").alias(kept))
+    rows = docs.withColumn(doc_id, F.col(id_col).cast("long"))
+    marked = with_mark(rows, bitmap_of(cut, doc_id), hit, doc_id)
+    changed = (marked.where(hit).withColumn(sha, F.sha2(text_or_empty(text_col), 256)).join(cut, [doc_id, sha], "left")
+               .withColumn(text_col, F.coalesce(kept, text_col)).select(*docs.columns))
+    return marked.where(~F.col(hit)).select(*docs.columns).unionByName(changed)

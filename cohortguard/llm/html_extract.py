@@ -40,8 +40,10 @@ NAMED = ("ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrum
 #: Pages that the weights are counted on, about.
 MAX_PAGES = 2000
 
+# A tag's attributes: quotes open a value only behind an equals sign, as in browsers.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+                    r"|<(/?)([a-zA-Z][^\s/>]*+)"
+                    r"((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)", re.S)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for t in RAW}
 _NAME = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -56,19 +58,37 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
            "th": ("td", "th"), "option": ("option",)}
 
 
-@dataclass
+@dataclass(slots=True)
 class Item:
     """A tag (``name`` set) or a text of a page, in page order.
 
-    ``path`` numbers the open elements; ``skip`` tells that one of them is
-    boilerplate, ``linked`` that one is a link."""
+    ``node`` numbers the innermost open element (0: none) and ``depth`` counts
+    the open ones; ``skip`` tells that one of them is boilerplate, ``linked``
+    that one is a link."""
     name: str
     text: str
-    path: tuple[int, ...]
+    node: int
+    depth: int
     skip: bool
     linked: bool
 
 
+@dataclass(slots=True)
+class Element:
+    """An element that can hold others: its items are ``start`` to ``end``."""
+    name: str
+    parent: int
+    start: int
+    end: int
+
+
+@dataclass(slots=True)
+class Page:
+    """A parsed page; ``elements[0]`` stands for the page itself."""
+    items: list[Item]
+    elements: list[Element]
+
+
 def _n_words(text: str) -> int:
     if "&#" in text:
         text = html.unescape(text)
@@ -86,58 +106,89 @@ def _boilerplate(name: str, attrs: str) -> bool:
                for w in _WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", m[1] or m[2] or m[3] or "").lower()))
 
 
-def parse(page: str) -> Iterator[Item]:
-    """The page's tags and texts; unclosed and stray tags are tolerated."""
-    open_, n, at = [], 0, 0  # (name, number, skip)
+class _Open:
+    """The open elements, innermost last.  Every step takes constant time, or
+    time that an element's opening has paid for, however deep they nest."""
 
-    def item(name: str, text: str) -> Item:
-        return Item(name, text, tuple(x[1] for x in open_), bool(open_) and open_[-1][2],
-                    any(x[0] == "a" for x in open_))
+    def __init__(self, page: Page):
+        self.page = page
+        self.stack: list[tuple[str, int, bool]] = []  # name, number, skip
+        self.by_name: dict[str, list[int]] = {}  # places in the stack
+        self.blocks: list[int] = []  # those that are not inline
+        self.walls: list[int] = []  # content and boilerplate
 
-    def close(k: int) -> None:
-        del open_[k:]
+    def last(self, name: str) -> int:
+        return (self.by_name.get(name) or (-1,))[-1]
 
+    def push(self, name: str, skip: bool) -> None:
+        items, elements = self.page.items, self.page.elements
+        at = len(self.stack)
+        self.by_name.setdefault(name, []).append(at)
+        if name not in _INLINE:
+            self.blocks.append(at)
+        if name in _SKIPPED or name in CONTENT:
+            self.walls.append(at)
+        elements.append(Element(name, self.stack[-1][1] if self.stack else 0, len(items), -1))
+        self.stack.append((name, len(elements) - 1, skip))
+
+    def close(self, at: int) -> None:
+        """Close the element at a place, and all in it."""
+        while len(self.stack) > at:
+            name, number, _ = self.stack.pop()
+            self.page.elements[number].end = len(self.page.items)
+            self.by_name[name].pop()
+        for places in (self.blocks, self.walls):
+            while places and places[-1] >= at:
+                places.pop()
+
+    def item(self, name: str, text: str) -> None:
+        _, node, skip = self.stack[-1] if self.stack else ("", 0, False)
+        self.page.items.append(Item(name, text, node, len(self.stack), skip, bool(self.by_name.get("a"))))
+
+
+def parse(page: str) -> Page:
+    """The page's tags and texts; unclosed and stray tags are tolerated."""
+    out = Page([], [Element("", 0, 0, -1)])
+    open_, at = _Open(out), 0
     while at < len(page):
         m = _TOKEN.search(page, at)
         if m is None:
-            yield item("", page[at:])
-            return
+            open_.item("", page[at:])
+            break
         if m.start() > at:
-            yield item("", page[at:m.start()])
+            open_.item("", page[at:m.start()])
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
             continue
         if m[1]:
-            found = [k for k, x in enumerate(open_) if x[0] == name]
-            if found:
-                # a block's end does not reach beyond the content or boilerplate around it
-                wall = max([k for k, x in enumerate(open_) if x[0] in _SKIPPED or x[0] in CONTENT], default=-1)
-                if found[-1] >= wall:
-                    close(found[-1])
-                    yield item(f"/{name}", "")
+            found = open_.last(name)
+            # a block's end does not reach beyond the content or boilerplate around it
+            if found >= 0 and found >= (open_.walls[-1] if open_.walls else -1):
+                open_.close(found)
+                open_.item(f"/{name}", "")
             continue
-        if name not in _INLINE:
-            for k in range(len(open_) - 1, -1, -1):  # a new block ends an open paragraph and its like
-                if open_[k][0] == "p" and name not in _SKIPPED or open_[k][0] in _CLOSES.get(name, ()):
-                    close(k)
-                elif open_[k][0] not in _INLINE:
+        if name not in _INLINE:  # a new block ends an open paragraph and its like
+            while open_.blocks:
+                k = open_.blocks[-1]
+                other = open_.stack[k][0]
+                if not (other == "p" and name not in _SKIPPED or other in _CLOSES.get(name, ())):
                     break
+                open_.close(k)
         if name == "a":  # links do not nest
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == "a":
-                    close(k)
-                elif open_[k][0] not in _INLINE:
-                    break
-        skip = bool(open_) and open_[-1][2] or _boilerplate(name, m[3])
+            while open_.last("a") > (open_.blocks[-1] if open_.blocks else -1):
+                open_.close(open_.last("a"))
+        skip = bool(open_.stack) and open_.stack[-1][2] or _boilerplate(name, m[3])
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             at = end.end() if end else len(page)
             continue
-        n += 1
         if name not in _VOID:
-            open_.append((name, n, skip))
-        yield item(name, "")
+            open_.push(name, skip)
+        open_.item(name, "")
+    open_.close(0)
+    out.elements[0].end = len(out.items)
+    return out
 
 
 def _label(items: list[Item]) -> list[bool] | None:
@@ -145,9 +196,9 @@ def _label(items: list[Item]) -> list[bool] | None:
     inside, depth, out = False, None, []
     for x in items:
         if x.name in CONTENT and depth is None:
-            depth = len(x.path)
-        out.append(depth is not None and len(x.path) >= depth and not x.skip)
-        if depth is not None and len(x.path) < depth:
+            depth = x.depth
+        out.append(depth is not None and x.depth >= depth and not x.skip)
+        if depth is not None and x.depth < depth:
             depth, inside = None, True
         inside = inside or depth is not None
     return out if inside else None
@@ -182,7 +233,8 @@ class RegionScorer:
 
     def extract(self, page: str) -> str:
         """The page's main text: one line per block."""
-        items = list(parse(page))
+        found = parse(page)
+        items = found.items
         lo, hi = self.region(items)
         if lo == hi:
             return ""
@@ -190,33 +242,28 @@ class RegionScorer:
         # that only touches some grows by them
         touched = []
         for k in CONTENT:
-            for i, x in enumerate(items[:hi]):
-                if x.name == k and not x.skip:
-                    own = x.path
-                    end = next((j for j in range(i + 1, len(items)) if items[j].path[:len(own)] != own), len(items))
-                    if i <= lo and hi <= end:
-                        return _blocks(items[i:end])
-                    if end > lo:
-                        touched.append((i, end))
+            for e in found.elements:
+                if e.name == k and e.start < hi and not items[e.start].skip:
+                    if e.start <= lo and hi <= e.end:
+                        return _blocks(items[e.start:e.end])
+                    if e.end > lo:
+                        touched.append((e.start, e.end))
         if touched:
             return _blocks(items[min(lo, *(a for a, _ in touched)):max(hi, *(b for _, b in touched))])
-        return _blocks(items[slice(*_container(items, lo, hi))])
+        return _blocks(items[slice(*_container(found, lo, hi))])
 
 
-def _container(items: list[Item], lo: int, hi: int) -> tuple[int, int]:
+def _container(page: Page, lo: int, hi: int) -> tuple[int, int]:
     """The region grown to the innermost element around all its texts, unless
     that is the page's body."""
-    paths = [x.path for x in items[lo:hi] if not x.name and not x.skip and x.text.strip()]
-    names = {x.path[-1]: x.name for x in items if x.name and x.path and x.name[0] != "/" and x.name not in _VOID}
-    common = paths[0] if paths else ()
-    for path in paths:
-        common = common[:next((k for k, (a, b) in enumerate(zip(common, path)) if a != b), min(len(common), len(path)))]
-    while common and names.get(common[-1]) in _INLINE | _LEAVES:
-        common = common[:-1]
-    if not common or names.get(common[-1]) in ("html", "body", None):
+    texts = [i for i in range(lo, hi) if not (x := page.items[i]).name and not x.skip and x.text.strip()]
+    node = page.items[texts[0]].node if texts else 0
+    while node and (page.elements[node].end <= texts[-1] or page.elements[node].name in _INLINE | _LEAVES):
+        node = page.elements[node].parent
+    around = page.elements[node]
+    if not node or around.name in ("html", "body"):
         return lo, hi
-    inside = [i for i, x in enumerate(items) if x.path[:len(common)] == common]
-    return min(lo, inside[0]), max(hi, inside[-1] + 1)
+    return min(lo, around.start), max(hi, around.end)
 
 
 def _blocks(items: list[Item]) -> str:
@@ -249,7 +296,7 @@ def fit_regions(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_P
         counts: Counter = Counter()
         for batch in batches:
             for page in batch["html"].to_pylist():
-                items = list(parse(page))
+                items = parse(page).items
                 label = _label(items)
                 for x, y in zip(items, label or ()):
                     if x.name:
@@ -261,7 +308,7 @@ def fit_regions(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_P
                                                                  ("n", pa.int64())]))
 
     found = (some.mapInArrow(count, "what string, inside boolean, n long").groupBy("what", "inside")
-             .agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "what").limit(10_000).collect())
+             .agg(F.sum("n").alias("n")).collect())  # tag names of a bounded sample
     n = {(r.what, r.inside): r.n for r in found}
     if not n:
         return RegionScorer({}, 1.0, -1.0)

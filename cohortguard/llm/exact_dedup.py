@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BITMAP_BITS, attach_group, bitmap_of, text_or_empty, with_mark, written
+from .common import BITMAP_BITS, attach_group, bitmap_of, fresh, text_or_empty, with_mark, written
 
 #: Code points of a text that the second refinement hashes.
 PREFIX_CHARS = 64
@@ -74,11 +74,10 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Rows with equal id and equal text are repeated rows; one of them stays.
     """
+    doc_sha, kept_id, kept_sha, again = map(fresh, ("sha", "kept_id", "kept_sha", "again"))
     groups = duplicate_groups(docs, id_col, text_col, digest_all=True)
-    kept = groups.where("kept").select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    sha = F.sha2(normalised(text_or_empty(text_col)), 256)
-    rows = (docs.withColumn("_doc_sha", sha)
-            .join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_doc_sha") == F.col("_kept_sha")),
-                  "left_semi"))
-    again = Window.partitionBy(id_col, "_doc_sha").orderBy(F.lit(1))
-    return rows.withColumn("_again", F.row_number().over(again)).where("_again = 1").select(*docs.columns)
+    kept = groups.where("kept").select(F.col(id_col).alias(kept_id), F.col("text_sha256").alias(kept_sha))
+    rows = (docs.withColumn(doc_sha, F.sha2(normalised(text_or_empty(text_col)), 256))
+            .join(kept, F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(doc_sha) == F.col(kept_sha)), "left_semi"))
+    first = F.row_number().over(Window.partitionBy(id_col, doc_sha).orderBy(F.lit(1)))
+    return rows.withColumn(again, first).where(F.col(again) == 1).select(*docs.columns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import fresh, text_or_empty
 
 # Lists of group names; names in one list replace each other.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -230,5 +230,5 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
                threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score is below ``threshold``."""
-    return (docs.withColumn("_toxicity", model.score(text_col)).where(F.col("_toxicity") < threshold)
-            .select(*docs.columns))
+    score = fresh("score")
+    return docs.withColumn(score, model.score(text_col)).where(F.col(score) < threshold).select(*docs.columns)

@@ -38,8 +38,9 @@ LENGTH = 20
 #: Words of the shortest prefix.
 PREFIX = 8
 #: Sampled suffixes under one prefix that a task takes into memory at once.
-GROUP = 1 << 14
-_SEGMENT = 2_000_000  # bytes of a text looked at at once
+GROUP = 1 << 13
+_SEGMENT = 1_000_000  # bytes of a text looked at at once
+_ROWS = 4096  # contexts looked at at once, besides those of a partition that goes on
 _KEY = "id long, sub long"
 
 
@@ -110,26 +111,56 @@ def _sampled(length: int, k: int):
 
 def _contexts(length: int):
     """The words around each spot of (id, sub, text, spots): (prefix, often,
-    id, sub, start, words), from the first to the last of its windows."""
+    id, sub, start, words), from the first to the last of its windows.
+
+    Texts come in the pieces that they were sampled in, so the windows of a
+    spot lie in one piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for n in range(0, len(whole), 200):
-                batch = whole.slice(n, 200)
-                texts = [t.encode() for t in batch["text"].to_pylist()]
-                _, text, begins, ends = _words(texts)
-                base = np.searchsorted(text, np.arange(len(texts)))
-                marks = batch["marks"]
-                row = np.repeat(np.arange(len(texts)), marks.value_lengths().to_numpy())
-                prefix, spot, often = marks.flatten().flatten()
-                spot = spot.to_numpy()
-                lo = (spot >> 14) - ((spot >> 7) & 127)
-                hi = (spot >> 14) - (spot & 127) + length - 1
-                a, b = begins[base[row] + lo], ends[base[row] + hi]
-                around = [texts[i][x:y] for i, x, y in zip(row.tolist(), a.tolist(), b.tolist())]
-                ids, subs = (batch[c].take(pa.array(row)) for c in ("id", "sub"))
-                yield pa.RecordBatch.from_arrays([prefix, often, ids, subs, pa.array(lo), pa.array(around, pa.binary())],
-                                                 names=["prefix", "often", "id", "sub", "start", "words"])
+        group: list[tuple[int, int, int, bytes, np.ndarray]] = []  # id, sub, first word, bytes, its spots
+
+        def rows(prefix: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
+            pieces = [x[3] for x in group]
+            _, text, begins, ends = _words(pieces)
+            base = np.searchsorted(text, np.arange(len(pieces)))
+            which = np.repeat(np.arange(len(pieces)), [len(x[4]) for x in group])
+            spot = np.concatenate([x[4] for x in group])
+            first = np.array([x[2] for x in group])[which]
+            lo = (spot >> 14) - ((spot >> 7) & 127)
+            hi = (spot >> 14) - (spot & 127) + length - 1
+            at = base[which] - first
+            around = [pieces[i][a:b] for i, a, b in
+                      zip(which.tolist(), begins[at + lo].tolist(), ends[at + hi].tolist())]
+            ids, subs = (np.array([x[j] for x in group], np.int64)[which] for j in (0, 1))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(prefix), pa.array(often), pa.array(ids), pa.array(subs), pa.array(lo), pa.array(around, pa.binary())],
+                names=["prefix", "often", "id", "sub", "start", "words"])
+
+        size, names, flags = 0, [], []
+        for batch in batches:
+            marks = batch["marks"]
+            prefix, spot, often = (x.to_numpy(zero_copy_only=False) for x in marks.flatten().flatten())
+            stops = np.cumsum(marks.value_lengths().to_numpy()).tolist()
+            for i, sub, t, a, b in zip(*(batch[c].to_pylist() for c in ("id", "sub", "text")), [0, *stops], stops):
+                own = spot[a:b]
+                last = (own >> 14) - (own & 127) + length  # behind the last word
+                todo = np.ones(b - a, bool)
+                raw = t.encode()
+                for first, piece in _segments(raw, length):
+                    n_words = len(piece.split()) if len(raw) > _SEGMENT else len(raw)
+                    mine = todo & ((own >> 14) - ((own >> 7) & 127) >= first) & (last <= first + n_words)
+                    todo &= ~mine
+                    if mine.any():
+                        group.append((i, sub, first, piece, own[mine]))
+                        names.append(prefix[a:b][mine])
+                        flags.append(often[a:b][mine])
+                        size += len(piece)
+                    if size >= 500_000:
+                        yield rows(np.concatenate(names), np.concatenate(flags))
+                        group.clear()
+                        size, names, flags = 0, [], []
+        if group:
+            yield rows(np.concatenate(names), np.concatenate(flags))
 
     return run
 
@@ -179,15 +210,16 @@ def _covered(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
 
 def _subtrees(length: int, group: int):
     """Rows sorted by prefix: the spans that each subtree covers.  Whole
-    partitions are joined until about ``group`` rows are in memory."""
+    partitions are joined until some thousand rows are in memory; no partition
+    has more than ``group``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         held = 0
-        for batch in batches:
+        for batch in (b.slice(n, _ROWS) for b in batches for n in range(0, len(b), _ROWS)):
             waiting.append(batch)
             held += len(batch)
-            if held < group:
+            if held < min(group, _ROWS):
                 continue
             whole = pa.concat_batches(waiting)
             prefix = whole["prefix"].to_numpy()
@@ -214,8 +246,8 @@ def _whole_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Rows under a frequent prefix with a hash of all their words and the
     place behind the last."""
     for whole in batches:
-        for n in range(0, len(whole), 5000):
-            batch = whole.slice(n, 5000)
+        for n in range(0, len(whole), _ROWS):
+            batch = whole.slice(n, _ROWS)
             h, row, _, _ = _words(batch["words"].to_pylist())
             ends = np.cumsum(np.bincount(row, minlength=len(batch)))
             begins = np.concatenate([[0], ends[:-1]])
@@ -230,8 +262,8 @@ def _whole_windows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for n in range(0, len(whole), 5000):
-                batch = whole.slice(n, 5000)
+            for n in range(0, len(whole), _ROWS):
+                batch = whole.slice(n, _ROWS)
                 h, places, row, number = _windows(batch, length)
                 yield pa.RecordBatch.from_arrays(
                     [*_two_hashes(h, places, places + length), batch["id"].take(pa.array(row)),

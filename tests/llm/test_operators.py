@@ -158,7 +158,7 @@ def cut(texts, length=100):
 
 @pytest.mark.parametrize("hot", [suffix_dedup.HOT_ANCHOR, 2])
 def test_repeats_against_brute_force(documents, hot, monkeypatch):
-    monkeypatch.setattr(suffix_dedup.repeated_spans, "__defaults__", (100, suffix_dedup.KGRAM, hot))
+    monkeypatch.setattr(suffix_dedup.repeated_spans, "__defaults__", (100, suffix_dedup.KGRAM, hot, True))
     rng = random.Random(5)
     passage = " ".join(words(rng, 50))
     texts = ["ab" * 120, "é" * 90, "short", None, "", "x" * 99, "x" * 100, "x" * 100, "x" * 101]
@@ -178,11 +178,44 @@ def test_repeats_keep_rows_and_columns(documents):
     assert suffix_dedup.cut_repeats(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 4])
+def test_repeated_rows_lose_nothing(documents, parts):
+    from pyspark.sql import functions as F
+    text = " ".join(f"u{k}" for k in range(80))
+    docs = documents([text, text, text, "tail " + text], ids=[5, 5, 5, 9]).repartition(parts, F.rand(3))
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.cut_repeats(docs).collect())
+    n = len(text)
+    assert got == [(5, n, 0)] * 3 + [(9, n + 5, n)]
+    kept = sorted((r.doc_id, r.text) for r in suffix_dedup.drop_repeats(docs).collect())
+    assert kept == [(5, text)] * 3 + [(9, "tail ")]
+
+
+def test_one_id_with_several_texts(documents):
+    texts = [c * 150 for c in "abc"]
+    own = min(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    docs = documents([*texts, "x" * 10 + own], ids=[3, 3, 3, 4])
+    got = {r.text for r in suffix_dedup.drop_repeats(docs).where("doc_id = 3").collect()}
+    assert got == {own[0] * 50 if t == own else t for t in texts} or got == {own[0] if t == own else t for t in texts}
+    assert suffix_dedup.drop_repeats(docs).where("doc_id = 4").first().text == "x" * 10
+
+
+def test_clashing_names_of_filters(spark, documents):
+    from pyspark.sql import functions as F
+    names = ("_kept", "_bucket", "_bitmap", "_bit", "_cut", "_doc_sha", "_again", "_kept_id", "_kept_sha", "_toxicity", "sha")
+    docs = documents(["x" * 150, "y" + "x" * 150, "a b", "a  b", None]).select("*", *[F.col("doc_id").alias(c) for c in names])
+    for out, ids in ((suffix_dedup.drop_repeats(docs), [0, 1, 2, 3, 4]), (drop_exact_copies(docs), [0, 1, 2, 4])):
+        rows = out.collect()
+        assert out.columns == docs.columns and sorted(r.doc_id for r in rows) == ids
+        assert all(r[c] == r.doc_id for r in rows for c in names)
+
+
 # --- 4 byte-level BPE and the merges
 
 def odd_texts(rng, n=400):
-    letters = " \n\tab'sé日1!\x1c ΣA<|"
-    return ["", " ", "a ", "  a", "it's  'll", "x" * 5000, "日本 語", "½ Ⅷ ²", "İstanbul ΑΣ", "<|endoftext|> a",
+    letters = " \n\tab'sé日1!\x1c ΣA<|J\u030c\u0308"
+    marks = ["J\u030c", "H\u0331b", "T\u0308", "W\u030ax", "Y\u030a", "\u03aa\u0301", "e\u0301\u0323", "<s>\u0338", "A\u030a<",
+             "\u03a3\u0301", "\u1100\u1161", "I\u0307"]  # decomposed: normalised before lower-casing
+    return [*marks, " ".join(marks), "".join(marks), "", " ", "a ", "  a", "it's  'll", "x" * 5000, "日本 語", "½ Ⅷ ²", "İstanbul ΑΣ", "<|endoftext|> a",
             *("".join(rng.choices(letters, k=rng.randrange(1, 30))) for _ in range(n))]
 
 
@@ -523,3 +556,25 @@ def test_lines_without_spaces_and_crowded_bands(documents, monkeypatch):
 def test_line_dedup_is_native(documents):
     df = line_dedup.dedup_lines(documents(["a line of words\nb", "a line of words"]))
     assert not re.search("Python|Arrow|Pandas", df._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<p title=it's>Hello world</p>", "Hello world"),
+    ("<article><p title=it's>Hello world, don't go</p></article>", "Hello world, don't go"),
+    ("<article><p title=\"a>b\" class=x='y>Hi you there</p></article>", "Hi you there"),
+    ("<article><p title = 'a>b' data-x=a=\"b>Hi there you</p></article>", "Hi there you")])
+def test_quotes_open_values_behind_equals_signs_only(page, text):
+    assert html_extract.RegionScorer({}, 1.0, -0.2).extract(page) == text
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+    scorer, took = html_extract.RegionScorer({"font": -0.1}, 1.0, -0.2), {}
+    for n in (5_000, 50_000):
+        t = time.process_time()
+        scorer.extract("<html><body>" + "<font>word text <a href=x>" * n)
+        assert len(scorer.extract("<html><body>" + "<font>word text " * n).split()) == 2 * n
+        assert len(scorer.extract("<body><div>" + "<p><b><i>word text " * n).split()) == 2 * n
+        assert len(scorer.extract("<body>" + "<div>word text " * n).split()) == 2 * n
+        took[n] = time.process_time() - t
+    assert took[50_000] < 30 * took[5_000] + 1

@@ -30,13 +30,21 @@ def g1_stream_consent_status(spark, sf_dir):
 register("g1_stream_consent_status", "G1", "E1", sql=_PLANS["e1_consent_status"].sql, bench=False)(g1_stream_consent_status)
 
 
+GATE_SLICE_MS = 86_400_000
+
+
 def g2_stream_budget_gate(spark, sf_dir):
+    """Decisions of the slices that the watermark has closed."""
     ops = B.budget_ops_from(R.events_stream(spark, sf_dir))
-    res = R.run_append(S.stream_budget_gate(ops, B.BUDGET_TOTAL_MICRO, order_cols=("ts", "op_id")), "g2")
-    return res.select("budget_id", "op_id", "epsilon_micro", "allowed", "cumulative_micro")
+    gate = S.stream_budget_gate(ops, B.BUDGET_TOTAL_MICRO, delay=f"{DELAY_HOURS} hour", slice_ms=GATE_SLICE_MS)
+    return R.run_append(gate, "g2").select("budget_id", "op_id", "epsilon_micro", "allowed", "cumulative_micro")
 
 
-register("g2_stream_budget_gate", "G2", "E4", sql=_PLANS["e4_consume_budget"].sql, bench=False)(g2_stream_budget_gate)
+register("g2_stream_budget_gate", "G2", "E4", sql=f"""
+SELECT gate.* FROM ({_PLANS["e4_consume_budget"].sql}) gate JOIN events ON event_id = op_id
+WHERE (epoch_ms(CAST(ts AS TIMESTAMP)) // {GATE_SLICE_MS} + 1) * {GATE_SLICE_MS}
+      <= (SELECT epoch_ms(max(CAST(ts AS TIMESTAMP))) FROM events) - {DELAY_HOURS} * 3600000""",
+         bench=False)(g2_stream_budget_gate)
 
 
 @register("g3_stream_audit_counts", "G3", sql=f"""

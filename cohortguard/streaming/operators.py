@@ -1,16 +1,11 @@
 """Structured Streaming versions of the ledger, budget and audit operators.
 
-* G1 ``stream_consent_status`` — a streaming aggregation (``max_by`` over
-  (timestamp, seq) per subject and use case).  The state store keeps one
-  row per key; an action older than the stored one cannot win, so late
-  data is handled by the aggregate itself.  Runs in update mode.
-* G2 ``stream_budget_gate`` — ``applyInPandasWithState`` keyed by budget:
-  the state is the consumed amount; each micro-batch's rows for a budget
-  are ordered by seq and admitted with the same kernel as the batch gate.
-  A charge already granted is never revoked; late operations are judged on
-  arrival.  One budget's rows of one micro-batch are sorted together, so
-  bound micro-batches at the source (``maxFilesPerTrigger`` /
-  ``maxBytesPerTrigger``); the state itself is one number per budget.
+* G1 ``stream_consent_status`` — ``transformWithStateInPandas`` keyed by
+  (subject, use case): the latest action as a value state, older ones ignored,
+  event-time timers for expiring grants.
+* G2 ``stream_budget_gate`` — ``transformWithStateInPandas`` keyed by budget:
+  operations wait as sorted blocks until the watermark closes their time
+  slice, then pass the same kernel as the batch gate, in order.
 * G3 ``stream_audit_counts`` — event-time tumbling windows with a
   watermark, append mode: a window is emitted once the watermark passes its
   end, later rows for it are dropped.
@@ -18,46 +13,187 @@
 
 from __future__ import annotations
 
+import heapq
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.fold import greedy_admit
 from ..operators.ledger import GRANT
 
 
-def stream_consent_status(requests: DataFrame, order=("timestamp", "request_seq")) -> DataFrame:
-    """G1: latest action per (pseudonym, use case) as a streaming aggregate."""
-    return (requests.groupBy("patient_pseudonym", "use_case_id")
-            .agg(F.max_by("action", F.struct(*order)).alias("last_action"),
-                 F.count(F.lit(1)).alias("n_actions"))
-            .withColumn("consented", F.col("last_action") == F.lit(GRANT)))
-
-
-def stream_budget_gate(ops: DataFrame, total_micro: int, order_cols=("seq",),
-                       budget_col: str = "budget_id", cost_col: str = "epsilon_micro") -> DataFrame:
-    """Ordered budget gate with the consumed amount in the state store."""
-    cols = ops.columns
-    out_schema = T.StructType(ops.schema.fields + [
-        T.StructField("allowed", T.BooleanType()),
-        T.StructField("cumulative_micro", T.LongType())])
-    state_schema = T.StructType([T.StructField("used", T.LongType())])
-
-    def gate(key, pdfs, state):
-        used = int(state.get[0]) if state.exists else 0
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(list(order_cols), kind="stable")
-        adm, after, used = greedy_admit(batch[cost_col].to_numpy(dtype=np.int64), used, int(total_micro), True)
-        state.update((used,))
-        out = batch[cols].copy()
-        out["allowed"] = adm
-        out["cumulative_micro"] = after
-        yield out
-
-    return ops.groupBy(budget_col).applyInPandasWithState(
-        gate, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+_EPOCH = pd.Timestamp("1970-01-01")
+
+
+def _micros(ts: pd.Series) -> np.ndarray:
+    """Microseconds since 1970 of a timestamp column (UTC)."""
+    plain = ts.dt.tz_convert("UTC").dt.tz_localize(None) if ts.dt.tz is not None else ts
+    return plain.to_numpy().astype("datetime64[us]").astype(np.int64)
+
+
+class ConsentProcessor(StatefulProcessor):
+    """Latest action of one (subject, use case); see :func:`stream_consent_status`."""
+
+    def __init__(self, time_col: str, seq_col: str):
+        self.time_col, self.seq_col = time_col, seq_col
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ts long, seq long, action string, until long, n long, expired boolean")
+
+    def _row(self, key, action, consented, n):
+        return pd.DataFrame({"patient_pseudonym": [key[0]], "use_case_id": [key[1]], "last_action": [action],
+                             "consented": [bool(consented)], "n_actions": [int(n)]})
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = self.last.get()
+        best = None if known is None else (known[0], known[1], known[2], known[3])
+        n = 0 if known is None else known[4]
+        before = best
+        for pdf in rows:  # a chunk at a time: only its latest row matters
+            n += len(pdf)
+            ts, seq = _micros(pdf[self.time_col]), pdf[self.seq_col].to_numpy(dtype=np.int64)
+            k = int(np.lexsort((seq, ts))[-1])
+            if best is None or (ts[k], seq[k]) > best[:2]:
+                day = pdf["expiry_date"].iat[k]
+                # a grant holds through its expiry date
+                until = -1 if pd.isna(day) else int((pd.Timestamp(day) - _EPOCH).days + 1) * 86_400_000
+                best = (int(ts[k]), int(seq[k]), str(pdf["action"].iat[k]), until)
+        now = timerValues.getCurrentWatermarkInMs()
+        expired = known is not None and bool(known[5])
+        if best != before:
+            if before is not None and before[3] > now and before[2] == GRANT:
+                self.handle.deleteTimer(before[3])
+            expired = best[2] == GRANT and 0 <= best[3] <= now
+            if best[2] == GRANT and best[3] > now:
+                self.handle.registerTimer(best[3])
+        self.last.update((*best, int(n), expired))
+        yield self._row(key, best[2], best[2] == GRANT and not expired, n)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        ts, seq, action, until, n, _ = self.last.get()
+        if action == GRANT and until == expiredTimerInfo.getExpiryTimeInMs():
+            self.last.update((ts, seq, action, until, n, True))
+            yield self._row(key, action, False, n)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_consent_status(requests: DataFrame, order=("timestamp", "request_seq"), delay: str = "1 hour") -> DataFrame:
+    """G1: latest action per (pseudonym, use case), update mode.
+
+    One value state per key holds the latest action, its place in ``order``
+    (event time, then a sequence number) and the number of actions seen.  An
+    action that arrives after a later one is counted but changes nothing, so
+    any arrival order gives the batch status (E1).  A grant with an
+    ``expiry_date`` sets an event-time timer; once the watermark (``delay``
+    behind the latest event) passes the end of that day, the key is emitted
+    again, no longer consented.  Rows behind the watermark are late and, as in
+    every event-time operator, dropped.
+    """
+    time_col, seq_col = order
+    out = "patient_pseudonym string, use_case_id string, last_action string, consented boolean, n_actions long"
+    if "expiry_date" not in requests.columns:
+        requests = requests.withColumn("expiry_date", F.lit(None).cast("date"))
+    rows = (requests.withWatermark(time_col, delay)
+            .select("patient_pseudonym", "use_case_id", time_col, seq_col, "action", "expiry_date"))
+    return rows.groupBy("patient_pseudonym", "use_case_id").transformWithStateInPandas(
+        ConsentProcessor(time_col, seq_col), out, "Update", "EventTime")
+
+
+#: Rows of one sorted block of the gate's buffer.
+BLOCK_ROWS = 2000
+
+
+class GateProcessor(StatefulProcessor):
+    """Ordered budget gate of one budget; see :func:`stream_budget_gate`."""
+
+    def __init__(self, total: int, time_col: str, seq_col: str, cost_col: str, slice_ms: int, block_rows: int):
+        self.total, self.time_col, self.seq_col, self.cost_col = total, time_col, seq_col, cost_col
+        self.slice_ms, self.block_rows = slice_ms, block_rows
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.used = handle.getValueState("used", "micro long")
+        self.slices = handle.getMapState("slices", "start long", "blocks int")
+        self.blocks = handle.getMapState("blocks", "start long, block int", "ts array<long>, seq array<long>, cost array<long>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            ts = _micros(pdf[self.time_col])
+            seq, cost = (pdf[c].to_numpy(dtype=np.int64) for c in (self.seq_col, self.cost_col))
+            order = np.lexsort((seq, ts))
+            ts, seq, cost = ts[order], seq[order], cost[order]
+            at = ts // (self.slice_ms * 1000)
+            cuts = np.flatnonzero(np.diff(at)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+                start = int(at[a])
+                have = self.slices.getValue((start,))[0] if self.slices.containsKey((start,)) else 0
+                if not have:
+                    self.handle.registerTimer((start + 1) * self.slice_ms)
+                for k in range(a, b, self.block_rows):
+                    stop = min(b, k + self.block_rows)
+                    self.blocks.updateValue((start, have), (ts[k:stop].tolist(), seq[k:stop].tolist(), cost[k:stop].tolist()))
+                    have += 1
+                self.slices.updateValue((start,), (have,))
+        return iter(())
+
+    def _block(self, start: int, n: int):
+        """Rows of a sorted block; it leaves the state as it is read."""
+        ts, seq, cost = self.blocks.getValue((start, n))
+        self.blocks.removeKey((start, n))
+        yield from zip(ts, seq, cost)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs()
+        used = self.used.get()[0] if self.used.exists() else 0
+        due = sorted(k[0] for k in self.slices.keys() if (k[0] + 1) * self.slice_ms <= now)
+        for start in due:
+            n = self.slices.getValue((start,))[0]
+            merged = heapq.merge(*(self._block(start, b) for b in range(n)))
+            while chunk := list(itertools.islice(merged, self.block_rows)):
+                ts, seq, cost = (np.array(c, np.int64) for c in zip(*chunk))
+                admitted, after, used = greedy_admit(cost, used, self.total, refuse_when_exhausted=True)
+                yield pd.DataFrame({"budget_id": [key[0]] * len(chunk), "ts": pd.to_datetime(ts, unit="us"), "op_id": seq,
+                                    "epsilon_micro": cost, "allowed": admitted, "cumulative_micro": after})
+            self.slices.removeKey((start,))
+        if due:
+            self.used.update((int(used),))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_budget_gate(ops: DataFrame, total_micro: int, time_col: str = "ts", seq_col: str = "op_id",
+                       budget_col: str = "budget_id", cost_col: str = "epsilon_micro", delay: str = "1 hour",
+                       slice_ms: int = 3_600_000, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The budget gate (E4) in event-time order, append mode.
+
+    An operation waits in the state until the watermark (``delay`` behind the
+    latest event) has passed the end of its time slice, so operations that
+    arrive out of order within the delay are judged in order, as the batch
+    gate does; later ones are dropped.  A budget's state is what it has
+    consumed and, per open slice, blocks of at most ``block_rows`` sorted
+    operations.  A closed slice merges its blocks and runs them through the
+    gate's kernel in chunks: neither a budget's micro-batch nor its backlog is
+    ever one table in memory, but one block for each of a slice's blocks is.
+    Operations at one time are ordered by ``seq_col``.
+
+    Returns ``budget_id, ts, op_id, epsilon_micro, allowed,
+    cumulative_micro``.  Needs the RocksDB state store.
+    """
+    rows = (ops.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, delay)
+            .select(F.col(budget_col), time_col, F.col(seq_col).cast("long").alias(seq_col),
+                    F.col(cost_col).cast("long").alias(cost_col)))
+    kind = ops.schema[budget_col].dataType.simpleString()
+    out = f"budget_id {kind}, ts timestamp, op_id long, epsilon_micro long, allowed boolean, cumulative_micro long"
+    return rows.groupBy(budget_col).transformWithStateInPandas(
+        GateProcessor(int(total_micro), time_col, seq_col, cost_col, slice_ms, block_rows), out, "Append", "EventTime")
 
 
 def stream_audit_counts(events: DataFrame, window: str = "1 day", delay: str = "1 hour",

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +34,28 @@ def events_stream(spark: SparkSession, sf_dir: str, table: str = "events") -> Da
             .parquet(sf_dir))
 
 
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, as processors with
+    several states need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
 def run_append(stream: DataFrame, name: str) -> DataFrame:
     """Append-mode stream → Parquet; returns the written rows as a batch DataFrame."""
     spark = stream.sparkSession
     d = scratch_dir(spark, name)
-    q = (stream.writeStream.outputMode("append").format("parquet")
-         .option("path", os.path.join(d, "out"))
-         .option("checkpointLocation", os.path.join(d, "checkpoint"))
-         .trigger(availableNow=True).start())
+    with rocksdb(spark):
+        q = (stream.writeStream.outputMode("append").format("parquet")
+             .option("path", os.path.join(d, "out"))
+             .option("checkpointLocation", os.path.join(d, "checkpoint"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(os.path.join(d, "out"))
 
@@ -54,9 +69,10 @@ def run_update(stream: DataFrame, name: str, keys) -> DataFrame:
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (stream.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", os.path.join(d, "checkpoint"))
-         .trigger(availableNow=True).start())
+    with rocksdb(spark):
+        q = (stream.writeStream.outputMode("update").foreachBatch(sink)
+             .option("checkpointLocation", os.path.join(d, "checkpoint"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     res = spark.read.parquet(out)
     value_cols = [c for c in res.columns if c not in keys and c != "_batch"]

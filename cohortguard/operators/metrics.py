@@ -6,9 +6,10 @@ shuffle) or windows over pre-aggregated tables; none collects rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.prf import keyed_uniform
@@ -199,23 +200,53 @@ def tstr_composite(fidelity, auc_tstr, auc_real, mia_advantage) -> list[Column]:
 # A10 — exact stratified split
 # --------------------------------------------------------------------------
 
+#: Ranges of the keyed uniform that a selection counts.
+SELECT_RANGES = 1 << 16
+
+
+def mark_lowest(df: DataFrame, n: Column, seed, stream: str, id_col: str, out: str,
+                by: str | None = None, ranges: int = SELECT_RANGES) -> DataFrame:
+    """Add boolean ``out``: whether a row is among the lowest of its group by a
+    keyed uniform of its id (ties by id); exactly as many as ``n`` says.
+
+    ``n`` is an expression over ``_rows``, the rows of the group (all rows
+    without ``by``; nulls of ``by`` are one group).  An order statistic by
+    counting: one aggregation counts the rows of every range of the uniform,
+    which tells the range that the last wanted row lies in.  Rows of lower
+    ranges are in and rows of higher ones out, in a narrow step; only the rows
+    of that one range, a share of 1 / ``ranges``, are ranked.  Nothing sorts or
+    moves the table.  Rows with a null id come last.
+    """
+    u_, range_, group_, border_, some_, of_ = (f"_{uuid.uuid4().hex}" for _ in range(6))  # names no table has
+    u = keyed_uniform(seed, stream, F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    place = F.when(F.col(id_col).isNull(), F.lit(ranges)).otherwise(F.floor(u * ranges)).cast("int")
+    group = F.struct((F.col(by) if by else F.lit(0)).alias("g"))
+    rows = df.withColumns({u_: u, range_: place, group_: group})
+    counts = rows.groupBy(F.col(group_).alias(of_), F.col(range_).alias(border_)).agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(of_).orderBy(border_).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = (counts.withColumns({"_upto": F.sum("_c").over(upto), "_rows": F.sum("_c").over(Window.partitionBy(of_))})
+             .withColumn("_n", n.cast("long")))
+    # the range of the last wanted row, and how many of its rows are wanted
+    border = (steps.where((F.col("_upto") >= F.col("_n")) & (F.col("_upto") - F.col("_c") < F.col("_n")))
+              .select(of_, border_, (F.col("_n") - F.col("_upto") + F.col("_c")).alias(some_)))
+    known = rows.join(border, F.col(group_).eqNullSafe(F.col(of_)), "left")
+    last = F.coalesce(F.col(range_) == F.col(border_), F.lit(False))
+    clear = known.where(~last).withColumn(out, F.coalesce(F.col(range_) < F.col(border_), F.lit(False)))
+    rank = F.row_number().over(Window.partitionBy(group_).orderBy(u_, id_col))
+    tied = known.where(last).withColumn(out, rank <= F.col(some_))
+    return clear.unionByName(tied).select(*df.columns, out)
+
+
 def split_train_test(df: DataFrame, id_col: str, train_frac: float, seed,
                      stratify: str | None = None) -> DataFrame:
-    """A10: add ``is_train``; exactly round(n_c · train_frac) rows of each class.
+    """A10: add ``is_train``; exactly round(n · train_frac) rows, of each class
+    of ``stratify`` where one is given.
 
-    Rows are ranked inside their class by a keyed uniform of the id (ties by
-    id) with the bucketed distributed prefix — no single-task window even
-    though a class may hold most rows.  Without ``stratify`` the split is a
-    Bernoulli draw (no shuffle at all).
+    The rows lowest by a keyed uniform of the id (ties by id) are the training
+    rows; see :func:`mark_lowest` for how they are found without a sort.
     """
-    u = keyed_uniform(seed, "split", id_col)
-    if stratify is None:
-        return df.withColumn("is_train", u < F.lit(float(train_frac)))
-    ranked = exclusive_prefix(df.withColumn("_u", u).withColumn("_one", F.lit(1)),
-                              "_u", ["_one"], groups=[stratify], tie_cols=[id_col], with_totals=True)
-    n_train = F.round(F.col("_one_total").cast("double") * F.lit(float(train_frac))).cast("long")
-    return (ranked.withColumn("is_train", F.col("_one_before") < n_train)
-            .drop("_u", "_one", "_one_before", "_one_total"))
+    n = F.round(F.col("_rows").cast("double") * F.lit(float(train_frac)))
+    return mark_lowest(df, n, seed, "split", id_col, "is_train", stratify)
 
 
 def stratified_folds(df: DataFrame, id_col: str, label: str, folds: int, seed) -> DataFrame:

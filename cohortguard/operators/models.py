@@ -471,8 +471,7 @@ def regulator_report(logs: DataFrame, regulator: str, privacy_guarantee: str = "
 def mia_auc(real: DataFrame, synth: DataFrame, features, id_col: str = "id", n_shadow: int | None = 200,
             seed: int = 42, folds: int = 5, n_trees: int = 50) -> DataFrame:
     """balanced real-vs-synthetic sample (≤ ``n_shadow`` rows each, the
-    lowest keyed-uniform ranks — a bounded top-k, not a full sort), a
-    random forest per cross-validation fold, mean held-out AUC.  0.5 means
+    lowest by a keyed uniform, found without a sort), a random forest per cross-validation fold, mean held-out AUC.  0.5 means
     the synthetic rows cannot be told apart.  ``n_shadow=None`` uses every
     row of the smaller side."""
     from pyspark.ml.classification import RandomForestClassifier
@@ -481,9 +480,8 @@ def mia_auc(real: DataFrame, synth: DataFrame, features, id_col: str = "id", n_s
         n = min(n, n_shadow)
 
     def sample(df, tag):
-        u = keyed_uniform_col(seed, f"mia:{tag}", id_col)
-        return (df.select(id_col, *features).withColumn("_u", u).orderBy("_u", id_col).limit(n)
-                .withColumn("_member", F.lit(float(tag == "real"))))
+        picked = M.mark_lowest(df.select(id_col, *features), F.least(F.col("_rows"), F.lit(n)), seed, f"mia:{tag}", id_col, "_in")
+        return picked.where("_in").drop("_in").withColumn("_member", F.lit(float(tag == "real")))
     both = sample(real, "real").unionByName(sample(synth, "synth"))
     both = both.withColumn("_fold", F.floor(keyed_uniform_col(seed, "mia:fold", id_col, "_member") * folds)
                            .cast("int")).cache()

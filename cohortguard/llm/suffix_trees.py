@@ -40,7 +40,7 @@ PREFIX = 8
 #: Sampled suffixes under one prefix that a task takes into memory at once.
 GROUP = 1 << 13
 _SEGMENT = 1_000_000  # bytes of a text looked at at once
-_ROWS = 4096  # contexts looked at at once, besides those of a partition that goes on
+_ROWS = 2048  # contexts looked at at once, besides those of a partition that goes on
 _KEY = "id long, sub long"
 
 
@@ -100,7 +100,7 @@ def _sampled(length: int, k: int):
                 for first, piece in _segments(t.encode(), length):
                     group.append((i, sub, first, piece))
                     size += len(piece)
-                    if size >= 1_000_000:
+                    if size >= 500_000:
                         yield rows(group)
                         group, size = [], 0
         if group:
@@ -273,19 +273,28 @@ def _whole_windows(length: int):
     return run
 
 
-def _with_first(rows: DataFrame) -> DataFrame:
-    """Rows of nodes (node, again) with the ``first`` place of their node."""
-    both = F.struct("node", "again")
-    first = (rows.groupBy("node", "again").agg(F.min(F.struct("id", "sub", "start")).alias("first"),
-                                               F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select(both.alias("both"), "first", "n"))
-    return attach_group(rows.withColumn("both", both), written(first, "first-leaves"), "both", "n")
+# Kinds of spans.  Candidates are covered unless the same span is the first
+# occurrence of its node, which is only known where a document's spans meet.
+COVERED, CONTEXT, FIRST_CONTEXT, WINDOW, FIRST_WINDOW = range(5)
+
+
+def _spans(rows: DataFrame, to, kind: int) -> DataFrame:
+    return rows.select("id", "sub", F.col("start").alias("from"), to.alias("to"), F.lit(kind).alias("kind"))
+
+
+def covered_spans(spans: list) -> list[tuple[int, int]]:
+    """The spans of one document that are covered, in order."""
+    first = {(s["from"], s["to"], s["kind"]) for s in spans if s["kind"] in (FIRST_CONTEXT, FIRST_WINDOW)}
+    return sorted((s["from"], s["to"]) for s in spans
+                  if s["kind"] == COVERED or s["kind"] in (CONTEXT, WINDOW)
+                  and (s["from"], s["to"], s["kind"] + 1) not in first)
 
 
 def repeated_windows(docs: DataFrame, n_docs: int, length: int = LENGTH, prefix: int = PREFIX,
                      group: int = GROUP) -> DataFrame:
-    """Spans (id, sub, from, to), in words, that earlier windows cover, of
-    ``docs`` (id, sub, text), one text for each (id, sub); spans may overlap."""
+    """Spans (id, sub, from, to, kind), in words, of ``docs`` (id, sub, text),
+    one text for each (id, sub); they may overlap.  :func:`covered_spans` tells
+    which of a document's spans earlier windows cover."""
     rows = written(docs.mapInArrow(_sampled(length, prefix), f"prefix long, {_KEY}, spot long"), "sampled-suffixes")
     counts = written(rows.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "prefixes")
     inner = attach_group(rows, counts, "prefix", "n").select(
@@ -302,20 +311,21 @@ def repeated_windows(docs: DataFrame, n_docs: int, length: int = LENGTH, prefix:
         # first goes on, and the others are covered from end to end
         whole = written(around.where("often").mapInArrow(
             _whole_contexts, f"node long, again long, to long, prefix long, {_KEY}, start long, words binary"), "whole-contexts")
-        again = written(_with_first(whole).where(place > F.col("first"))
-                        .select("id", "sub", F.col("start").alias("from"), "to"), "equal-contexts")
-        own = whole.groupBy("node", "again").agg(F.min(F.struct("id", "sub", "start", "prefix", "words")).alias("r"))
-        own = written(own.select("r.prefix", "r.id", "r.sub", "r.start", "r.words"), "first-contexts")
+        own = whole.groupBy("node", "again").agg(F.min(F.struct("id", "sub", "start", "prefix", "to", "words")).alias("r"))
+        own = written(own.select("r.*"), "first-contexts")
+        spans = _spans(whole, F.col("to"), CONTEXT).unionByName(_spans(own, F.col("to"), FIRST_CONTEXT))
+        own = own.drop("to")
         crowded = written(own.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group), "crowded")
         rest = rest.drop("often").unionByName(own.join(crowded, "prefix", "left_anti"))
         # prefixes with many different contexts end as windows
         windows = written(own.join(crowded, "prefix", "left_semi").mapInArrow(
             _whole_windows(length), f"node long, again long, {_KEY}, start long"), "windows")
-        later = _with_first(windows).where(place > F.col("first")).select(
-            "id", "sub", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
-        spans = again.unionByName(later)
+        first = windows.groupBy("node", "again").agg(F.min(place).alias("r")).select("r.*")
+        for rows, kind in ((windows, WINDOW), (first, FIRST_WINDOW)):
+            spans = spans.unionByName(_spans(rows, F.col("start") + length, kind))
     found = (rest.select("prefix", "id", "sub", "start", "words").repartition("prefix").sortWithinPartitions("prefix")
-             .mapInArrow(_subtrees(length, group), f"{_KEY}, from long, to long"))
+             .mapInArrow(_subtrees(length, group), f"{_KEY}, from long, to long")
+             .withColumn("kind", F.lit(COVERED)))
     spans = found if spans is None else found.unionByName(spans)
     spans = written(spans, "spans")
     discard(around, marks, counts)
@@ -329,9 +339,9 @@ def _cut(length: int):
             for t, spans, copy in zip(*(batch[c].to_pylist() for c in ("text", "spans", "copy"))):
                 words = t.encode().split()  # bytes split at ASCII white space
                 if copy and len(words) >= length:
-                    spans = [{"from": 0, "to": len(words)}]
+                    spans = [{"from": 0, "to": len(words), "kind": COVERED}]
                 stay, at = [], 0
-                for a, b in sorted((s["from"], s["to"]) for s in spans or ()):
+                for a, b in covered_spans(spans or []):
                     stay += words[at:a]
                     at = max(at, b)
                 stay += words[at:]
@@ -402,9 +412,9 @@ def cut_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         live = (both.where("not _again").drop("_again")
                 .unionByName(both.where("_again").drop("_again").dropDuplicates(["id", "sub"])))
     spans = repeated_windows(live, n_docs, length, prefix, group)
-    span = F.struct("from", "to")
+    span = F.struct("from", "to", "kind")
     acts = (spans.select("id", "sub", span.alias("span"), F.lit(False).alias("copy"))
-            .unionByName(copies.select("id", "sub", F.lit(None).cast("struct<from:bigint,to:bigint>").alias("span"),
+            .unionByName(copies.select("id", "sub", F.lit(None).cast("struct<from:bigint,to:bigint,kind:int>").alias("span"),
                                        F.lit(True).alias("copy")))
             .groupBy("id", "sub").agg(F.collect_list("span").alias("spans"), F.max("copy").alias("copy")))
     acts = written(acts, "cuts")

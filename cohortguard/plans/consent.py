@@ -137,22 +137,25 @@ FLAGSHIP_SEED = 20240101
 FLAGSHIP_EPS = 1.0                 # per released segment (split count/sum)
 FLAGSHIP_TOTAL_MICRO = 4_000_000   # 4 ε for the whole release
 PRICE_LOWER, PRICE_UPPER = 0.0, 500_000.0
+# a customer lies in one segment; ten of their orders count
+FLAGSHIP_SUBJECT = DP.SubjectBound("o_custkey", "o_orderkey", max_groups=1, max_rows=10)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 → C1 → E1 → C2 → D9 (keyed Laplace) → E4 charge → D21 columns.
 
     Mean order value per market segment over consenting customers only,
-    released with ε = 1 per segment against a 4 ε budget; a release the
+    released with ε = 1 per segment and customer against a 4 ε budget; a release the
     budget refuses is suppressed (null values).
     """
-    o = read(spark, sf_dir, "orders", "o_custkey", "o_totalprice")
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
     c = read(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
     gated = L.consented_rows(o.withColumn("_pseud", pseudonymize("o_custkey")), "_pseud",
                              accepted(spark, sf_dir), "UC0", order=LATEST())
-    rows = gated.join(c, gated.o_custkey == c.c_custkey).select("c_mktsegment", "o_totalprice")
+    rows = gated.join(c, gated.o_custkey == c.c_custkey).select("c_mktsegment", "o_custkey", "o_orderkey",
+                                                                             "o_totalprice")
     release = DP.dp_mean(rows, ["c_mktsegment"], "o_totalprice", PRICE_LOWER, PRICE_UPPER,
-                         FLAGSHIP_EPS, FLAGSHIP_SEED, stream="flagship")
+                         FLAGSHIP_EPS, FLAGSHIP_SEED, stream="flagship", subject=FLAGSHIP_SUBJECT)
     ops = release.select(F.lit("flagship").alias("budget_id"), "c_mktsegment",
                          F.lit(int(FLAGSHIP_EPS * BG.MICRO)).cast("long").alias("epsilon_micro"),
                          "dp_count", "dp_mean")
@@ -166,17 +169,18 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flagship_sql() -> str:
     half = FLAGSHIP_EPS / 2.0
-    n_noise = laplace_noise_sql(laplace_scale(1.0, half), FLAGSHIP_SEED, "flagship:n", "c_mktsegment")
-    sens = max(abs(PRICE_LOWER), abs(PRICE_UPPER))
+    n_noise = laplace_noise_sql(laplace_scale(FLAGSHIP_SUBJECT.sensitivity(1.0, "laplace"), half), FLAGSHIP_SEED, "flagship:n", "c_mktsegment")
+    sens = FLAGSHIP_SUBJECT.sensitivity(max(abs(PRICE_LOWER), abs(PRICE_UPPER)), "laplace")
     s_noise = laplace_noise_sql(laplace_scale(sens, half), FLAGSHIP_SEED, "flagship:s", "c_mktsegment")
     cost = int(FLAGSHIP_EPS * BG.MICRO)
     return f"""WITH RECURSIVE
+    consented AS (
+      SELECT c_mktsegment, o_custkey, o_orderkey, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE substr(sha256('{PSEUDONYM_SALT}' || CAST(o_custkey AS VARCHAR)), 1, 16) IN ({_CONSENTED_UC0})),
     rel AS (
       SELECT c_mktsegment, CAST(count(*) AS DOUBLE) + {n_noise} AS nn,
              sum(least(greatest(o_totalprice, {PRICE_LOWER}::DOUBLE), {PRICE_UPPER}::DOUBLE)) + {s_noise} AS sn
-      FROM orders JOIN customer ON o_custkey = c_custkey
-      WHERE substr(sha256('{PSEUDONYM_SALT}' || CAST(o_custkey AS VARCHAR)), 1, 16) IN ({_CONSENTED_UC0})
-      GROUP BY c_mktsegment),
+      FROM {FLAGSHIP_SUBJECT.sql('consented', 'c_mktsegment')} GROUP BY c_mktsegment),
     {S.skip_fold_sql(f'''SELECT 'flagship' AS budget_id, c_mktsegment,
            row_number() OVER (ORDER BY c_mktsegment) AS rn,
            CAST({cost} AS BIGINT) AS cost, CAST({FLAGSHIP_TOTAL_MICRO} AS BIGINT) AS total FROM rel''')}

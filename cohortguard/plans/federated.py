@@ -154,20 +154,47 @@ def b6_flip_labels(spark, sf_dir):
 
 # D9 / B3 -------------------------------------------------------------------------
 
+# a user counts in two event types at most, with five events in each
+EVENT_SUBJECT = DP.SubjectBound("user_id", "event_id", max_groups=2, max_rows=5)
+_BOUNDED_EVENTS = EVENT_SUBJECT.sql("events", "event_type")
+_COUNT_SENS = EVENT_SUBJECT.sensitivity(1.0, "laplace")
+_SUM_SENS = EVENT_SUBJECT.sensitivity(VALUE_UPPER, "gaussian")
+
+
 @register("d9_dp_count_events", "D9", "B3", sql=f"""
 SELECT event_type, round(CAST(count(*) AS DOUBLE)
-       + {laplace_noise_sql(laplace_scale(1.0, RELEASE_EPS), SEED, 'ev_count', 'event_type')}, 6) AS dp_count
-FROM events GROUP BY event_type""")
+       + {laplace_noise_sql(laplace_scale(_COUNT_SENS, RELEASE_EPS), SEED, 'ev_count', 'event_type')}, 6) AS dp_count
+FROM {_BOUNDED_EVENTS} GROUP BY event_type""")
 def d9_dp_count_events(spark, sf_dir):
-    ev = read(spark, sf_dir, "events", "event_type")
-    return DP.dp_count(ev, ["event_type"], RELEASE_EPS, SEED, stream="ev_count")
+    ev = read(spark, sf_dir, "events", "event_type", "user_id", "event_id")
+    return DP.dp_count(ev, ["event_type"], RELEASE_EPS, SEED, stream="ev_count", subject=EVENT_SUBJECT)
 
 
 @register("d9_dp_sum_events", "D9", "B4", sql=f"""
 SELECT event_type, round(sum(least(greatest(value, {VALUE_LOWER!r}::DOUBLE), {VALUE_UPPER!r}::DOUBLE))
-       + {gaussian_noise_sql(gaussian_sigma(VALUE_UPPER, RELEASE_EPS), SEED, 'ev_sum', 'event_type')}, 6) AS dp_sum
-FROM events GROUP BY event_type""")
+       + {gaussian_noise_sql(gaussian_sigma(_SUM_SENS, RELEASE_EPS), SEED, 'ev_sum', 'event_type')}, 6) AS dp_sum
+FROM {_BOUNDED_EVENTS} GROUP BY event_type""")
 def d9_dp_sum_events(spark, sf_dir):
-    ev = read(spark, sf_dir, "events", "event_type", "value")
+    ev = read(spark, sf_dir, "events", "event_type", "value", "user_id", "event_id")
     return DP.dp_sum(ev, ["event_type"], "value", VALUE_LOWER, VALUE_UPPER, RELEASE_EPS, SEED,
-                     mechanism="gaussian", stream="ev_sum")
+                     mechanism="gaussian", stream="ev_sum", subject=EVENT_SUBJECT)
+
+
+MEAN_SUBJECT = DP.SubjectBound("o_custkey", "o_orderkey", max_groups=2, max_rows=3)
+MEAN_LOWER, MEAN_UPPER = 0.0, 400_000.0
+_MEAN_SENS = [MEAN_SUBJECT.sensitivity(x, "laplace") for x in (1.0, MEAN_UPPER)]
+
+
+@register("d9_dp_mean_capped", "D9", "B3", sql=f"""
+WITH rel AS (
+  SELECT o_orderstatus, CAST(count(*) AS DOUBLE)
+         + {laplace_noise_sql(laplace_scale(_MEAN_SENS[0], RELEASE_EPS / 2), SEED, 'mean:n', 'o_orderstatus')} AS nn,
+         sum(least(greatest(o_totalprice, {MEAN_LOWER!r}::DOUBLE), {MEAN_UPPER!r}::DOUBLE))
+         + {laplace_noise_sql(laplace_scale(_MEAN_SENS[1], RELEASE_EPS / 2), SEED, 'mean:s', 'o_orderstatus')} AS sn
+  FROM {MEAN_SUBJECT.sql('orders', 'o_orderstatus')} GROUP BY o_orderstatus)
+SELECT o_orderstatus, round(nn, 6) AS dp_count, round(sn / greatest(nn, 1.0::DOUBLE), 6) AS dp_mean FROM rel""")
+def d9_dp_mean_capped(spark, sf_dir):
+    """Mean order value per order status, private per customer."""
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return DP.dp_mean(o, ["o_orderstatus"], "o_totalprice", MEAN_LOWER, MEAN_UPPER, RELEASE_EPS, SEED,
+                      stream="mean", subject=MEAN_SUBJECT)

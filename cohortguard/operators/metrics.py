@@ -263,26 +263,48 @@ def stratified_folds(df: DataFrame, id_col: str, label: str, folds: int, seed) -
 # D24 — dataset profile
 # --------------------------------------------------------------------------
 
-def profile(df: DataFrame, numeric: Sequence[str], label: str | None = None) -> DataFrame:
+#: Shares of the rows whose quantiles a profile states.
+QUANTILES = (0.25, 0.5, 0.75)
+#: A stated quantile's rank is off by at most 1 / this of the rows.
+RANK_ACCURACY = 10_000
+
+
+def profile(df: DataFrame, numeric: Sequence[str], label: str | None = None,
+            quantiles: Sequence[float] = QUANTILES) -> DataFrame:
     """Long-form profile (metric, column, value) from one aggregation pass.
 
-    Row count, label prevalence, and per column: nulls, mean, sample std,
-    min, max.
+    Row count, label prevalence, and per column: nulls, mean, sample std, min,
+    max and quantiles (``q25`` …).  Quantiles are values of the column, from a
+    mergeable sketch with a rank error of at most ``1 / RANK_ACCURACY`` of the
+    rows; nulls have no part in them.  Without rows, counts are zero and the
+    rest is null.
     """
     aggs = [F.count(F.lit(1)).cast("double").alias("rows||")]
     if label:
         aggs.append(F.avg(F.col(label).cast("double")).alias(f"prevalence||{label}"))
     for c in numeric:
-        aggs += [F.sum(F.col(c).isNull().cast("int")).cast("double").alias(f"nulls||{c}"),
+        aggs += [F.coalesce(F.sum(F.col(c).isNull().cast("int")), F.lit(0)).cast("double").alias(f"nulls||{c}"),
                  F.avg(c).cast("double").alias(f"mean||{c}"),
                  F.stddev_samp(c).cast("double").alias(f"std||{c}"),
                  F.min(c).cast("double").alias(f"min||{c}"),
                  F.max(c).cast("double").alias(f"max||{c}")]
+        if quantiles:
+            sketch = F.percentile_approx(c, list(quantiles), RANK_ACCURACY)
+            aggs += [sketch[i].cast("double").alias(f"q{100 * q:g}||{c}") for i, q in enumerate(quantiles)]
     one = df.agg(*aggs)
     names = [a for a in one.columns]
     pairs = ", ".join(f"'{n.split('||')[0]}', '{n.split('||')[1]}', `{n}`" for n in names)
     return one.selectExpr(f"stack({len(names)}, {pairs}) AS (metric, column, value)")
 
 
-def value_counts(df: DataFrame, col: str) -> DataFrame:
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, value, n, share)``, how often each value of the columns
+    occurs; null is a value.
+
+    All columns in one pass: a row becomes one (column, value) pair for each,
+    and equal pairs are added up before anything moves, so a value that a third
+    of the rows share costs one row a task.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    counts = (df.select(F.explode(pairs).alias("p")).groupBy("p.column", "p.value").agg(F.count(F.lit(1)).alias("n")))
+    return counts.withColumn("share", F.col("n") / df.agg(F.count(F.lit(1))).scalar())

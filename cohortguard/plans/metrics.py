@@ -226,6 +226,8 @@ def _profile_sql():
                   f"SELECT 'std', '{f}', stddev_samp({f}) FROM {c} t",
                   f"SELECT 'min', '{f}', CAST(min({f}) AS DOUBLE) FROM {c} t",
                   f"SELECT 'max', '{f}', CAST(max({f}) AS DOUBLE) FROM {c} t"]
+        # exact: at this size the sketch's rank error is below one row
+        parts += [f"SELECT 'q{100 * q:g}', '{f}', CAST(quantile_disc({f}, {q}) AS DOUBLE) FROM {c} t" for q in M.QUANTILES]
     return " UNION ALL ".join(parts)
 
 
@@ -236,6 +238,16 @@ def d24_profile(spark, sf_dir):
     return p.select("metric", "column", F.round("value", _D).alias("value"))
 
 
+VALUE_COLUMNS = ("o_orderstatus", "o_orderpriority")
+
+
+@register("d24_value_counts", "D24", sql=" UNION ALL ".join(f"""
+SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS n,
+       count(*) / (SELECT count(*) FROM orders) AS share FROM orders GROUP BY {c}""" for c in VALUE_COLUMNS))
+def d24_value_counts(spark, sf_dir):
+    return M.value_counts(read(spark, sf_dir, "orders", *VALUE_COLUMNS), VALUE_COLUMNS)
+
+
 # D3–D5 -------------------------------------------------------------------------
 
 _T6 = """(SELECT l.doc_id AS id, CAST(l.quality AS INTEGER) AS y_true,

@@ -1,9 +1,8 @@
 """Model-based privacy jobs (F1–F8) and their summaries.
 
 F1 is a loop of clipped, noised gradient aggregations; the many models of F2
-and F6 are fitted together (:mod:`.batch_fit`); other fits use MLlib
-(distributed ``treeAggregate`` gradients) or, for per-site local models,
-``groupBy(site).applyInPandas`` with a small NumPy Newton solver.  The driver
+and F6 are fitted together (:mod:`.batch_fit`), and so are the models of all
+sites (F7, F8); other fits use MLlib (distributed ``treeAggregate`` gradients).  The driver
 only loops over epochs, steps or rounds and collects model vectors (d + 1
 numbers) — never rows.  Scores, AUCs and summaries are
 the DataFrame operators of :mod:`.metrics`.
@@ -14,13 +13,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import governance as G
 from . import metrics as M
@@ -274,172 +271,124 @@ def tstr(real: DataFrame, synth: DataFrame, features, label: str, id_col: str, s
 # F7 / F8 — federated training rounds
 # --------------------------------------------------------------------------
 
-def _newton_lr(X: np.ndarray, y: np.ndarray, w0: np.ndarray, iters: int = 25) -> np.ndarray:
-    """L2 (C = 1) logistic regression by Newton's method; intercept last and
-    unpenalised; starts from ``w0`` (warm start)."""
-    Xb = np.hstack([X, np.ones((len(X), 1))])
-    w = w0.astype(float).copy()
-    reg = np.ones(Xb.shape[1])
-    reg[-1] = 0.0
-    for _ in range(iters):
-        p = 1.0 / (1.0 + np.exp(-(Xb @ w)))
-        g = Xb.T @ (p - y) + reg * w
-        H = (Xb * (p * (1 - p))[:, None]).T @ Xb + np.diag(reg)
-        step = np.linalg.solve(H + 1e-9 * np.eye(len(w)), g)
-        w -= step
-        if np.max(np.abs(step)) < 1e-8:
-            break
-    return w
-
-
-def _auc_np(y, s) -> float | None:
-    y = np.asarray(y)
-    if y.min() == y.max():
-        return None
-    order = pd.Series(s).rank(method="average").to_numpy()
-    n1 = y.sum()
-    n0 = len(y) - n1
-    return float((order[y == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0))
-
-
-# Sites with more rows than this are fitted by distributed Newton steps
-# instead of inside one pandas group.
-LOCAL_FIT_ROWS = 1_000_000
-
-
-def large_sites(df: DataFrame, site_col: str = "site_id", max_rows: int = LOCAL_FIT_ROWS) -> list:
-    """Sites holding more than ``max_rows`` rows (at most rows / max_rows of them)."""
-    counts = df.groupBy(site_col).count().where(F.col("count") > F.lit(max_rows))
-    return [r[0] for r in counts.select(site_col).collect()]
-
-
-def _newton_sites(df: DataFrame, features, label: str, w0: np.ndarray, site_col: str,
-                  sites: list, iters: int = 25) -> DataFrame:
-    """F7 for large sites: the same L2 Newton solver as :func:`_newton_lr`,
-    but every step is one ``groupBy(site)`` aggregation of the gradient and
-    Hessian sums (partially aggregated, so one site's rows spread over every
-    task); the driver solves the (d+1)×(d+1) system per site."""
-    spark = df.sparkSession
-    d = len(features)
-    site_type = df.schema[site_col].dataType.simpleString()
-    xs = [F.col(f).cast("double") for f in features] + [F.lit(1.0)]
-    reg = np.ones(d + 1)
-    reg[-1] = 0.0
-    W = {s: w0.astype(float).copy() for s in sites}
-    active = set(sites)
-    rows = df.select(site_col, F.col(label).cast("double").alias("_y"), *features)
-    for _ in range(iters):
-        if not active:
-            break
-        wt = spark.createDataFrame([(s, W[s].tolist()) for s in active], f"{site_col} {site_type}, _w array<double>")
-        j = rows.join(F.broadcast(wt), site_col)  # one row per active site: at most rows / LOCAL_FIT_ROWS
-        eta = sum((xs[i] * F.col("_w")[i] for i in range(d + 1)), F.lit(0.0))
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
-        r, q = p - F.col("_y"), p * (F.lit(1.0) - p)
-        aggs = [F.sum(r * xs[i]).alias(f"g{i}") for i in range(d + 1)]
-        aggs += [F.sum(q * xs[i] * xs[k]).alias(f"h{i}_{k}") for i in range(d + 1) for k in range(i, d + 1)]
-        for row in j.groupBy(site_col).agg(*aggs).collect():
-            s, w = row[0], W[row[0]]
-            g = np.array([row[f"g{i}"] for i in range(d + 1)]) + reg * w
-            H = np.zeros((d + 1, d + 1))
-            for i in range(d + 1):
-                for k in range(i, d + 1):
-                    H[i, k] = H[k, i] = row[f"h{i}_{k}"]
-            step = np.linalg.solve(H + np.diag(reg) + 1e-9 * np.eye(d + 1), g)
-            W[s] = w - step
-            if np.max(np.abs(step)) < 1e-8:
-                active.discard(s)
-    wt = spark.createDataFrame([(s, W[s].tolist()) for s in sites], f"{site_col} {site_type}, w array<double>")
-    scored = rows.join(F.broadcast(wt), site_col).select(
-        site_col, F.col("_y").cast("int").alias("_y"),
-        sum((xs[i] * F.col("w")[i] for i in range(d + 1)), F.lit(0.0)).alias("_s"))
-    auc = M.roc_auc(scored, "_y", "_s", by=[site_col])
-    n = rows.groupBy(site_col).agg(F.count(F.lit(1)).alias("n"))
-    return (wt.join(n, site_col).join(auc.select(site_col, "auc"), site_col, "left")
-            .select(site_col, "n", "w", F.round("auc", 4).alias("local_auc")))
+def _site_rows(df: DataFrame, features, label: str, site_col: str) -> DataFrame:
+    """(site, _y, _x): the rows that sites train on; one with a null or NaN
+    feature or a null label or site takes no part, whatever its site's size."""
+    xs = [F.col(f).cast("double") for f in features]
+    usable = F.col(label).isNotNull() & F.col(site_col).isNotNull()
+    for x in xs:
+        usable = usable & x.isNotNull() & ~F.isnan(x)
+    return df.where(usable).select(site_col, F.col(label).cast("double").alias("_y"), F.array(*xs, F.lit(1.0)).alias("_x"))
+
 
+def _dot(d: int, a: str = "_x", b: str = "w") -> Column:
+    return sum((F.col(a)[i] * F.col(b)[i] for i in range(d + 1)), F.lit(0.0))
 
-def train_sites(df: DataFrame, features, label: str, global_w: Sequence[float] | None,
-                site_col: str = "site_id", big: list | None = None) -> DataFrame:
-    """one local model per site from the global weights (warm start).
 
-    A site up to ``LOCAL_FIT_ROWS`` rows is fitted inside one pandas group
-    (NumPy Newton); larger sites (``big``, found by :func:`large_sites` when
-    not given) take distributed Newton steps, so no task ever holds a large
-    site.  The result per site is its size, packed weights
-    [coef…, intercept] and local AUC.
+def newton_step(rows: DataFrame, state: DataFrame, d: int, site_col: str, penalty: float = 1.0) -> DataFrame:
+    """One Newton step of the L2 logistic model of every site: ``state``
+    (site, n, w) with ``w`` moved on (intercept last and unpenalised).
+
+    The gradient and Hessian sums of all sites are one partially aggregated
+    ``groupBy(site)``, so a site of any size spreads over every task; a task
+    then solves the (d+1) x (d+1) systems of the sites it holds.  Sites, their
+    number and their weights stay in tables.
+    """
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-_dot(d)))
+    pairs = [(i, k) for i in range(d + 1) for k in range(i, d + 1)]
+    joined = rows.join(state, site_col).select(site_col, "n", "w", "_x", (p - F.col("_y")).alias("_r"), (p * (1 - p)).alias("_q"))
+    sums = joined.groupBy(site_col).agg(
+        F.first("n").alias("n"), F.first("w").alias("w"),
+        F.array(*[F.sum(F.col("_r") * F.col("_x")[i]) for i in range(d + 1)]).alias("g"),
+        F.array(*[F.sum(F.col("_q") * F.col("_x")[i] * F.col("_x")[k]) for i, k in pairs]).alias("h"))
+
+    def solve(batches):
+        ridge = np.full(d + 1, penalty)
+        ridge[-1] = 0.0
+        upper = tuple(np.array(pairs).T)
+        for pdf in batches:
+            moved = []
+            for w, g, h in zip(pdf["w"], pdf["g"], pdf["h"]):
+                hess = np.zeros((d + 1, d + 1))
+                hess[upper] = h
+                hess = hess + np.triu(hess, 1).T + np.diag(ridge + 1e-9)
+                moved.append((np.asarray(w) - np.linalg.solve(hess, np.asarray(g) + ridge * w)).tolist())
+            pdf["w"] = moved
+            yield pdf[[site_col, "n", "w"]]
+
+    kind = rows.schema[site_col].dataType.simpleString()
+    return sums.mapInPandas(solve, f"`{site_col}` {kind}, n long, w array<double>")
+
+
+def train_sites(df: DataFrame, features, label: str, global_w: Sequence[float] | None, site_col: str = "site_id",
+                steps: int = 12) -> DataFrame:
+    """one local model per site, ``steps`` Newton steps from the global
+    weights: ``(site, n, w, local_auc)``.
+
+    The same path for sites of any size and any number of them
+    (:func:`newton_step`); the state between steps is a table in the shared
+    folder.  ``local_auc`` is null for a site with one class.
     """
     d = len(features)
-    w0 = np.zeros(d + 1) if global_w is None else np.asarray(global_w, dtype=float)
-    if big is None:
-        big = large_sites(df, site_col)
-    if big:
-        spark = df.sparkSession
-        site_type = df.schema[site_col].dataType.simpleString()
-        big_df = spark.createDataFrame([(s,) for s in big], f"{site_col} {site_type}")
-        small = train_sites(df.join(F.broadcast(big_df), site_col, "left_anti"), features, label,
-                            global_w, site_col, big=[])
-        return small.unionByName(_newton_sites(df.join(F.broadcast(big_df), site_col, "left_semi"),
-                                               features, label, w0, site_col, big))
-    schema = T.StructType([T.StructField(site_col, df.schema[site_col].dataType), T.StructField("n", T.LongType()),
-                           T.StructField("w", T.ArrayType(T.DoubleType())),
-                           T.StructField("local_auc", T.DoubleType())])
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        X = pdf[list(features)].to_numpy(dtype=float)
-        y = pdf[label].to_numpy(dtype=float)
-        w = _newton_lr(X, y, w0)
-        auc = _auc_np(y.astype(int), np.hstack([X, np.ones((len(X), 1))]) @ w)
-        return pd.DataFrame({site_col: [pdf[site_col].iat[0]], "n": [len(pdf)], "w": [w.tolist()],
-                             "local_auc": [None if auc is None else round(auc, 4)]})
-    return df.select(site_col, label, *features).groupBy(site_col).applyInPandas(fit, schema)
+    rows = _site_rows(df, features, label, site_col)
+    start = F.array(*[F.lit(float(x)) for x in (global_w if global_w is not None else [0.0] * (d + 1))])
+    state = rows.groupBy(site_col).agg(F.count(F.lit(1)).alias("n")).withColumn("w", start)
+    for _ in range(steps):
+        state = materialize(newton_step(rows, state, d, site_col))
+    scored = rows.join(state, site_col).select(site_col, F.col("_y").cast("int").alias("_y"), F.round(_dot(d), 9).alias("_s"))
+    auc = M.roc_auc(scored, "_y", "_s", by=[site_col])
+    return state.join(auc.select(site_col, F.round("auc", 4).alias("local_auc")), site_col, "left")
 
 
 def federated_train(df: DataFrame, holdout: DataFrame, features, label: str, rounds: int = 5,
-                    site_col: str = "site_id", min_n: int = 50, one_shot: bool = False) -> DataFrame:
-    """F8: per round — site gate (B15), local fits (F7), FedAvg (D11),
-    holdout AUC (B8 + D6), governance log row (D25).
+                    site_col: str = "site_id", min_n: int = 50, local_steps: int = 2) -> DataFrame:
+    """F8: per round — ``local_steps`` Newton steps at every site that the gate
+    lets in (B15, F7), their average by size (D11), AUC on the holdout (B8,
+    D6), one governance row.
 
     Scaling uses merged per-site moments (the same numbers as pooled rows).
-    ``one_shot=True`` restarts every round from zero (reference behaviour).
+    Site weights move in tables; only the global weights of a round (d + 1
+    numbers) reach the driver.  Returns ``round_number, participating_sites,
+    sites_declined`` (sorted lists), ``global_auc`` (0 where no site takes part
+    or the holdout has one class), ``aggregation_method, privacy_mechanism,
+    global_weights``.
     """
     from .federated import fedavg, site_gate
-    stats = M.moments(df, features)
-    z = M.standardize(df, features, stats).cache()
-    zh = M.standardize(holdout, features, stats).cache()
-    gate = site_gate(z, site_col, min_n).cache()
-    ok = gate.where("status = 'PARTICIPATING'").select(site_col)
-    declined = sorted(r[0] for r in gate.where("status = 'DECLINED'").select(site_col).collect())
-    parts = z.join(ok, site_col, "left_semi")
-    big = large_sites(parts, site_col)
-    spark = df.sparkSession
-    w, logs = None, []
+    d = len(features)
+    stats = materialize(M.moments(df, features))
+    z = M.standardize(df.select(site_col, label, *features), features, stats)
+    zh = materialize(M.standardize(holdout.select(label, *features), features, stats))
+    gate = materialize(site_gate(z, site_col, min_n))
+    inside = gate.where("status = 'PARTICIPATING'").select(site_col, F.col("n_patients").alias("n"))
+    rows = materialize(_site_rows(z.join(inside.select(site_col), site_col, "left_semi"), features, label, site_col))
+    logs, w = [], [0.0] * (d + 1)
     for rnd in range(1, rounds + 1):
-        local = train_sites(parts, features, label, None if one_shot else w, site_col, big=big).cache()
-        avg = fedavg(local.withColumnRenamed(site_col, "site_id"), "w", "n").first()
-        sites = sorted(r[0] for r in local.select(site_col).collect())
+        state = inside.withColumn("w", F.array(*[F.lit(float(x)) for x in w]))
+        for _ in range(local_steps):
+            state = materialize(newton_step(rows, state, d, site_col))
+        avg = fedavg(state.withColumnRenamed(site_col, "site_id"), "w", "n").first()
         if avg is None or not avg.w:  # no site passed the gate: nothing to average
-            w, auc = None, None
-        else:
-            w = list(avg.w)
-            score = M.linear_score(features, w[:-1], w[-1])
-            auc = M.roc_auc(zh.select(F.col(label).alias("y"), score.alias("s")), "y", "s").first().auc
-        logs.append((rnd, sites, declined, 0.0 if auc is None else round(auc, 4), "FedAvg",
-                     "none", w))
-        local.unpersist()
-    z.unpersist()
-    zh.unpersist()
-    gate.unpersist()
-    return spark.createDataFrame(
-        logs, "round_number int, participating_sites array<string>, sites_declined array<string>, "
-              "global_auc double, aggregation_method string, privacy_mechanism string, "
-              "global_weights array<double>")
+            logs.append((rnd, 0.0, None))
+            continue
+        w = list(avg.w)
+        score = F.round(M.linear_score(features, w[:-1], w[-1]), 9)
+        auc = M.roc_auc(zh.select(F.col(label).alias("y"), score.alias("s")), "y", "s").first().auc
+        logs.append((rnd, 0.0 if auc is None else round(auc, 4), w))
+    sites = lambda status: F.coalesce(gate.where(F.col("status") == status).agg(
+        F.array_sort(F.collect_list(F.col(site_col).cast("string")))).scalar(), F.expr("cast(array() as array<string>)"))
+    return (df.sparkSession.createDataFrame(logs, "round_number int, global_auc double, global_weights array<double>")
+            .select("round_number", sites("PARTICIPATING").alias("participating_sites"),
+                    sites("DECLINED").alias("sites_declined"), "global_auc", F.lit("FedAvg").alias("aggregation_method"),
+                    F.lit("none").alias("privacy_mechanism"), "global_weights"))
 
 
 def governance_log(logs: DataFrame) -> DataFrame:
-    """Per round counts of participating and declined sites."""
-    return logs.select("round_number", F.size("participating_sites").alias("n_participating"),
-                       F.size("sites_declined").alias("n_declined"), "global_auc", "aggregation_method")
+    """Per round the participating and the declined sites, their numbers,
+    the global AUC and how the weights were combined."""
+    return logs.select("round_number", "participating_sites", "sites_declined",
+                       F.size("participating_sites").alias("n_participating"),
+                       F.size("sites_declined").alias("n_declined"), "global_auc", "aggregation_method",
+                       "privacy_mechanism")
 
 
 def round_progress(logs: DataFrame) -> DataFrame:

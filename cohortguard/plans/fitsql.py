@@ -27,6 +27,23 @@ def _eta(d: int, b: str = "", x: str = "") -> str:
 def newton_ctes(rows: str, d: int, penalty: float = 1.0, steps: int = NEWTON_STEPS) -> str:
     """CTE ``coef(model, b0 .. bd)`` for the relation ``rows`` (model, x0 ..
     xd, y, w); needs WITH RECURSIVE."""
+    bs, zero = _names(d), ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(d + 1))
+    stepped = ", ".join(f"b{i} - t{i}" for i in range(d + 1))
+    return f"""
+    newton AS (
+      SELECT DISTINCT 0 AS k, model, {zero} FROM {rows}
+      UNION ALL
+      SELECT k + 1, model, {stepped} FROM ({_solved('newton', rows, 'model', 'model', d, penalty, steps)})),
+    coef AS (SELECT * EXCLUDE (k) FROM newton WHERE k = {steps})"""
+
+
+def _names(d: int, prefix: str = "b") -> str:
+    return ", ".join(f"{prefix}{i}" for i in range(d + 1))
+
+
+def _solved(state: str, rows: str, key: str, keep: str, d: int, penalty: float, steps: int) -> str:
+    """``k, keep, b0 .. bd, t0 .. td``: the Newton steps t of the models in
+    ``state`` (k, key, b0 .. bd) over ``rows`` (key, x0 .. xd, y, w)."""
     p = range(d + 1)
     ridge = [penalty] * d + [0.0]
     grads = ", ".join(f"sum(w * (mu - y) * x{i}) + {ridge[i]}::DOUBLE * b{i} AS g{i}" for i in p)
@@ -41,20 +58,33 @@ def newton_ctes(rows: str, d: int, penalty: float = 1.0, steps: int = NEWTON_STE
         solve.append(f"(g{i}{''.join(f' - l{i}_{k} * z{k}' for k in range(i))}) / l{i}_{i} AS z{i}")
     for i in reversed(p):
         solve.append(f"(z{i}{''.join(f' - l{k}_{i} * t{k}' for k in range(i + 1, d + 1))}) / l{i}_{i} AS t{i}")
-    bs, zero = ", ".join(f"b{i}" for i in p), ", ".join(f"0.0::DOUBLE AS b{i}" for i in p)
-    stepped = ", ".join(f"b{i} - t{i}" for i in p)
+    bs = _names(d)
     return f"""
-    newton AS (
-      SELECT DISTINCT 0 AS k, model, {zero} FROM {rows}
-      UNION ALL
-      SELECT k + 1, model, {stepped} FROM (
-        SELECT k, model, {bs}, {', '.join(chol + solve)} FROM (
-          SELECT k, model, {bs}, {grads}, {hess} FROM (
-            SELECT n.k, n.model, {', '.join(f'n.b{i}' for i in p)}, {', '.join(f't.x{i}' for i in p)}, t.y, t.w,
+        SELECT k, {keep}, {bs}, {', '.join(chol + solve)} FROM (
+          SELECT k, {keep}, {bs}, {grads}, {hess} FROM (
+            SELECT n.k, {', '.join('n.' + c.strip() for c in keep.split(','))}, {', '.join(f'n.b{i}' for i in p)},
+                   {', '.join(f't.x{i}' for i in p)}, t.y, t.w,
                    1.0 / (1.0 + exp(-({_eta(d, 'n.', 't.')}))) AS mu
-            FROM newton n JOIN {rows} t ON t.model = n.model WHERE n.k < {steps})
-          GROUP BY k, model, {bs}))),
-    coef AS (SELECT * EXCLUDE (k) FROM newton WHERE k = {steps})"""
+            FROM {state} n JOIN {rows} t ON t.{key} = n.{key} WHERE n.k < {steps})
+          GROUP BY k, {keep}, {bs})"""
+
+
+def federated_ctes(rows: str, d: int, rounds: int, local_steps: int) -> str:
+    """CTE ``globals(round, b0 .. bd)``: averages by size of the sites' weights
+    after ``local_steps`` Newton steps each, over ``rows`` (site, x0 .. xd, y,
+    w)."""
+    p = range(d + 1)
+    step = ", ".join(f"CASE WHEN (k + 1) % {local_steps} = 0 THEN sum(n * (b{i} - t{i})) OVER () / sum(n) OVER () "
+                     f"ELSE b{i} - t{i} END" for i in p)
+    return f"""
+    fl AS (
+      SELECT 0 AS k, site, n, {', '.join(f'0.0::DOUBLE AS b{i}' for i in p)}
+      FROM (SELECT site, count(*) AS n FROM {rows} GROUP BY site)
+      UNION ALL
+      SELECT k + 1, site, n, {step}
+      FROM ({_solved('fl', rows, 'site', 'site, n', d, 1.0, rounds * local_steps)})),
+    globals AS (SELECT k // {local_steps} AS round, {', '.join(f'min(b{i}) AS b{i}' for i in p)} FROM fl
+                WHERE k > 0 AND k % {local_steps} = 0 GROUP BY 1)"""
 
 
 def score_sql(d: int) -> str:

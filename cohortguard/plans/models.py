@@ -1,6 +1,6 @@
 """Model-job plans.
 
-F1, F2 and F6 have SQL oracles that train the same models in recursive queries
+F1, F2, F6 and F8 have SQL oracles that train the same models in recursive queries
 (:mod:`.fitsql`).  The other fits are statistical (MLlib), without oracle;
 tests check ranges, orderings and invariants instead.
 """
@@ -17,8 +17,6 @@ from ..operators import models as ML
 from ..operators.common import materialize
 from ..sources import bindings as B
 from ..sources import fixtures as FX
-from ..sources import synth as SY
-from ..sources.tables import read
 from . import fitsql as Q
 from .registry import register
 
@@ -165,31 +163,79 @@ def f5_mia_advantage(spark, sf_dir):
     return ML.mia_advantage(real, synth, FEATS)
 
 
+# F8: customers with orders, by nation; nations with fewer training rows than this decline
+FL_MIN, FL_ROUNDS, FL_STEPS, FL_HOLDOUT = 45, 5, 2, 0.2
+
+
 def _fl_log(spark, sf_dir):
-    c = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    ids = c.select(F.col("c_custkey").alias("id"),
-                   F.concat(F.lit("site_"), F.col("c_nationkey").cast("string")).alias("site_id"))
-    data = materialize(SY.multi_site(ids, SEED).withColumn("_u", keyed_uniform(SEED, "holdout", "id")))
-    feats = [f"f{i}" for i in range(8)]
-    return ML.federated_train(data.where("_u >= 0.2"), data.where("_u < 0.2"), feats, "label")
+    data = materialize(B.customer_cohort(spark, sf_dir).select(
+        "id", "label", *FEATS, F.concat(F.lit("site_"), F.col("c_nationkey").cast("string")).alias("site_id"),
+        keyed_uniform(SEED, "holdout", "id").alias("_u")))
+    return ML.federated_train(data.where(f"_u >= {FL_HOLDOUT}"), data.where(f"_u < {FL_HOLDOUT}"), FEATS, "label",
+                              rounds=FL_ROUNDS, min_n=FL_MIN, local_steps=FL_STEPS)
 
 
-@register("f8_federated_train", "F8", "F7", "B15", "D11", bench=False)
+def _fl_sql(select: str) -> str:
+    """``select`` over ``logs(round_number, global_auc, b0 .., participating,
+    declined)``, the last two as lists."""
+    xs = ", ".join(f"x{i}" for i in range(D + 1))
+    return f"""WITH RECURSIVE
+    data AS MATERIALIZED (
+      SELECT id, label, {', '.join(FEATS)}, 'site_' || CAST(c_nationkey AS VARCHAR) AS site,
+             {keyed_uniform_sql(SEED, 'holdout', 'id')} < {FL_HOLDOUT}::DOUBLE AS held FROM {B.COHORT_SQL} c),
+    z AS MATERIALIZED ({Q.scaled_sql('data', FEATS, 'id, label, site, held', 'NOT held')}),
+    gate AS (SELECT site, count(*) AS n FROM z WHERE NOT held GROUP BY site),
+    tr AS MATERIALIZED (SELECT site, {xs}, label AS y, 1.0::DOUBLE AS w FROM z JOIN gate USING (site)
+                        WHERE NOT held AND n >= {FL_MIN}),
+    {Q.federated_ctes('tr', D, FL_ROUNDS, FL_STEPS)},
+    scores AS (SELECT round, label, {Q.score_sql(D)} AS s FROM z CROSS JOIN globals WHERE held),
+    {Q.auc_ctes('scores', 'round')},
+    logs AS (
+      SELECT CAST(r AS INTEGER) AS round_number, round(coalesce(auc, 0.0), 4) AS global_auc, g.* EXCLUDE (round),
+             (SELECT coalesce(list(site ORDER BY site), []) FROM gate WHERE n >= {FL_MIN}) AS participating,
+             (SELECT coalesce(list(site ORDER BY site), []) FROM gate WHERE n < {FL_MIN}) AS declined
+      FROM range(1, {FL_ROUNDS + 1}) t(r) LEFT JOIN globals g ON g.round = r LEFT JOIN auc ON auc.round = r)
+    {select}"""
+
+
+_LISTS = ("array_to_string(participating, ',') AS participating_sites, array_to_string(declined, ',') AS sites_declined")
+
+
+def _joined(df):
+    """Site lists as text."""
+    return df.withColumns({c: F.array_join(c, ",") for c in ("participating_sites", "sites_declined")})
+
+
+@register("f8_federated_train", "F8", "F7", "B15", "D11", bench=False, sql=_fl_sql(
+    f"SELECT round_number, {_LISTS}, global_auc, 'FedAvg' AS aggregation_method, 'none' AS privacy_mechanism, "
+    f"{', '.join(f'round(b{i}, 6) AS w{i}' for i in range(D + 1))} FROM logs"))
 def f8_federated_train(spark, sf_dir):
-    return _fl_log(spark, sf_dir)
+    return _joined(_fl_log(spark, sf_dir)).select(
+        "round_number", "participating_sites", "sites_declined", "global_auc", "aggregation_method", "privacy_mechanism",
+        *[F.round(F.col("global_weights")[i], 6).alias(f"w{i}") for i in range(D + 1)])
 
 
-@register("d25_governance_log", "D25", "F8", bench=False)
+@register("d25_governance_log", "D25", "F8", bench=False, sql=_fl_sql(
+    f"SELECT round_number, {_LISTS}, CAST(len(participating) AS INTEGER) AS n_participating, "
+    f"CAST(len(declined) AS INTEGER) AS n_declined, global_auc, 'FedAvg' AS aggregation_method, "
+    f"'none' AS privacy_mechanism FROM logs"))
 def d25_governance_log(spark, sf_dir):
-    return ML.governance_log(_fl_log(spark, sf_dir))
+    return _joined(ML.governance_log(_fl_log(spark, sf_dir)))
 
 
-@register("e8_round_progress", "E8", "F8", bench=False)
+@register("e8_round_progress", "E8", "F8", bench=False, sql=_fl_sql(
+    "SELECT round_number, global_auc, global_auc - lag(global_auc) OVER (ORDER BY round_number) AS auc_change, "
+    "first_value(round_number) OVER (ORDER BY global_auc DESC, round_number) AS best_round FROM logs"))
 def e8_round_progress(spark, sf_dir):
     return ML.round_progress(_fl_log(spark, sf_dir))
 
 
-@register("d23_regulator_report", "D23", "F8", bench=False)
+@register("d23_regulator_report", "D23", "F8", bench=False, sql=_fl_sql(
+    """SELECT 'regulator' AS regulator, round_number AS round,
+       CAST(len(participating) AS INTEGER) AS participating_sites, 'aggregate model metrics' AS data_transmitted,
+       metrics AS metrics_visible_to_regulator, 'none' AS privacy_guarantee,
+       sha256(metrics || CAST(round_number AS VARCHAR)) AS audit_log_hash
+       FROM (SELECT *, CAST(to_json({'auc': global_auc}) AS VARCHAR) AS metrics FROM logs)"""))
 def d23_regulator_report(spark, sf_dir):
     return ML.regulator_report(_fl_log(spark, sf_dir), "regulator")
 

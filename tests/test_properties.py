@@ -211,24 +211,67 @@ def test_fedavg_of_site_means_is_global_mean(spark):
     assert [round(a.value, 9) for a in fed] == [round(b.m, 9) for b in glob]
 
 
-def test_distributed_site_fit_matches_local(spark):
-    """Newton steps by groupBy aggregation equal the in-group NumPy fit."""
+def _local_newton(x, y, w, steps):
+    """One site's steps in plain numpy (C = 1, intercept last)."""
+    xb = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.append(np.ones(x.shape[1]), 0.0)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-xb @ w))
+        w = w - np.linalg.solve((xb * (p * (1 - p))[:, None]).T @ xb + np.diag(ridge), xb.T @ (p - y) + ridge * w)
+    return w
+
+
+def _sites(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for site, n in (("hot", 300), ("b", 60), ("c", 40), (None, 5)):
+        for _ in range(n):
+            y = int(rng.random() < 0.4)
+            rows.append((site, y, *map(float, rng.standard_normal(3) + 0.8 * y)))
+    rows += [("b", 1, None, 0.0, 0.0), ("hot", 0, float("nan"), 1.0, 1.0), ("c", None, 1.0, 1.0, 1.0), ("lone", 1, 0.1, 0.2, 0.3)]
+    return spark.createDataFrame(rows, "site_id string, label int, f0 double, f1 double, f2 double").repartition(6), rows
+
+
+def _usable(rows, site):
+    kept = [r for r in rows if r[0] == site and r[1] is not None and all(v is not None and v == v for v in r[2:])]
+    return np.array([r[2:] for r in kept]), np.array([r[1] for r in kept])
+
+
+def test_site_models_equal_local_fits(spark):
+    """the batched steps equal each site's own, for sites of any size and
+    with null features."""
     from cohortguard.operators import models as ML
-    from cohortguard.sources import synth as SY
-    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
-    ids = c.select(F.col("c_custkey").alias("id"),
-                   F.concat(F.lit("site_"), (F.col("c_nationkey") % 3).cast("string")).alias("site_id"))
-    data = SY.multi_site(ids, 42).cache()
-    feats = [f"f{i}" for i in range(8)]
-    sites = sorted(r[0] for r in data.select("site_id").distinct().collect())
-    local = {r.site_id: r for r in ML.train_sites(data, feats, "label", None, big=[]).collect()}
-    dist = {r.site_id: r for r in ML.train_sites(data, feats, "label", None, big=sites).collect()}
-    assert set(local) == set(dist) == set(sites)
-    for s in sites:
-        assert local[s].n == dist[s].n
-        assert np.allclose(local[s].w, dist[s].w, atol=1e-6)
-        assert local[s].local_auc == pytest.approx(dist[s].local_auc, abs=1e-4)
-    data.unpersist()
+    data, rows = _sites(spark)
+    start = [0.1, -0.2, 0.0, 0.3]
+    got = {r.site_id: r for r in ML.train_sites(data, ["f0", "f1", "f2"], "label", start, steps=3).collect()}
+    assert set(got) == {"hot", "b", "c", "lone"} and got["lone"].local_auc is None
+    for s in ("hot", "b", "c"):
+        x, y = _usable(rows, s)
+        assert got[s].n == len(y) and np.allclose(got[s].w, _local_newton(x, y, np.array(start), 3), atol=1e-8)
+        assert 0 <= got[s].local_auc <= 1
+
+
+def test_federated_rounds_equal_plain_fedavg(spark):
+    """F8: rounds of local steps and averages by size; sites below the gate
+    decline; no site at all gives AUC 0."""
+    from cohortguard.operators import models as ML
+    feats = ["f0", "f1", "f2"]
+    data, rows = _sites(spark)
+    data = data.where("site_id is not null and label is not null and f0 is not null and not isnan(f0)")
+    logs = ML.federated_train(data, data, feats, "label", rounds=3, min_n=50, local_steps=2).orderBy("round_number").collect()
+    assert [r.participating_sites for r in logs] == [["b", "hot"]] * 3
+    assert [r.sites_declined for r in logs] == [["c", "lone"]] * 3
+    parts = {s: _usable(rows, s) for s in ("hot", "b", "c", "lone")}
+    pool = np.vstack([parts[s][0] for s in parts])
+    mean, sd = pool.mean(axis=0), pool.std(axis=0)
+    w = np.zeros(4)
+    for log in logs:
+        local = {s: _local_newton((parts[s][0] - mean) / sd, parts[s][1], w, 2) for s in ("hot", "b")}
+        size = {s: len(parts[s][1]) for s in local}
+        w = sum(size[s] * local[s] for s in local) / sum(size.values())
+        assert np.allclose(log.global_weights, w, atol=1e-8) and log.global_auc > 0.6
+    none = ML.federated_train(data, data, feats, "label", rounds=1, min_n=10_000).first()
+    assert none.participating_sites == [] and none.global_auc == 0 and none.global_weights is None
 
 
 def test_prefix_matches_window_with_hot_group(spark):

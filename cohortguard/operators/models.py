@@ -216,7 +216,7 @@ def feature_minimization(df: DataFrame, features, label: str, id_col: str, tiers
     found = (G.with_privacy_tier(importance.join(without, "feature_pos"), tiers)
              .select("feature", "feature_pos", F.round("importance", 4).alias("importance"),
                      F.round("_auc", 4).alias("auc_without_feature"),
-                     F.round(full - F.col("_auc"), 4).alias("auc_delta"), "privacy_risk_tier"))
+                     (F.round(full - F.col("_auc"), 4) + F.lit(0.0)).alias("auc_delta"), "privacy_risk_tier"))
     decided = found.withColumn("recommendation", G.minimization_decision("auc_delta", "privacy_risk_tier", tolerance))
     return G.rank_features(decided)
 

@@ -128,7 +128,7 @@ def _f6_sql() -> str:
     worth AS ({worth}),
     found AS (
       SELECT worth.feature, feature_pos, round(importance, 4) AS importance, round(v.auc, 4) AS auc_without_feature,
-             round((SELECT auc FROM variants WHERE variant = 0) - v.auc, 4) AS auc_delta,
+             round((SELECT auc FROM variants WHERE variant = 0) - v.auc, 4) + 0.0::DOUBLE AS auc_delta,
              coalesce(t.tier, '{FX.TIER_BENIGN}') AS privacy_risk_tier
       FROM worth JOIN variants v ON v.variant = feature_pos + 1
       LEFT JOIN (VALUES {tiers}) AS t(feature, tier) ON t.feature = worth.feature)

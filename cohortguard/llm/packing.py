@@ -30,9 +30,11 @@ from .merges import PieceIds, load_word_merges
 
 #: Distinct chunks whose ids a Python worker remembers: those that came up in
 #: several batches, and those of the last batches that did not yet.  An entry
-#: takes some 200 bytes, so that is at most 120 MB a worker.
-HOT_CHUNKS = 300_000
-NEW_CHUNKS = 300_000
+#: takes some 200 bytes, so that is at most 80 MB a worker.
+HOT_CHUNKS = 200_000
+NEW_CHUNKS = 200_000
+#: Characters of texts that are encoded together.
+GROUP_CHARS = 1_500_000
 _OWN_SPACES = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 # Fixed value: the split pattern of the word-end tokenizer; a line feed parts chunks here.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -189,7 +191,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col:
         for batch in batches:
             queues = batch["queue"].to_pylist()
             ids, starts, counts = [], [], []
-            for packed, queue in zip(in_groups(encoder.encode_batch, batch["text"].to_pylist()), queues):
+            for packed, queue in zip(in_groups(encoder.encode_batch, batch["text"].to_pylist(), GROUP_CHARS), queues):
                 packed += end
                 n = len(packed) // encoder.dtype.itemsize
                 at = seen.get(queue, 0)

@@ -9,6 +9,8 @@ _BASE = _U(0x9E3779B97F4A7C15)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: A worker keeps at most so many powers of each kind (10 MB) from task to task.
+KEPT_POWERS = 5 << 18
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
 
 
@@ -21,12 +23,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def powers(kind: str, n: int) -> np.ndarray:
     """The first ``n`` powers of the hash base (``up``) or its inverse
-    (``down``), modulo 2^64; kept for the next call."""
+    (``down``), modulo 2^64; up to ``KEPT_POWERS`` are kept for the next call."""
     have = _powers[kind]
     if len(have) < n:
         steps = np.full(max(n, 1 << 16), _BASE if kind == "up" else _INVERSE, _U)
         steps[0] = 1
-        have = _powers[kind] = np.multiply.accumulate(steps)
+        have = np.multiply.accumulate(steps)
+        if len(have) <= KEPT_POWERS:
+            _powers[kind] = have
     return have[:n]
 
 

@@ -54,7 +54,7 @@ STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("ngram_jaccard"
           ("suffix_dedup", suffix_dedup), ("packing", packing)]
 
 #: None: SQL cannot express the fitted classifier and the tokenizer; the
-#: pipeline is tested against a brute-force version.
+#: other stages are tested in plain Python on planted cases (tests/llm).
 ORACLE_SQL = None
 
 

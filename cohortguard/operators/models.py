@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from . import governance as G
 from . import metrics as M
+from ..sources import fixtures as FX
 from ..functions.noise import DEFAULT_DELTA, gaussian_noise, gaussian_sigma
 from .batch_fit import fit_many, model_scores
 from .budget import consume_budget
@@ -244,7 +245,8 @@ def mia_advantage(real: DataFrame, synth: DataFrame, features) -> DataFrame:
 
 def tstr(real: DataFrame, synth: DataFrame, features, label: str, id_col: str, seed: int = 0) -> DataFrame:
     """fidelity, three AUCs (real→real, synth→synth, each on a held-out
-    part, synth→real), utility, membership advantage, composite (D8)."""
+    part, synth→real), utility, membership advantage, composite (D8) and its
+    letter grade (B11)."""
     fid = M.fidelity_score(M.marginal_fidelity(real, synth, features)).first().fidelity_score
     split = M.split_train_test(real, id_col, 0.7, seed)
     r_tr, r_te = split.where("is_train"), split.where("not is_train")
@@ -263,8 +265,8 @@ def tstr(real: DataFrame, synth: DataFrame, features, label: str, id_col: str, s
     base = spark.createDataFrame([(round(fid, 1), round(auc_syn, 4), round(auc_tstr, 4), round(auc_real, 4), adv)],
                                  "fidelity_score double, utility_auc_synthetic double, utility_auc_tstr double, "
                                  "utility_auc_real double, mia_advantage double")
-    return base.select("*", *M.tstr_composite("fidelity_score", "utility_auc_tstr", "utility_auc_real",
-                                              "mia_advantage"))
+    scored = base.select("*", *M.tstr_composite("fidelity_score", "utility_auc_tstr", "utility_auc_real", "mia_advantage"))
+    return scored.withColumn("grade", G.letter_grade("overall_tstr_score", FX.TSTR_GRADES))
 
 
 # --------------------------------------------------------------------------

@@ -305,11 +305,13 @@ def b16_top_threats(spark, sf_dir):
     return G.top_threats(B.assessment_threats(spark, sf_dir), FX.risk_levels(spark))
 
 
-@register("c6_legal_basis_gaps", "C6", sql="""
-SELECT s_suppkey AS project, a.asset_name, p.purpose_id
-FROM supplier CROSS JOIN (VALUES ('EHR_Cohort'), ('Genomic_Panel')) AS a(asset_name)
-CROSS JOIN (VALUES ('P-01'), ('P-02')) AS p(purpose_id)
-WHERE p.purpose_id <> 'P-01' AND NOT (a.asset_name = 'EHR_Cohort' AND p.purpose_id = 'P-02' AND s_suppkey % 3 = 0)""")
+@register("c6_legal_basis_gaps", "C6", sql=f"""
+WITH d AS (SELECT * FROM {B.DELIVERIES_SQL} t)
+SELECT a.project, a.asset_name, p.purpose_id
+FROM (SELECT DISTINCT project, asset_name FROM d) a JOIN (SELECT DISTINCT project, purpose_id FROM d) p
+  ON a.project = p.project
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE NOT d.returned AND d.project = a.project AND d.asset_name = a.asset_name
+                  AND d.purpose_id = p.purpose_id)""")
 def c6_legal_basis_gaps(spark, sf_dir):
     return G.legal_basis_gaps(B.assessment_assets(spark, sf_dir), B.assessment_purposes(spark, sf_dir),
                               B.assessment_bases(spark, sf_dir))
@@ -321,11 +323,14 @@ th AS (SELECT t.project, min(risk_levels.severity) AS sev FROM ({_THREATS}) t
        LEFT JOIN {FX.risk_levels_sql()} ON risk_levels.level = t.residual_risk GROUP BY t.project)
 SELECT a.project, a.overall_residual_risk,
        a.overall_residual_risk IN ('Medium', 'Low') AS approved_for_deployment,
-       CAST(2 AS BIGINT) AS n_assets, CAST(CASE WHEN a.project % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_cross_border,
+       coalesce(ass.n_assets, 0) AS n_assets, CAST(coalesce(ass.n_cross_border, 0) AS BIGINT) AS n_cross_border,
        CAST(1 + a.project % 3 AS BIGINT) AS control_gaps_count,
        CAST(CASE WHEN a.overall_residual_risk IN ('Medium', 'Low') THEN 0 ELSE 3 END AS BIGINT) AS conditions_count,
        lv.level AS max_threat_level
 FROM a JOIN th ON th.project = a.project
+LEFT JOIN (SELECT project, count(*) AS n_assets, sum(CAST(abroad AS BIGINT)) AS n_cross_border FROM (
+             SELECT project, asset_name, bool_or(abroad) AS abroad FROM {B.DELIVERIES_SQL} t GROUP BY project, asset_name)
+           GROUP BY project) ass ON ass.project = a.project
 LEFT JOIN {FX.risk_levels_sql().replace('risk_levels', 'lv')} ON lv.severity = th.sev""")
 def d20_impact_summary(spark, sf_dir):
     return G.impact_summary(B.assessments(spark, sf_dir), B.assessment_assets(spark, sf_dir),

@@ -254,30 +254,44 @@ def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     lvl.isin("Medium", "Low").alias("approved_for_deployment"))
 
 
+def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item: the supplier (a project), the part's brand (a
+    data asset), the order's priority (a purpose), and whether the line was
+    returned and went to another nation."""
+    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag")
+    p = read(spark, sf_dir, "part", "p_partkey", "p_brand")
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
+    c = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    s = read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    rows = (li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
+            .join(c, o.o_custkey == c.c_custkey).join(s, li.l_suppkey == s.s_suppkey))
+    return rows.select(F.col("s_suppkey").alias("project"), F.col("p_brand").alias("asset_name"),
+                       F.col("o_orderpriority").alias("purpose_id"), (F.col("l_returnflag") == "R").alias("returned"),
+                       (F.col("c_nationkey") != F.col("s_nationkey")).alias("abroad"))
+
+
+DELIVERIES_SQL = """(
+  SELECT s_suppkey AS project, p_brand AS asset_name, o_orderpriority AS purpose_id, l_returnflag = 'R' AS returned,
+         c_nationkey <> s_nationkey AS abroad
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey)"""
+
+
 def assessment_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read(spark, sf_dir, "supplier", "s_suppkey")
-    a = F.explode(F.array(F.lit("EHR_Cohort"), F.lit("Genomic_Panel"))).alias("asset_name")
-    return (s.select(F.col("s_suppkey").alias("project"), a)
-            .withColumn("cross_border_transfer",
-                        (F.col("asset_name") == "EHR_Cohort") & (F.col("project") % 2 == 0)))
+    """Brands that a supplier delivers; they cross borders if any line does."""
+    return (_deliveries(spark, sf_dir).groupBy("project", "asset_name")
+            .agg(F.bool_or("abroad").alias("cross_border_transfer")))
 
 
 def assessment_purposes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read(spark, sf_dir, "supplier", "s_suppkey")
-    return s.select(F.col("s_suppkey").alias("project"),
-                    F.explode(F.array(F.lit("P-01"), F.lit("P-02"))).alias("purpose_id"))
+    """Priorities of the orders that a supplier delivers to."""
+    return _deliveries(spark, sf_dir).select("project", "purpose_id").distinct()
 
 
 def assessment_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(EHR, P-01) and (Genomic, P-01) always; (EHR, P-02) for every third."""
-    s = read(spark, sf_dir, "supplier", "s_suppkey")
-    base = s.select(F.col("s_suppkey").alias("project"),
-                    F.explode(F.array(F.lit("EHR_Cohort"), F.lit("Genomic_Panel"))).alias("asset_name"),
-                    F.lit("P-01").alias("purpose_id"))
-    extra = (s.where(F.col("s_suppkey") % 3 == 0)
-             .select(F.col("s_suppkey").alias("project"), F.lit("EHR_Cohort").alias("asset_name"),
-                     F.lit("P-02").alias("purpose_id")))
-    return base.unionByName(extra)
+    """A line that was not returned documents its brand for its priority."""
+    return (_deliveries(spark, sf_dir).where(~F.col("returned"))
+            .select("project", "asset_name", "purpose_id").distinct())
 
 
 def assessment_threats(spark: SparkSession, sf_dir: str) -> DataFrame:

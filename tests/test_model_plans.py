@@ -23,6 +23,7 @@ def test_tstr_of_noised_rows(spark):
     assert all(0 <= a <= 1 for a in (r.utility_auc_synthetic, r.utility_auc_tstr, r.utility_auc_real))
     want = composite(r.fidelity_score, r.utility_auc_tstr, r.utility_auc_real, r.mia_advantage)
     assert (r.utility_score, r.mia_resistance_score, r.overall_tstr_score) == pytest.approx(want, abs=0.051)
+    assert r.grade == next((g for low, g in ((80, "A"), (70, "B"), (60, "C")) if r.overall_tstr_score >= low), "F")
 
 
 def composite(fidelity, tstr, real, advantage):

@@ -52,11 +52,12 @@ def assemble_vector(long: DataFrame, keys=(), pos_col: str = "pos", value_col: s
                              lambda s: s["v"]).alias(out_col))
 
 
-def local_means(vectors: DataFrame, site_col: str = "site_id", vec_col: str = "w") -> DataFrame:
-    """Per-site mean vector (long form) and site size."""
+def local_means(vectors: DataFrame, site_col: str = "site_id", vec_col: str = "w", min_n: int = 1) -> DataFrame:
+    """Per-site mean vector (long form) and site size, of the sites with at
+    least ``min_n`` rows (B15): rows are aggregated first, sites gated after."""
     long = explode_vector(vectors, vec_col, keep=[site_col])
     means = long.groupBy(site_col, "pos").agg(F.avg("value").alias("value"))
-    sizes = vectors.groupBy(site_col).agg(F.count(F.lit(1)).alias("n"))
+    sizes = vectors.groupBy(site_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n)
     return means.join(sizes, site_col)
 
 

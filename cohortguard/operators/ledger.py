@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -235,16 +235,13 @@ def verify_chain(ledger: DataFrame, hash_all_fields: bool = False) -> DataFrame:
 
     Record ``seq`` must point at the hash of record ``seq − 1`` of the same
     shard (the genesis hash for ``seq = 1``) and its own hash must recompute.
-    The predecessor is found with an equi-join on ``(ledger_id, seq)``, so a
-    long or hot shard is spread over all tasks — no per-shard sort.  A
+    The predecessor's hash meets the record at its place ``(ledger_id, seq)``,
+    so a long or hot shard is spread over all tasks — no per-shard sort.  A
     missing record shows up as a broken link.  Returns one row per shard
     with counts and the first failing ``seq`` (null when intact).
     """
-    base = ledger.select("ledger_id", "seq", "record_id", "patient_pseudonym", "use_case_id",
-                         "use_case_description", "action", "timestamp", "expiry_date",
-                         "version", "previous_record_hash", "record_hash")
     bad = ~(F.col("link_ok") & F.col("hash_ok"))
-    return (_checked(base, hash_all_fields).groupBy("ledger_id")
+    return (_checked(ledger, hash_all_fields, ()).groupBy("ledger_id")
             .agg(F.count(F.lit(1)).alias("n_records"),
                  F.sum(F.when(~F.col("link_ok"), 1).otherwise(0)).cast("long").alias("n_broken_links"),
                  F.sum(F.when(~F.col("hash_ok"), 1).otherwise(0)).cast("long").alias("n_bad_hashes"),
@@ -253,27 +250,37 @@ def verify_chain(ledger: DataFrame, hash_all_fields: bool = False) -> DataFrame:
             .withColumn("intact", F.col("_n_bad") == 0).drop("_n_bad"))
 
 
-def _checked(ledger: DataFrame, hash_all_fields: bool) -> DataFrame:
-    """``link_ok`` and ``hash_ok`` per record; neither is ever null.
+def _checked(ledger: DataFrame, hash_all_fields: bool, keep) -> DataFrame:
+    """``ledger_id, seq, keep ..., link_ok, hash_ok`` per record; no flag is
+    ever null.
 
     A place ``(ledger_id, seq)`` that several records hold breaks the link of
-    each of them, a null hash or hashed field fails the record."""
-    places = ledger.groupBy("ledger_id", "seq").agg(
-        F.min("record_hash").alias("_pred_hash"), F.count(F.lit(1)).alias("_copies"))
-    prev = places.select("ledger_id", (F.col("seq") + 1).alias("seq"), "_pred_hash")
-    own = places.select("ledger_id", "seq", "_copies")
+    each of them; a null place, hash or hashed field fails the record.
+
+    Hashes are recomputed where the records are read, so only places, hashes
+    and what ``keep`` names are moved, once: every record goes to its own place
+    and its hash to the next one, where a window sees both.
+    """
     fields = _hash_fields_all() if hash_all_fields else _hash_fields()
+    hash_ok = F.coalesce(F.col("record_hash") == record_hash(fields), F.lit(False))
+    own = ledger.select("ledger_id", "seq", *keep, F.col("previous_record_hash").alias("_points_at"), hash_ok.alias("hash_ok"),
+                        F.col("seq").alias("_place"), F.lit(1).alias("_own"), F.lit(None).cast("string").alias("_pred_hash"))
+    pred = ledger.select("ledger_id", (F.col("seq") + 1).alias("_place"), F.lit(0).alias("_own"),
+                         F.col("record_hash").alias("_pred_hash"))
+    place = Window.partitionBy("ledger_id", "_place")
+    both = (own.unionByName(pred, allowMissingColumns=True)
+            .withColumns({"_copies": F.sum("_own").over(place), "_pred_hash": F.min("_pred_hash").over(place)})
+            .where("_own = 1"))
     expected = F.when(F.col("seq") == 1, F.lit(GENESIS_HASH)).otherwise(F.col("_pred_hash"))
-    return (ledger.join(prev, ["ledger_id", "seq"], "left").join(own, ["ledger_id", "seq"], "left")
-            .withColumn("link_ok", F.coalesce((F.col("previous_record_hash") == expected)
-                                              & (F.col("_copies") == 1), F.lit(False)))
-            .withColumn("hash_ok", F.coalesce(F.col("record_hash") == record_hash(fields), F.lit(False)))
-            .drop("_pred_hash", "_copies"))
+    link_ok = ((F.col("_points_at") == expected) & (F.col("_copies") == 1)
+               & F.col("ledger_id").isNotNull() & F.col("seq").isNotNull())
+    return both.select("ledger_id", "seq", *keep, F.coalesce(link_ok, F.lit(False)).alias("link_ok"), "hash_ok")
 
 
 def verify_records(ledger: DataFrame, hash_all_fields: bool = False) -> DataFrame:
     """Per-record integrity flags (``link_ok``, ``hash_ok``) for drill-down."""
-    return _checked(ledger, hash_all_fields)
+    rest = [c for c in ledger.columns if c not in ("ledger_id", "seq")]
+    return _checked(ledger, hash_all_fields, rest).select(*ledger.columns, "link_ok", "hash_ok")
 
 
 # --------------------------------------------------------------------------

@@ -47,8 +47,8 @@ SELECT pos, round(sum(n * value) / sum(n), {_D}) AS value, count(DISTINCT site_i
        CAST(sum(n) AS BIGINT) AS total_n
 FROM local GROUP BY pos""")
 def d11_fedavg(spark, sf_dir):
-    v = FD.participating_rows(B.site_vectors(spark, sf_dir))
-    avg = FD.fedavg_long(FD.local_means(v))
+    means = FD.local_means(B.site_vectors(spark, sf_dir), min_n=FD.MIN_SITE_PATIENTS)
+    avg = FD.fedavg_long(means)
     return avg.select("pos", F.round("value", _D).alias("value"), "n_sites", "total_n")
 
 

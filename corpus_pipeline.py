@@ -22,31 +22,45 @@ from cohortguard.llm.toxicity import drop_toxic, fit_toxicity
 from cohortguard.sources.tables import read
 
 
+#: Bytes of an Arrow batch: a task holds so much of the texts at once, and not
+#: ten thousand of them however long they are.
+BATCH_BYTES = 4 << 20
+
+
+def _by_bytes(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go.  It learns from labelled rows
     of ``docs`` that are not held out."""
+    _by_bytes(spark)
     return drop_toxic(docs, fit_toxicity(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one with the smallest doc_id stays."""
+    _by_bytes(spark)
     return drop_exact_copies(docs)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles (similarity 0.75 or more), the
     one with the smallest doc_id stays."""
+    _by_bytes(spark)
     return drop_near_copies(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of strings of 100 bytes are cut from the texts; ``n_chars``
     follows.  No row goes."""
+    _by_bytes(spark)
     return drop_repeats(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 4096 tokens."""
+    _by_bytes(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from cohortguard.operators.budget import consume_budget

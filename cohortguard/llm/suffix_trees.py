@@ -57,6 +57,14 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return span_hashes(data, starts, ends), text, starts - shift, ends - shift
 
 
+def _two_hashes(h: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """128 bits, in two columns, for each run of words, from their hashes."""
+    raw = h.view(np.uint8)
+    ahead = span_hashes(raw, begins * 8, ends * 8)
+    back = span_hashes(raw[::-1], (len(h) - ends) * 8, (len(h) - begins) * 8)
+    return pa.array(ahead.view(np.int64)), pa.array(back.view(np.int64))
+
+
 def _segments(raw: bytes, length: int) -> Iterator[tuple[int, bytes]]:
     """(first word's number, bytes) of pieces that overlap by ``length - 1``
     words; only long texts have several."""
@@ -111,7 +119,8 @@ def _sampled(length: int, k: int):
 
 def _contexts(length: int):
     """The words around each spot of (id, sub, text, spots): (prefix, often,
-    id, sub, start, words), from the first to the last of its windows.
+    node, again, id, sub, start, to, words), from the first to the last of its
+    windows; ``node`` and ``again`` are a hash of all these words.
 
     Texts come in the pieces that they were sampled in, so the windows of a
     spot lie in one piece."""
@@ -121,7 +130,7 @@ def _contexts(length: int):
 
         def rows(prefix: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
             pieces = [x[3] for x in group]
-            _, text, begins, ends = _words(pieces)
+            h, text, begins, ends = _words(pieces)
             base = np.searchsorted(text, np.arange(len(pieces)))
             which = np.repeat(np.arange(len(pieces)), [len(x[4]) for x in group])
             spot = np.concatenate([x[4] for x in group])
@@ -129,12 +138,14 @@ def _contexts(length: int):
             lo = (spot >> 14) - ((spot >> 7) & 127)
             hi = (spot >> 14) - (spot & 127) + length - 1
             at = base[which] - first
+            node, again = _two_hashes(h, at + lo, at + hi + 1)
             around = [pieces[i][a:b] for i, a, b in
                       zip(which.tolist(), begins[at + lo].tolist(), ends[at + hi].tolist())]
             ids, subs = (np.array([x[j] for x in group], np.int64)[which] for j in (0, 1))
             return pa.RecordBatch.from_arrays(
-                [pa.array(prefix), pa.array(often), pa.array(ids), pa.array(subs), pa.array(lo), pa.array(around, pa.binary())],
-                names=["prefix", "often", "id", "sub", "start", "words"])
+                [pa.array(prefix), pa.array(often), node, again, pa.array(ids), pa.array(subs), pa.array(lo),
+                 pa.array(hi + 1), pa.array(around, pa.binary())],
+                names=["prefix", "often", "node", "again", "id", "sub", "start", "to", "words"])
 
         size, names, flags = 0, [], []
         for batch in batches:
@@ -234,29 +245,6 @@ def _subtrees(length: int, group: int):
     return run
 
 
-def _two_hashes(h: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """128 bits, in two columns, for each run of words, from their hashes."""
-    raw = h.view(np.uint8)
-    ahead = span_hashes(raw, begins * 8, ends * 8)
-    back = span_hashes(raw[::-1], (len(h) - ends) * 8, (len(h) - begins) * 8)
-    return pa.array(ahead.view(np.int64)), pa.array(back.view(np.int64))
-
-
-def _whole_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows under a frequent prefix with a hash of all their words and the
-    place behind the last."""
-    for whole in batches:
-        for n in range(0, len(whole), _ROWS):
-            batch = whole.slice(n, _ROWS)
-            h, row, _, _ = _words(batch["words"].to_pylist())
-            ends = np.cumsum(np.bincount(row, minlength=len(batch)))
-            begins = np.concatenate([[0], ends[:-1]])
-            to = pa.array(batch["start"].to_numpy() + ends - begins)
-            yield pa.RecordBatch.from_arrays(
-                [*_two_hashes(h, begins, ends), to, *(batch[c] for c in ("prefix", "id", "sub", "start", "words"))],
-                names=["node", "again", "to", "prefix", "id", "sub", "start", "words"])
-
-
 def _whole_windows(length: int):
     """Every window of each row: (node, again, id, sub, start)."""
 
@@ -303,27 +291,28 @@ def repeated_windows(docs: DataFrame, n_docs: int, length: int = LENGTH, prefix:
     discard(rows)
     texts = marked_by(docs, marks, "_hit", "id", "sub", bits=mark_bits(n_docs)).where("_hit").drop("_hit")
     around = written(texts.join(marks, ["id", "sub"]).mapInArrow(
-        _contexts(length), f"prefix long, often boolean, {_KEY}, start long, words binary"), "contexts")
-    rest, spans = around.where("not often"), None
+        _contexts(length), f"prefix long, often boolean, node long, again long, {_KEY}, start long, to long, words binary"),
+        "contexts")
+    columns = ["prefix", "id", "sub", "start", "words"]
+    rest, spans = around.where("not often").select(columns), None
     place = F.struct("id", "sub", "start")
     if not counts.where(F.col("n") > group).isEmpty():
         # a frequent prefix is lengthened to its whole context: of equal ones the
         # first goes on, and the others are covered from end to end
-        whole = written(around.where("often").mapInArrow(
-            _whole_contexts, f"node long, again long, to long, prefix long, {_KEY}, start long, words binary"), "whole-contexts")
+        whole = around.where("often")
         own = whole.groupBy("node", "again").agg(F.min(F.struct("id", "sub", "start", "prefix", "to", "words")).alias("r"))
         own = written(own.select("r.*"), "first-contexts")
         spans = _spans(whole, F.col("to"), CONTEXT).unionByName(_spans(own, F.col("to"), FIRST_CONTEXT))
         own = own.drop("to")
         crowded = written(own.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group), "crowded")
-        rest = rest.drop("often").unionByName(own.join(crowded, "prefix", "left_anti"))
+        rest = rest.unionByName(own.join(crowded, "prefix", "left_anti"))
         # prefixes with many different contexts end as windows
         windows = written(own.join(crowded, "prefix", "left_semi").mapInArrow(
             _whole_windows(length), f"node long, again long, {_KEY}, start long"), "windows")
         first = windows.groupBy("node", "again").agg(F.min(place).alias("r")).select("r.*")
         for rows, kind in ((windows, WINDOW), (first, FIRST_WINDOW)):
             spans = spans.unionByName(_spans(rows, F.col("start") + length, kind))
-    found = (rest.select("prefix", "id", "sub", "start", "words").repartition("prefix").sortWithinPartitions("prefix")
+    found = (rest.repartition("prefix").sortWithinPartitions("prefix")
              .mapInArrow(_subtrees(length, group), f"{_KEY}, from long, to long")
              .withColumn("kind", F.lit(COVERED)))
     spans = found if spans is None else found.unionByName(spans)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: Rows turned into matrices at once (a task's memory: rows x (d+1)^2 numbers).
 BLOCK_ROWS = 2000
 
@@ -101,8 +103,9 @@ def fit_many(df: DataFrame, features: Sequence[str], labels: Sequence[Column], w
     known = F.lit(True)
     for c in [*labels, *(weights or ())]:
         known = known & c.isNotNull()
-    rows = _design(df.where(known), features, F.array(*[c.cast("double") for c in labels]).alias("y"),
-                   F.array(*[c.cast("double") for c in (weights or [F.lit(1.0)])]).alias("w"))
+    # drawn labels and weights are made once, not at every step
+    rows = materialize(_design(df.where(known), features, F.array(*[c.cast("double") for c in labels]).alias("y"),
+                               F.array(*[c.cast("double") for c in (weights or [F.lit(1.0)])]).alias("w")))
     ridge = np.full(d + 1, float(penalty))
     ridge[-1] = 0.0
     coef, before = np.zeros((m, d + 1)), np.zeros((m, d + 1))

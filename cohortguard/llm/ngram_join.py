@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_group, bitmap_of, discard, text_or_empty, with_mark, written
+from .common import attach_group, bitmap_of, discard, text_or_empty, tidy, with_mark, written
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -212,7 +212,7 @@ def _signatures_of(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(signs, pa.binary())],
                                              names=["node", "signature"])
 
-    return _texts_of(docs, nodes).mapInArrow(run, "node long, signature binary")
+    return _texts_of(docs, nodes).mapInArrow(tidy(run), "node long, signature binary")
 
 
 def _packed_of(docs: DataFrame, nodes: DataFrame, node: str, name: str) -> DataFrame:
@@ -224,7 +224,7 @@ def _packed_of(docs: DataFrame, nodes: DataFrame, node: str, name: str) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(map(pack, texts), pa.binary())],
                                              names=[node, name])
 
-    return _texts_of(docs, nodes).mapInArrow(run, f"{node} long, {name} binary")
+    return _texts_of(docs, nodes).mapInArrow(tidy(run), f"{node} long, {name} binary")
 
 
 def _signature(hashes: np.ndarray) -> bytes:
@@ -311,7 +311,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
     left = _packed_of(docs, pairs.select(F.col("a").alias("node")), "a", "x")
     right = _packed_of(docs, pairs.select(F.col("b").alias("node")), "b", "y")
     both = pairs.join(right, "b").join(left, "a").select(*pairs.columns, "x", "y")
-    return both.mapInArrow(_linked(k, percent), pairs.schema)
+    return both.mapInArrow(tidy(_linked(k, percent)), pairs.schema)
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -431,7 +431,7 @@ def _possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
                 may = _may_link(t["x"].to_pylist() + t["y"].to_pylist(), sizes, i, n + i, percent)
                 yield t.select(["a", "b"]).filter(pa.array(may))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidy(run), "a long, b long")
 
 
 def _remaining_pairs(lists: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
@@ -444,7 +444,7 @@ def _remaining_pairs(lists: DataFrame, signs: DataFrame, percent: int) -> DataFr
         F.col("token").alias("tile"), F.hash("pivot").alias("place"), F.lit(0).alias("side"), F.lit(1).alias("own"),
         "size", "node", "comp")
     plain = (short.repartition("place").sortWithinPartitions("place", "tile", "size")
-             .mapInArrow(_tiles(percent, signed=False), "a long, b long").distinct())
+             .mapInArrow(tidy(_tiles(percent, signed=False)), "a long, b long").distinct())
     tiled = _tile_pairs(lists.where(F.col("members") > SHORT_LIST), signs, percent)
     return _possible(written(plain, "plain-pairs"), signs, percent).unionByName(tiled).distinct()
 
@@ -479,7 +479,7 @@ def _tile_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         every, F.coalesce(upper, none), F.coalesce(lower, none))).alias("t")).select("size", "node", "comp", "t.*")
         .join(sets.select("node", "signature"), "node"))
     pairs = (dealt.repartition("place").sortWithinPartitions("place", "tile", "side", "node")
-             .mapInArrow(_tiles(percent, signed=True), "a long, b long").distinct())
+             .mapInArrow(tidy(_tiles(percent, signed=True)), "a long, b long").distinct())
     return pairs
 
 
@@ -506,15 +506,15 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     Shingles are told apart by 64-bit hashes.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    facts = written(base.mapInArrow(_survey(words), "id long, n long, digest binary, token long"), "sets")
+    facts = written(base.mapInArrow(tidy(_survey(words)), "id long, n long, digest binary, token long"), "sets")
     sets = facts.where("digest is not null").select("id", "n", "digest")
     classes = (sets.where("id is not null and n > 0").groupBy("digest")
                .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")))
     twins = classes.where("rows > 1")
     heavy, weight = _heavy(facts, heavy_docs, heavy_limit)
-    posted = base.mapInArrow(_postings(words, percent, heavy, weight), "token long, size int, node long")
+    posted = base.mapInArrow(tidy(_postings(words, percent, heavy, weight)), "token long, size int, node long")
     lists = written(posted.repartition("token").sortWithinPartitions("token", "size", "node")
-                    .mapInArrow(_shared_lists(percent), "token long, size int, node long, pivot long, pivot_size int"), "lists")
+                    .mapInArrow(tidy(_shared_lists(percent)), "token long, size int, node long, pivot long, pivot_size int"), "lists")
     # each node's likeliest partner: the first node of most of its lists
     stars = (lists.where((F.col("node") != F.col("pivot"))
                          & (F.col("pivot_size") * 100 >= F.col("size") * percent))

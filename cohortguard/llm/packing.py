@@ -25,16 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_groups, shared_path, text_or_empty, written
+from .common import in_groups, shared_path, text_or_empty, tidy, written
 from .merges import PieceIds, load_word_merges
 
-#: Distinct chunks whose ids a Python worker remembers: those that came up in
-#: several batches, and those of the last batches that did not yet.  An entry
-#: takes some 200 bytes, so that is at most 80 MB a worker.
-HOT_CHUNKS = 200_000
-NEW_CHUNKS = 200_000
+#: Distinct chunks whose ids a Python worker remembers: so many that came up in
+#: several batches, and as many of the last batches that did not yet.  An entry
+#: takes some 200 bytes, so that is at most 120 MB a worker.
+CHUNKS = 300_000
 #: Characters of texts that are encoded together.
-GROUP_CHARS = 1_500_000
+GROUP_CHARS = 4_000_000
 _OWN_SPACES = re.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 # Fixed value: the split pattern of the word-end tokenizer; a line feed parts chunks here.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -61,15 +60,15 @@ class ChunkEncoder:
     chunk by itself, so each distinct chunk is encoded once and remembered:
     for word-end vocabularies by folding the merges over all new pieces at
     once, for others by the library.  ``whole=True`` has the library encode
-    whole texts and fits any tokenizer.
+    whole texts and fits any tokenizer.  ``chunks`` bounds what is remembered.
     """
 
-    def __init__(self, path: str, whole: bool = False):
+    def __init__(self, path: str, whole: bool = False, chunks: int = CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
-        self.tokenizer, self.whole = Tokenizer.from_file(path), whole
+        self.tokenizer, self.whole, self.most = Tokenizer.from_file(path), whole, chunks
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.hot: dict[str, bytes] = {}
         self.cache: dict[str, bytes] = {}
@@ -136,9 +135,9 @@ class ChunkEncoder:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens, as packed integers."""
         out: list = [None] * len(texts)
-        if len(self.hot) > HOT_CHUNKS:
+        if len(self.hot) > self.most:
             self.hot.clear()
-        if len(self.cache) > NEW_CHUNKS:
+        if len(self.cache) > self.most:
             self.cache.clear()
         hot, cache, open_, once = self.hot, self.cache, [], set()
         for i, text in enumerate(texts):
@@ -166,18 +165,18 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], ChunkEncoder] = {}
 
 
-def _encoder(path: str, whole: bool) -> ChunkEncoder:
+def _encoder(path: str, whole: bool, chunks: int) -> ChunkEncoder:
     """The worker's encoder, kept from task to task."""
-    if (path, whole) not in _ENCODERS:
-        _ENCODERS[path, whole] = ChunkEncoder(path, whole)
-    return _ENCODERS[path, whole]
+    if (path, whole, chunks) not in _ENCODERS:
+        _ENCODERS[path, whole, chunks] = ChunkEncoder(path, whole, chunks)
+    return _ENCODERS[path, whole, chunks]
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: str, text_col: str,
-              queue_col: str, whole: bool = False) -> DataFrame:
+              queue_col: str, whole: bool = False, chunks: int = CHUNKS, group_chars: int = GROUP_CHARS) -> DataFrame:
     """Write ``docs`` as token ids with each document's place in its queue.
 
     A task numbers the tokens of every source it meets; ``part`` orders tasks.
@@ -185,13 +184,13 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col:
     schema = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_path, whole)
+        encoder = _encoder(tokenizer_path, whole, chunks)
         end = b"" if end_id is None else encoder._pack([end_id])
         part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             queues = batch["queue"].to_pylist()
             ids, starts, counts = [], [], []
-            for packed, queue in zip(in_groups(encoder.encode_batch, batch["text"].to_pylist(), GROUP_CHARS), queues):
+            for packed, queue in zip(in_groups(encoder.encode_batch, batch["text"].to_pylist(), group_chars), queues):
                 packed += end
                 n = len(packed) // encoder.dtype.itemsize
                 at = seen.get(queue, 0)
@@ -208,7 +207,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col:
     queue = F.concat(F.when(F.col(queue_col).isNull(), F.lit("null")).otherwise(F.lit("=")),
                      F.coalesce(F.col(queue_col).cast("string"), F.lit("")))
     rows = docs.select(F.col(id_col).alias("id"), queue.alias("queue"), text_or_empty(text_col).alias("text"))
-    out = rows.mapInArrow(run, f"id {schema.simpleString()}, queue string, part int, start long, n long, "
+    out = rows.mapInArrow(tidy(run), f"id {schema.simpleString()}, queue string, part int, start long, n long, "
                                "ids binary, width int")
     path = shared_path(docs.sparkSession, "tokens")
     out.write.option("compression", "zstd").parquet(path)
@@ -291,7 +290,8 @@ def pieces(shares: list[Share], start: int, n: int, window: int) -> Iterator[tup
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: int | None = 2,
          mix: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
-         source_col: str = "source", whole_texts: bool = False, with_ids: bool = False) -> DataFrame:
+         source_col: str = "source", whole_texts: bool = False, with_ids: bool = False,
+         chunks: int = CHUNKS, group_chars: int = GROUP_CHARS) -> DataFrame:
     """Pack every document into sequences of ``window`` tokens.
 
     ``mix`` maps sources to target proportions; by default they are the
@@ -305,11 +305,14 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: in
     ``id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and,
     with ``with_ids``, ``ids`` (unsigned 32-bit little-endian).
 
+    ``chunks`` and ``group_chars`` bound a worker's memory (see ``CHUNKS`` and
+    ``GROUP_CHARS``): smaller ones cost time and change no result.
+
     A null text is an empty one and still gives its ``end_id``; a null source
     is a source of its own; repeated rows are packed once each; without rows
     the result is empty.
     """
-    tokens = tokenized(docs, tokenizer_path, end_id, id_col, text_col, source_col, whole_texts)
+    tokens = tokenized(docs, tokenizer_path, end_id, id_col, text_col, source_col, whole_texts, chunks, group_chars)
     parts = written(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "queue-parts")
     sums = parts.groupBy("queue").agg(F.sum("n").alias("n"))
     total = sums.agg(F.sum("n")).first()[0] or 0
@@ -354,4 +357,4 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: in
             yield pa.RecordBatch.from_arrays(made, names=fields + ["ids"] * with_ids)
 
     schema = f"id {id_type}, " + ", ".join(f"{f} long" for f in fields[1:]) + ", ids binary" * with_ids
-    return placed.mapInArrow(cut, schema).withColumnRenamed("id", id_col)
+    return placed.mapInArrow(tidy(cut), schema).withColumnRenamed("id", id_col)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_group, bitmap_of, discard, fresh, text_or_empty, with_mark, written
+from .common import attach_group, bitmap_of, discard, fresh, text_or_empty, tidy, with_mark, written
 from .shingles import mix, powers, span_hashes
 
 LENGTH = 100
@@ -234,23 +234,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = KGRAM, hot: i
     """Spans (id, from, to) whose bytes go, of ``docs`` (id, text); spans may
     overlap.  An id has one text; rows may repeat if ``once`` is false.  Later
     exact copies in one task are left to the caller."""
-    members = docs.mapInArrow(_members(length, k), "anchor long, id long, spot long")
+    members = docs.mapInArrow(tidy(_members(length, k)), "anchor long, id long, spot long")
     dups = written(members.repartition("anchor").sortWithinPartitions("anchor", "id", "spot")
-                   .mapInArrow(_repeated, "anchor long, id long, spot long"), "anchors")
+                   .mapInArrow(tidy(_repeated), "anchor long, id long, spot long"), "anchors")
     marks = dups.groupBy("id").agg(F.collect_list(F.struct("anchor", "spot")).alias("marks"))
     texts = with_mark(docs, bitmap_of(dups, "id"), "_hit", "id").where("_hit").select("id", "text")
     if not once:
         texts = texts.dropDuplicates(["id"])
     around = written(texts.join(marks, "id").mapInArrow(
-        _surroundings(length), "anchor long, id long, start long, bytes binary"), "surroundings")
+        tidy(_surroundings(length)), "anchor long, id long, start long, bytes binary"), "surroundings")
     often = dups.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("anchor")
     often = written(often, "hot-anchors")
     spans = (around.join(often, "anchor", "left_anti").repartition("anchor")
              .sortWithinPartitions("anchor", "id", "start")
-             .mapInArrow(_previous_factors(length), "id long, from long, to long"))
+             .mapInArrow(tidy(_previous_factors(length)), "id long, from long, to long"))
     if not often.isEmpty():
         rows = written(around.join(often, "anchor", "left_semi")
-                       .mapInArrow(_each_window(length), "window long, id long, start long"), "windows")
+                       .mapInArrow(tidy(_each_window(length)), "window long, id long, start long"), "windows")
         first = rows.groupBy("window").agg(F.min(F.struct("id", "start")).alias("first"),
                                            F.count(F.lit(1)).alias("n")).where("n > 1")
         later = attach_group(rows, first, "window", "n").where(F.struct("id", "start") > F.col("first"))
@@ -316,7 +316,7 @@ def _cut_rows(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataF
     zero = F.lit(0).cast("long")
     whole = marked.where("not (_cut or _copy)").select(
         "id", "sha", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
-    return touched.mapInArrow(cut, "id long, sha string, n_bytes long, n_removed long, n_spans long, kept binary").unionByName(whole)
+    return touched.mapInArrow(tidy(cut), "id long, sha string, n_bytes long, n_removed long, n_spans long, kept binary").unionByName(whole)
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -347,7 +347,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b["id"], b["sha"], kept], names=["id", "sha", "kept"])
 
     cut = _cut_rows(docs, id_col, text_col, length).where("n_removed > 0").select("id", "sha", "kept")
-    cut = written(cut.mapInArrow(decode, "id long, sha string, kept string").dropDuplicates(["id", "sha"]), "cut-texts")
+    cut = written(cut.mapInArrow(tidy(decode), "id long, sha string, kept string").dropDuplicates(["id", "sha"]), "cut-texts")
     doc_id, sha, kept, hit = map(fresh, ("id", "sha", "kept", "hit"))
     cut = cut.select(F.col("id").alias(doc_id), F.col("sha").alias(sha), F.col("kept").alias(kept))
     rows = docs.withColumn(doc_id, F.col(id_col).cast("long"))

@@ -578,3 +578,22 @@ def test_unclosed_tags_take_linear_time():
         assert len(scorer.extract("<body>" + "<div>word text " * n).split()) == 2 * n
         took[n] = time.process_time() - t
     assert took[50_000] < 30 * took[5_000] + 1
+
+
+def test_packing_in_little_memory_gives_the_same_pieces(spark):
+    """op2 and the pipeline differ in what a worker remembers, and in nothing else."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 97}x{k}" for k in range(60)), "s") for i in range(80)],
+                                 "doc_id long, text string, source string")
+    full, small = (sorted(map(tuple, packing.pack(docs, WORDS, 64, **some).collect()))
+                   for some in ({}, {"chunks": 40, "group_chars": 500}))
+    assert full == small
+
+
+def test_workers_give_memory_back_after_their_last_batch(monkeypatch):
+    from cohortguard.llm import common
+    told = []
+    monkeypatch.setattr(common, "give_back", lambda: told.append(len(told)))
+    rows = common.tidy(lambda batches: (b + 1 for b in batches))([1, 2])
+    assert [next(rows), told, next(rows), told] == [2, [], 3, []] and not list(rows) and told == [0]
+    monkeypatch.undo()
+    common.give_back()

@@ -87,6 +87,15 @@ def test_split_admit_folds_what_a_round_leaves(spark, monkeypatch, fold_rows, ro
     assert len(calls) == rounds if rounds else len(calls) > 1
 
 
+def test_rows_that_come_twice_are_decided_alike_by_rounds_and_fold(spark):
+    rng = np.random.default_rng(9)
+    rows = [("b", i, int(c), 900, 0) for i, c in enumerate(rng.integers(1, 60, 90))] * 2
+    df = spark.createDataFrame(rows, "budget_id string, seq long, cost long, total_micro long, _used0 long")
+    found = [sorted(map(tuple, BG.split_admit(df, "budget_id", "seq", [], "cost", True, n).select("seq", "cost", "_admitted").collect()))
+             for n in (0, BG.HOT_ROWS)]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
 def test_prefix_ranges_follow_the_largest_group(spark):
     df = spark.createDataFrame([(g, float(o), g + o) for g in range(3) for o in range(20 * (g + 1))], "g int, o double, v int")
     assert [buckets_for(df, ["g"], rows) for rows in (100, 60, 59, 10, 1)] == [1, 1, 2, 6, 60]

@@ -175,8 +175,13 @@ def _encoder(path: str, whole: bool, chunks: int) -> ChunkEncoder:
     return _ENCODERS[path, whole, chunks]
 
 
+def _forget(path: str, whole: bool, chunks: int) -> None:
+    _ENCODERS.pop((path, whole, chunks), None)
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: str, text_col: str,
-              queue_col: str, whole: bool = False, chunks: int = CHUNKS, group_chars: int = GROUP_CHARS) -> DataFrame:
+              queue_col: str, whole: bool = False, chunks: int = CHUNKS, group_chars: int = GROUP_CHARS,
+              keep: bool = True) -> DataFrame:
     """Write ``docs`` as token ids with each document's place in its queue.
 
     A task numbers the tokens of every source it meets; ``part`` orders tasks.
@@ -203,6 +208,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col:
                  pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()),
                  pa.array([encoder.dtype.itemsize] * len(ids), pa.int32())],
                 names=["id", "queue", "part", "start", "n", "ids", "width"])
+        if not keep:
+            del encoder
+            _forget(tokenizer_path, whole, chunks)
 
     queue = F.concat(F.when(F.col(queue_col).isNull(), F.lit("null")).otherwise(F.lit("=")),
                      F.coalesce(F.col(queue_col).cast("string"), F.lit("")))
@@ -291,7 +299,8 @@ def pieces(shares: list[Share], start: int, n: int, window: int) -> Iterator[tup
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: int | None = 2,
          mix: dict[str | None, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
          source_col: str = "source", whole_texts: bool = False, with_ids: bool = False,
-         chunks: int = CHUNKS, group_chars: int = GROUP_CHARS) -> DataFrame:
+         chunks: int = CHUNKS, group_chars: int = GROUP_CHARS,
+         keep: bool = True) -> DataFrame:
     """Pack every document into sequences of ``window`` tokens.
 
     ``mix`` maps sources to target proportions; by default they are the
@@ -306,13 +315,16 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 4096, *, end_id: in
     with ``with_ids``, ``ids`` (unsigned 32-bit little-endian).
 
     ``chunks`` and ``group_chars`` bound a worker's memory (see ``CHUNKS`` and
-    ``GROUP_CHARS``): smaller ones cost time and change no result.
+    ``GROUP_CHARS``): smaller ones cost time and change no result.  Without ``keep``
+    a worker gives its tokenizer back after each task, as jobs want that do more
+    than packing.
 
     A null text is an empty one and still gives its ``end_id``; a null source
     is a source of its own; repeated rows are packed once each; without rows
     the result is empty.
     """
-    tokens = tokenized(docs, tokenizer_path, end_id, id_col, text_col, source_col, whole_texts, chunks, group_chars)
+    tokens = tokenized(docs, tokenizer_path, end_id, id_col, text_col, source_col, whole_texts, chunks, group_chars,
+                       keep)
     parts = written(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "queue-parts")
     sums = parts.groupBy("queue").agg(F.sum("n").alias("n"))
     total = sums.agg(F.sum("n")).first()[0] or 0

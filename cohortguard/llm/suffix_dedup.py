@@ -34,7 +34,10 @@ KGRAM = 24
 #: Anchors that occur more often are split by window instead of by anchor: a
 #: task keeps up to 76 prefixes of 8 bytes for each occurrence of one anchor.
 HOT_ANCHOR = 500_000
-_SEGMENT = 4_000_000  # bytes of a text looked at at once
+_SEGMENT = 1_000_000  # bytes of a text looked at at once
+#: Bytes of texts that go together, and rows whose windows do: a worker holds
+#: some ten numbers of 8 bytes for each byte, or each window, of them.
+_GROUP, _ROWS = 250_000, 1000
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -89,7 +92,7 @@ def _segments(batches: Iterator[pa.RecordBatch], length: int):
             for a in range(0, max(1, len(raw) - length + 1), _SEGMENT):
                 group.append((i, a, raw[a:a + _SEGMENT + length - 1]))
                 size += len(group[-1][2])
-                if size >= 1_000_000:
+                if size >= _GROUP:
                     yield group
                     group, size = [], 0
     if group:
@@ -203,8 +206,8 @@ def _previous_factors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, last = np.empty(0, np.uint64), None
         for batch in batches:
-            for n in range(0, len(batch), 5000):
-                t = pa.Table.from_batches([batch.slice(n, 5000)])
+            for n in range(0, len(batch), _ROWS):
+                t = pa.Table.from_batches([batch.slice(n, _ROWS)])
                 if t["anchor"][0].as_py() != last:
                     before = np.empty(0, np.uint64)
                 last = t["anchor"][-1].as_py()
@@ -219,8 +222,8 @@ def _each_window(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, len(batch), 5000):
-                t = pa.Table.from_batches([batch.slice(a, 5000)])
+            for a in range(0, len(batch), _ROWS):
+                t = pa.Table.from_batches([batch.slice(a, _ROWS)])
                 row, j, h = _windows(t, length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(t["id"].to_numpy()[row]),
@@ -272,9 +275,10 @@ def _merge(spans: list) -> list[tuple[int, int]]:
     return out
 
 
-def _cut_rows(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+def _cut_rows(docs: DataFrame, id_col: str, text_col: str, length: int, characters: bool = False) -> DataFrame:
     """(id, sha, n_bytes, n_removed, n_spans, kept) for every row; ``sha`` is
-    the digest of its text."""
+    the digest of its text.  With ``characters``, what is left of a character
+    of which a byte goes is not kept either."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     full = base.withColumn("n_bytes", F.octet_length("text").cast("long")).withColumn("sha", F.sha2("text", 256))
     long = full.where((F.col("n_bytes") >= length) & F.col("id").isNotNull()).select("id", "sha")
@@ -307,7 +311,10 @@ def _cut_rows(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataF
                 for a, b in gone:
                     kept.append(raw[at:a])
                     at = b
-                rows.append((i, sha, len(raw), sum(b - a for a, b in gone), len(gone), b"".join([*kept, raw[at:]])))
+                left = b"".join([*kept, raw[at:]])
+                if characters:
+                    left = left.decode("utf-8", "ignore").encode()
+                rows.append((i, sha, len(raw), sum(b - a for a, b in gone), len(gone), left))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("id", "sha", "n_bytes", "n_removed", "n_spans", "kept"), r)) for r in rows],
                 schema=pa.schema([("id", pa.int64()), ("sha", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -341,13 +348,10 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A character of which a byte goes is dropped as a whole.  Odd rows are
     treated as :func:`cut_repeats` states; extra columns stay as they are.
     """
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept = pa.array([x.decode("utf-8", "ignore") for x in b["kept"].to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b["id"], b["sha"], kept], names=["id", "sha", "kept"])
-
-    cut = _cut_rows(docs, id_col, text_col, length).where("n_removed > 0").select("id", "sha", "kept")
-    cut = written(cut.mapInArrow(tidy(decode), "id long, sha string, kept string").dropDuplicates(["id", "sha"]), "cut-texts")
+    # one Python operator in a task: a second one would double the executors' workers
+    cut = _cut_rows(docs, id_col, text_col, length, characters=True).where("n_removed > 0").select(
+        "id", "sha", F.col("kept").cast("string").alias("kept"))
+    cut = written(cut.dropDuplicates(["id", "sha"]), "cut-texts")
     doc_id, sha, kept, hit = map(fresh, ("id", "sha", "kept", "hit"))
     cut = cut.select(F.col("id").alias(doc_id), F.col("sha").alias(sha), F.col("kept").alias(kept))
     rows = docs.withColumn(doc_id, F.col(id_col).cast("long"))

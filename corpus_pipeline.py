@@ -25,6 +25,8 @@ from cohortguard.sources.tables import read
 #: Bytes of an Arrow batch: a task holds so much of the texts at once, and not
 #: ten thousand of them however long they are.
 BATCH_BYTES = 4 << 20
+#: Rows that a scan decodes at once: of texts, few fill megabytes.
+SCAN_ROWS = 512
 #: What a worker of the last stage remembers and encodes at once: little, since
 #: the stages before it leave less room than packing alone has.
 PACK_CHUNKS, PACK_CHARS = 50_000, 500_000
@@ -32,6 +34,7 @@ PACK_CHUNKS, PACK_CHARS = 50_000, 500_000
 
 def _by_bytes(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +67,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 4096 tokens."""
     _by_bytes(spark)
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), chunks=PACK_CHUNKS, group_chars=PACK_CHARS)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), chunks=PACK_CHUNKS, group_chars=PACK_CHARS,
+                keep=False)
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("ngram_jaccard", ngram_jaccard),

@@ -597,3 +597,41 @@ def test_workers_give_memory_back_after_their_last_batch(monkeypatch):
     assert [next(rows), told, next(rows), told] == [2, [], 3, []] and not list(rows) and told == [0]
     monkeypatch.undo()
     common.give_back()
+
+
+def test_cut_texts_take_one_python_operator_a_task(spark, documents, monkeypatch):
+    """Operators in a chain have a worker each, and idle workers keep their memory."""
+    plans = []
+    real = suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, name: plans.append(
+        (name, df._jdf.queryExecution().executedPlan().toString())) or real(df, name))
+    same = "".join(map(chr, range(0xC0, 0xC0 + 80)))
+    docs = documents(["a" + same, "bc" + same + "d", "\u00e0" + same + "f"])
+    got = [r.text for r in suffix_dedup.drop_repeats(docs).orderBy("doc_id").collect()]
+    assert got == ["a" + same, "bcd", "\u00e0f"]
+    assert dict(plans)["cut-texts"].count("MapInArrow") == 1
+
+
+def test_windows_of_long_batches_in_small_steps(documents, monkeypatch):
+    rng = random.Random(21)
+    texts = ["".join(rng.choices("ab", k=12)) * 30 for _ in range(40)]
+    few = lambda: sorted(map(tuple, suffix_dedup.cut_repeats(documents(texts)).collect()))
+    whole = few()
+    monkeypatch.setattr(suffix_dedup, "_ROWS", 3)
+    monkeypatch.setattr(suffix_dedup, "_GROUP", 500)
+    monkeypatch.setattr(suffix_dedup, "_SEGMENT", 250)
+    assert few() == whole
+
+
+def test_a_tokenizer_that_is_not_kept(spark):
+    """The worker gives it back after its task."""
+    docs = spark.createDataFrame([(i, f"some words {i}", "s") for i in range(8)], "doc_id long, text string, source string")
+
+    def held(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(k[2] in (41, 42) for k in packing._ENCODERS)]})
+    for chunks, keep in ((41, False), (42, True)):
+        packing.pack(docs, WORDS, 64, chunks=chunks, keep=keep).collect()
+        n = [r.n for r in spark.range(0, 64, 1, 16).mapInArrow(held, "n long").collect()]
+        assert any(n) == keep

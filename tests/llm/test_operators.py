@@ -635,3 +635,13 @@ def test_a_tokenizer_that_is_not_kept(spark):
         packing.pack(docs, WORDS, 64, chunks=chunks, keep=keep).collect()
         n = [r.n for r in spark.range(0, 64, 1, 16).mapInArrow(held, "n long").collect()]
         assert any(n) == keep
+
+
+def test_only_shared_bands_of_lines_are_kept(spark):
+    """Lines that come again or have nothing in common give no bands."""
+    rng = random.Random(31)
+    lines = ["".join(rng.choices("abcdefghij", k=60)) for _ in range(200)]
+    near = [x + "!" for x in lines[:5]]
+    df = spark.createDataFrame([(x,) for x in lines * 3 + near], "line string")
+    rows = line_dedup._members(df, line_dedup.BANDS).collect()
+    assert len({r.key for r in rows}) in range(10, 14) and len(rows) == len(set(rows)) <= 14 * line_dedup.BANDS

@@ -48,6 +48,9 @@ HEAVY_DOCS = 64
 SHORT_LIST = 32
 #: Documents compared with each other in one tile.
 TILE_DOCS = 1024
+#: Long lists, the first by token, that a tile's row names of its node: a pair is
+#: given by the first list that both name.
+NAMED_LISTS = 8
 #: Least bits of a signature; larger sets have at least two bits a shingle.  Bits
 #: shared by chance loosen the bound of small sets most, and theirs cost least.
 SIGNATURE_BITS = 1024
@@ -74,16 +77,29 @@ def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
+def _added(tokens: np.ndarray, counts: np.ndarray, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The counts with those of the tokens that occur more than once in ``held``."""
+    token, count = np.unique(np.concatenate(held), return_counts=True)
+    known = np.zeros(len(token), bool)
+    if len(tokens):
+        known = tokens[np.minimum(np.searchsorted(tokens, token), len(tokens) - 1)] == token
+    keep = known | (count >= 2)
+    both, n = np.concatenate([tokens, token[keep]]), np.concatenate([counts, count[keep]])
+    token, place = np.unique(both, return_inverse=True)
+    return token, np.bincount(place, n, len(token)).astype(np.int64)
+
+
 def _survey(k: int, buffer: int = 1_000_000):
     """Per document its set's size and digest; per task the shingles that
-    occur in several of its documents, with how many."""
+    occur in several of its documents, with how many (of ``buffer`` shingles
+    at a time, those that occur once are forgotten)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, n_held = set(), [], 0
+        tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
 
         def often() -> pa.RecordBatch:
-            token, count = np.unique(np.concatenate(held), return_counts=True)
-            token, count = token[count >= 4], count[count >= 4]
+            token, count = tokens[counts >= 3], counts[counts >= 3]
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(len(token), pa.int64()), pa.array(count), pa.nulls(len(token), pa.binary()),
                  pa.array(token.view(np.int64))], names=["id", "n", "digest", "token"])
@@ -103,9 +119,14 @@ def _survey(k: int, buffer: int = 1_000_000):
             held.append(hashes[np.repeat(new, np.diff(at))])
             n_held += len(held[-1])
             if n_held >= buffer:
-                yield often()
+                tokens, counts = _added(tokens, counts, held)
                 held, n_held = [], 0
+                if len(tokens) >= buffer:
+                    yield often()
+                    tokens, counts = tokens[:0], counts[:0]
         if held:
+            tokens, counts = _added(tokens, counts, held)
+        if len(tokens):
             yield often()
 
     return run
@@ -326,6 +347,17 @@ def _labels(links: DataFrame) -> DataFrame:
             .select("node", F.least("label", "node").alias("label"), "n"))
 
 
+def _one_of_each(lists: DataFrame, copies: DataFrame) -> DataFrame:
+    """Lists (token, size, node, comp) with the first node ``a`` of equal sets
+    in place of every ``b`` of ``copies``: each task posts a set of its own, and
+    pairs of equal sets' nodes would grow with the square of the copies."""
+    own = lists.join(copies.select(F.col("b").alias("node"), "a"), "node", "left").withColumn(
+        "node", F.coalesce("a", "node")).drop("a")
+    # no token is null; said here, both uses of the lists have one exchange
+    return (own.where("token is not null").repartition("token").groupBy("token", "node")
+            .agg(F.min("size").alias("size"), F.min("comp").alias("comp")))
+
+
 def _open(lists: DataFrame) -> DataFrame:
     """Lists (token, size, node, comp) that meet in several components.
 
@@ -358,6 +390,33 @@ def _likeliest(lists: DataFrame, tried: DataFrame | None, percent: int) -> DataF
                        F.col("p.centre_comp").alias("comp_a"), F.col("p.comp").alias("comp_b"))
 
 
+def _first_lists(pairs: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs, each with the first of its lists."""
+    order = np.lexsort((lists, pairs))
+    pairs, lists = pairs[order], lists[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = pairs[1:] != pairs[:-1]
+    return pairs[new], lists[new]
+
+
+def _rows_of(lists: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Lists of at most ``width`` longs as rows of a matrix, filled up with the
+    largest long."""
+    flat = lists.combine_chunks()
+    n = pc.list_value_length(flat).to_numpy()
+    out = np.full((len(flat), width), np.iinfo(np.int64).max)
+    out[np.arange(width) < n[:, None]] = flat.flatten().to_numpy()
+    return out
+
+
+def _meet_before(u: np.ndarray, v: np.ndarray, lists: np.ndarray) -> np.ndarray:
+    """Whether rows of ``u`` and ``v`` have a common entry less than ``lists``."""
+    met = np.zeros(len(lists), bool)
+    for c in range(u.shape[1]):
+        met |= (u[:, c] < lists) & (u[:, c, None] == v).any(1)
+    return met
+
+
 def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, bytes_at_once: int = 16_000_000,
            pairs_at_once: int = 200_000):
     """Pairs of nodes in one tile that sizes, components and (if ``signed``)
@@ -366,7 +425,8 @@ def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, bytes_at_once
     Rows are sorted by tile and side.  A tile that meets itself (``own``) has
     side 0 only and pairs its rows with the later ones; others pair side 0 with
     side 1.  Many small tiles are worked off together, and a pair that several
-    of them hold is looked at once."""
+    of them hold is looked at once.  A signed pair that also meets in an earlier
+    one of its ``named`` lists is left to that list."""
 
     def possible(t: pa.Table) -> Iterator[pa.RecordBatch]:
         tile, size, comp, node, side, own = (t[c].to_numpy() for c in
@@ -380,7 +440,9 @@ def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, bytes_at_once
                               np.diff(np.append(at, len(t))))
         begin = np.where(own == 1, np.arange(len(t)) + 1, ones_side)
         count = np.where(side == 0, stop - begin, 0)
-        done, keys = np.cumsum(count), np.empty(0, np.int64)
+        done, keys, lists = np.cumsum(count), np.empty(0, np.int64), np.empty(0, np.int64)
+        token = t["token"].to_numpy() if signed else tile
+        named = _rows_of(t["named"].take(pa.array(first)), NAMED_LISTS) if signed else None
         for lo in range(0, int(done[-1]), pairs_at_once):
             k = np.arange(lo, min(lo + pairs_at_once, int(done[-1])))
             i = np.searchsorted(done, k, side="right")
@@ -388,10 +450,14 @@ def _tiles(percent: int, signed: bool, rows_at_once: int = 20_000, bytes_at_once
             need = _needed(size[i], size[j], percent)
             keep = (need <= np.minimum(size[i], size[j])) & (comp[i] != comp[j])
             x, y = which[i[keep]], which[j[keep]]
-            keys = np.unique(np.append(keys, np.minimum(x, y) * n + np.maximum(x, y)))
+            keys, lists = _first_lists(np.append(keys, np.minimum(x, y) * n + np.maximum(x, y)),
+                                       np.append(lists, token[i[keep]]))
         for lo in range(0, len(keys), pairs_at_once // 4):
             x, y = np.divmod(keys[lo:lo + pairs_at_once // 4], n)
             keep = _may_link(signs, sizes, x, y, percent) if signed else np.ones(len(x), bool)
+            if signed:
+                at = np.flatnonzero(keep)
+                keep[at] = ~_meet_before(named[x[at]], named[y[at]], lists[lo:lo + pairs_at_once // 4][at])
             yield pa.RecordBatch.from_arrays([pa.array(nodes[x[keep]]), pa.array(nodes[y[keep]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,9 +541,10 @@ def _tile_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     lower = F.when(F.col("below").isNotNull(), F.transform(
         F.sequence(zero, F.col("below") - 1), lambda j: tile(b - 1, j, b, F.col("block"), F.lit(1))))
     none = F.array().cast("array<struct<tile:bigint,place:int,side:int,own:int>>")
-    dealt = (rows.select("size", "node", "comp", F.explode(F.concat(
-        every, F.coalesce(upper, none), F.coalesce(lower, none))).alias("t")).select("size", "node", "comp", "t.*")
-        .join(sets.select("node", "signature"), "node"))
+    named = left.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("token")), 1, NAMED_LISTS).alias("named"))
+    dealt = (rows.select("token", "size", "node", "comp", F.explode(F.concat(
+        every, F.coalesce(upper, none), F.coalesce(lower, none))).alias("t")).select("token", "size", "node", "comp", "t.*")
+        .join(sets.select("node", "signature").join(named, "node"), "node"))
     pairs = (dealt.repartition("place").sortWithinPartitions("place", "tile", "side", "node")
              .mapInArrow(tidy(_tiles(percent, signed=True)), "a long, b long").distinct())
     return pairs
@@ -529,7 +596,7 @@ def ngram_jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     labels = written(_labels(known), "labels")
     comps = lists.select("token", "size", "node").join(labels, "node", "left").select(
         "token", "size", "node", F.coalesce("label", "node").alias("comp"))
-    left = written(_open(comps), "open-lists")
+    left = written(_open(_one_of_each(comps, copies)), "open-lists")
     discard(lists)
     links, spent = [known], [stars]
     tried = stars

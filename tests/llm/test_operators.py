@@ -125,6 +125,37 @@ def test_jaccard_null_id_copy_first(documents):
     assert got == {None: None, 5: 5, 6: 5}
 
 
+def test_jaccard_pairs_do_not_grow_with_copies(documents, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 3)
+    rng = random.Random(5)
+    passage = words(rng, 60)
+    kinds = [" ".join(passage + words(rng, 18)) for _ in range(5)]  # similar, but too little to link
+    made = {}
+    real = ngram_join._tile_pairs
+    for copies in (1, 12):
+        def rows(left, *args, copies=copies):
+            made[copies] = (left.select("node").distinct().count(), real(left, *args).count())
+            return real(left, *args)
+        monkeypatch.setattr(ngram_join, "_tile_pairs", rows)
+        docs = documents(kinds * copies).repartition(copies)
+        got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_components(docs).collect()}
+        assert got == {i: i % 5 for i in range(5 * copies)}
+    assert made[12] == made[1] and made[1][0] == 5
+
+
+def test_a_pair_of_many_lists_is_made_once():
+    n = 6  # nodes that all meet in five lists, worked off one list at a time
+    sign = ngram_join._signature(np.arange(40, dtype=np.uint64))
+    rows = [(t * 10, t, i, 40, i, 0, 1, sign, [0, 1, 2, 3, 4]) for t in range(5) for i in range(n)]
+    kinds = [("tile", pa.int64()), ("token", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("comp", pa.int64()),
+             ("side", pa.int32()), ("own", pa.int32()), ("signature", pa.binary()), ("named", pa.list_(pa.int64()))]
+    table = pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(kinds)})
+    for at_once in (1, 1000):
+        run = ngram_join._tiles(75, signed=True, rows_at_once=at_once)
+        got = [(r["a"], r["b"]) for b in run(iter(table.to_batches(max_chunksize=n))) for r in b.to_pylist()]
+        assert sorted(got) == [(i, j) for i in range(n) for j in range(i + 1, n)]
+
+
 def test_posting_lists_stream_over_batches():
     rng = random.Random(1)
     rows = sorted((rng.randrange(12), rng.randrange(1, 40), i) for i in range(60))

@@ -676,3 +676,51 @@ def test_only_shared_bands_of_lines_are_kept(spark):
     df = spark.createDataFrame([(x,) for x in lines * 3 + near], "line string")
     rows = line_dedup._members(df, line_dedup.BANDS).collect()
     assert len({r.key for r in rows}) in range(10, 14) and len(rows) == len(set(rows)) <= 14 * line_dedup.BANDS
+
+
+def test_lines_of_every_length_meet_in_a_band(spark):
+    """Near lines share a band whatever run their lengths take, also where one
+    is just under a limit and the other above; few others do."""
+    rng = random.Random(33)
+    pairs = []
+    for n in [6, 9, 12, 30, 47, 48, 49, 60, 120, 155, 160, 161, 165, 400, 2000] * 4:
+        line = "".join(rng.choices("abcdefghijklmnop\U0001F600é", k=n + 4))
+        pairs.append((line, line + "".join(rng.choices("qrst", k=n // 8))))
+    df = spark.createDataFrame([(x,) for p in pairs for x in p], "line string")
+    rows = line_dedup._members(df, line_dedup.BANDS).join(
+        df.select("line", line_dedup._key("line").alias("key")).distinct(), "key").select("band", "line").collect()
+    bands = {}
+    for r in rows:
+        bands.setdefault(r.line, set()).add(r.band)
+    assert all(a == b or bands.get(a, set()) & bands.get(b, set()) for a, b in pairs)
+    others = [x for x in pairs if any(bands.get(x[0], set()) & bands.get(y[0], set()) for y in pairs if y is not x)]
+    assert len(others) <= 4
+
+
+def test_line_dedup_moves_no_shingles(spark, tmp_path):
+    """What is written on the way stays near the size of the text: bands move
+    in eight bytes each, and pairs with their lines."""
+    import os
+
+    from cohortguard.llm import common
+    rng = random.Random(34)
+    texts = []
+    for _ in range(300):
+        lines = ["".join(rng.choices("abcdefghijklmnop", k=400)) for _ in range(4)]
+        texts.append("\n".join(lines + [x[:390] + "zz" for x in lines[:1]]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = {}
+
+    def kept(table, name, written=common.written):
+        out = written(table, name)
+        at = out._shared_path.removeprefix("file:")
+        sizes[name] = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(at) for f in names)
+        return out
+    whole = common.written
+    common.written = kept
+    try:
+        assert line_dedup.dedup_lines(df).where("n_dropped = 1").count() == 300
+    finally:
+        common.written = whole
+    assert sum(sizes.values()) < 1.2 * sum(map(len, texts))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
